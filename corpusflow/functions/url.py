@@ -46,21 +46,23 @@ def _resolve_dots(path: Column) -> Column:
     return F.when(path.rlike(r"/\.{1,2}(/|\z)"), F.regexp_replace(resolved, r"^//\z", "/")).otherwise(path)
 
 
+_MARK = "\ue000"
+_SPLIT_URL = _MARK.join(f"${i}" for i in range(1, 7))
+
+
 def url_parts(url) -> Column:
-    """Struct ``ok, scheme, host, port, origin, path, query, fragment`` of a URL."""
-    def parts(u):
-        part = lambda i: F.regexp_extract(u, _HTTP, i)
-        scheme, port = F.lower(part(1)), part(3)
+    """Struct ``ok, host, port, origin, path, query, fragment`` of a URL; one regex match splits it."""
+    def parts(a):
+        scheme, host, port = F.lower(F.get(a, F.lit(0))), F.lower(F.get(a, F.lit(1))), F.get(a, F.lit(2))
         default_port = F.when(scheme == "http", "80").otherwise("443")
         shown_port = F.when((port == "") | (port == default_port), F.lit("")).otherwise(F.concat(F.lit(":"), port))
-        path = let(part(4), lambda p: F.when(p == "", F.lit("/")).otherwise(
+        path = let(F.get(a, F.lit(3)), lambda p: F.when(p == "", F.lit("/")).otherwise(
             _resolve_dots(_encode_unsafe(p, _PATH_UNSAFE))))
-        host = F.lower(part(2))
         return F.struct(
-            u.rlike(_HTTP).alias("ok"), scheme.alias("scheme"), host.alias("host"), shown_port.alias("port"),
+            (F.size(a) == 6).alias("ok"), host.alias("host"), shown_port.alias("port"),
             F.concat(scheme, F.lit("://"), host, shown_port).alias("origin"), path.alias("path"),
-            part(5).alias("query"), part(6).alias("fragment"))
-    return let(url, parts)
+            F.get(a, F.lit(4)).alias("query"), F.get(a, F.lit(5)).alias("fragment"))
+    return let(F.split(F.regexp_replace(col(url), _HTTP, _SPLIT_URL), _MARK), parts)
 
 
 def host_of(url) -> Column:
@@ -72,11 +74,15 @@ def _suffix(mark: str, text: Column) -> Column:
     return F.when(text == "", F.lit("")).otherwise(F.concat(F.lit(mark), text))
 
 
+def parts_text(p: Column) -> Column:
+    """Canonical text of a parts struct, NULL when it is not http(s)."""
+    return F.when(p["ok"], F.concat(p["origin"], p["path"], _suffix("?", _encode_unsafe(p["query"], _QUERY_UNSAFE)),
+                                    _suffix("#", p["fragment"])))
+
+
 def normalize_url(url) -> Column:
     """Canonical text of an http(s) URL, NULL for anything else."""
-    return let(url_parts(url), lambda p: F.when(p["ok"], F.concat(
-        p["origin"], p["path"], _suffix("?", _encode_unsafe(p["query"], _QUERY_UNSAFE)),
-        _suffix("#", p["fragment"]))))
+    return let(url_parts(url), parts_text)
 
 
 def percent_decode(c) -> Column:
@@ -117,16 +123,18 @@ def _clean_query(query: Column) -> Column:
                     lambda n: F.concat(F.url_encode(n), F.lit("="), F.url_encode(last_value(ps, n)))), "&"))
 
 
+def strip_parts(p: Column, strip_noise: bool = True) -> Column:
+    """Text of a parts struct without tracking parameters, fragment, template cut and noise tail."""
+    query = F.when(p["query"] == "", F.lit("")).otherwise(let(_clean_query(p["query"]), lambda q: _suffix("?", q)))
+    out = F.when(p["ok"], F.regexp_replace(F.concat(p["origin"], p["path"], query), r"(?s)\$%.*\z", ""))
+    return strip_noise_tail(out) if strip_noise else out
+
+
 def strip_tracking(url, strip_noise: bool = True) -> Column:
     """Drop tracking parameters and the fragment; a repeated parameter keeps its last value at its
     first position; cut at a template marker; drop the noise tail. Other URLs only lose the tail."""
-    def clean(p):
-        query = let(F.when(p["query"] == "", F.lit("")).otherwise(_clean_query(p["query"])),
-                    lambda q: _suffix("?", q))
-        return F.regexp_replace(F.concat(p["origin"], p["path"], query), r"(?s)\$%.*\z", "")
-    out = let(url_parts(url), lambda p: F.when(p["ok"], clean(p)))
-    out = F.coalesce(out, col(url))
-    return strip_noise_tail(out) if strip_noise else out
+    other = strip_noise_tail(url) if strip_noise else col(url)
+    return F.coalesce(let(url_parts(url), lambda p: strip_parts(p, strip_noise)), other)
 
 
 def is_binary_url(url) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import url as U
-from ..functions.base import contains_any
+from ..functions.base import contains_any, let
 from ..functions.text import decode_entities
 from ..sites import SiteSpec
 
@@ -37,29 +37,46 @@ def anchors(pages: DataFrame, html: str = "html", keep: list[str] | None = None)
     return rows.select(*keep, "pos", href.alias("href"))
 
 
+def outcome_of(href: Column, domain: Column, site: SiteSpec, compat: bool = True) -> Column:
+    """Struct ``url, shared, outcome, dst_id`` of one href; each step is bound once with ``let`` and
+    the address is split into its parts once."""
+    def result(url, shared, why):
+        reason = (F.when(why.isNotNull(), why).when(url.isNull(), "domain")
+                  .when(F.substring_index(url, "?", 1).rlike(U.BINARY_PATTERN), "binary")
+                  .when(~site.accepts(url), "filtered"))
+        return let(site.id_rule(url), lambda i: F.struct(
+            url.alias("url"), shared.alias("shared"),
+            F.coalesce(reason, F.when(F.coalesce(i, F.lit("")) == "", "id_null"), F.lit("ok")).alias("outcome"),
+            i.alias("dst_id")))
+
+    def place(p):
+        """Address on the domain, or the domain address a share link carries."""
+        own = U.same_domain(p["host"], domain)
+        share = U.shared_target(U.parts_text(p), domain)
+        url = F.when(p["ok"] & own, U.strip_parts(p)).when(p["ok"], U.strip_tracking(share))
+        return let(F.struct(url.alias("url"), (p["ok"] & ~own).alias("shared"), p["ok"].alias("ok")),
+                   lambda a: result(a["url"], a["shared"] & a["url"].isNotNull(),
+                                    F.when(~a["ok"], F.lit("protocol"))))
+
+    def refuse(why):
+        return result(F.lit(None).cast("string"), F.lit(False), why)
+
+    def judge(h):
+        bad = (F.when(href == "", "empty").when(U.is_malformed_href(h, compat), "malformed")
+               .when(contains_any(h, site.exclude), "excluded"))
+        return let(bad, lambda b: F.when(b.isNotNull(), refuse(b)).otherwise(
+            let(U.url_parts(U.absolute_href(h, domain)), place)))
+    return let(U.clean_href(href), judge)
+
+
 def link_outcomes(links: DataFrame, domain: Column, site: SiteSpec, compat: bool = True) -> DataFrame:
     """Add ``url``, ``shared``, ``outcome`` and ``dst_id`` to anchor rows.
 
-    Outcomes: ``empty, malformed, excluded, protocol, domain, binary, filtered, id_null, ok``.
-    The stages are separate columns on purpose: each reads the one before several times, and the
-    optimizer keeps an expensive column that is used more than once as its own projection.
+    Outcomes: ``empty, malformed, excluded, protocol, domain, binary, filtered, id_null, ok``. The
+    one-element explode keeps later filters on ``outcome`` from being expanded below the rule chain.
     """
-    step = links.withColumn("_domain", domain).withColumn("_h", U.clean_href("href"))
-    step = step.withColumn("_bad", F.when(F.col("href") == "", "empty")
-                           .when(U.is_malformed_href("_h", compat), "malformed")
-                           .when(contains_any("_h", site.exclude), "excluded"))
-    step = step.withColumn("_full", F.when(F.col("_bad").isNull(), U.normalize_url(U.absolute_href("_h", F.col("_domain")))))
-    step = step.withColumn("_own", U.same_domain(U.host_of("_full"), "_domain"))
-    step = step.withColumn("_share", F.when(~F.col("_own"), U.shared_target("_full", F.col("_domain"))))
-    step = step.withColumn("url", F.when(F.col("_own") | F.col("_share").isNotNull(),
-                                         F.substring_index(U.strip_tracking(F.coalesce("_share", "_full")), "#", 1)))
-    step = step.withColumn("dst_id", site.id_rule(F.col("url")))
-    outcome = (F.when(F.col("_bad").isNotNull(), F.col("_bad")).when(F.col("_full").isNull(), "protocol")
-               .when(F.col("url").isNull(), "domain").when(U.is_binary_url("url"), "binary")
-               .when(~site.accepts(F.col("url")), "filtered")
-               .when(F.coalesce("dst_id", F.lit("")) == "", "id_null").otherwise("ok"))
-    return step.select(*links.columns, "url", F.col("_share").isNotNull().alias("shared"),
-                       outcome.alias("outcome"), "dst_id")
+    rows = links.select("*", F.explode(F.array(outcome_of(F.col("href"), domain, site, compat))).alias("_l"))
+    return rows.select(*links.columns, "_l.url", "_l.shared", "_l.outcome", "_l.dst_id")
 
 
 def known_ids(*id_tables: DataFrame) -> DataFrame:

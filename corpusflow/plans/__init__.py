@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["urls"]
+MODULES = ["urls", "discovery"]
 
 
 def all_queries():
