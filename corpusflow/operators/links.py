@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import url as U
-from ..functions.base import contains_any, let
+from ..functions.base import contains_any, let, trim_ws
 from ..functions.text import decode_entities
 from ..sites import SiteSpec
 
@@ -129,10 +129,11 @@ def link_funnel(outcomes: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def company_links(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Distinct company ids and absolute addresses found anywhere in raw markup, both spellings."""
-    found = F.regexp_extract_all(F.col(html), F.lit(
-        r"""((?:https?://[a-zA-Z0-9.\-]+)?/(?:company|compay)/[^"'?#\s<>/]+)"""), F.lit(1))
-    url = F.when(F.col("u").rlike("^https?://"), F.col("u")).otherwise(
-        F.concat(F.lit("https://www.linkedin.com"), F.col("u")))
-    return (pages.select(F.explode(F.array_distinct(found)).alias("u"))
-            .select(U.company_id(url).alias("company_id"), url.alias("url")).distinct())
+    """Distinct company ids found in raw markup under either spelling, with their canonical address."""
+    found = F.regexp_extract_all(F.col(html), F.lit(r'href="([^"]*/comp(?:any|ay)/[^"]*)"'), F.lit(1))
+    clean = F.regexp_replace(F.substring_index(trim_ws(F.col("u")), "?", 1), r"/\z", "")
+    rows = pages.select(F.explode(F.array_distinct(found)).alias("u")).select(F.when(
+        clean.rlike("^/comp(any|ay)"), F.concat(F.lit("https://www.linkedin.com"), clean)).otherwise(clean).alias("u"))
+    return (rows.where(F.col("u").rlike(r"^http.*/comp(any|ay)/"))
+            .select(U.company_id("u").alias("company_id")).where("company_id <> ''").distinct()
+            .withColumn("url", F.concat(F.lit("https://www.linkedin.com/company/"), "company_id")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["urls", "discovery"]
+MODULES = ["urls", "discovery", "stats", "audit"]
 
 
 def all_queries():

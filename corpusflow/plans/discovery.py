@@ -24,13 +24,11 @@ def page_links(t):
     return L.link_outcomes(rows, U.host_of("page_url"), PAGES_SITE)
 
 
-def known(t):
+def known(t, links):
     """Frontier, queue and completed ids of the pages table: ids of the page addresses, plus every
     id linked from feed captures (addresses with a campaign tag)."""
     from_pages = t.pages.select(U.job_id("url"))
-    feed = t.pages.where(F.contains("url", F.lit("utm_source")))
-    rows = L.anchors(feed.select("page_id", F.col("url").alias("page_url"), "html"))
-    linked = L.link_outcomes(rows, U.host_of("page_url"), PAGES_SITE).where("outcome = 'ok'").select("dst_id")
+    linked = links.where((F.col("outcome") == "ok") & F.contains("page_url", F.lit("utm_source"))).select("dst_id")
     return L.known_ids(from_pages, linked)
 
 
@@ -53,7 +51,8 @@ WITH {Q.LINKS}, {_KNOWN}
 SELECT dst_id, arg_min(url, (page_id, pos)) AS url FROM links WHERE outcome = 'ok'
   AND dst_id NOT IN (SELECT dst_id FROM known WHERE dst_id IS NOT NULL) GROUP BY dst_id""")
 def discover_new(t):
-    return L.discover_new(page_links(t), known(t), ["page_id", "pos"])
+    links = page_links(t)
+    return L.discover_new(links, known(t, links), ["page_id", "pos"])
 
 
 @query("link_funnel", f"""
@@ -67,7 +66,8 @@ SELECT count(*) FILTER (outcome <> 'empty') AS total_anchors, count(*) FILTER (o
  count(*) FILTER (outcome = 'ok') - count(DISTINCT dst_id) FILTER (fresh) AS dedup_skipped,
  count(DISTINCT dst_id) FILTER (fresh) AS new_urls FROM f""")
 def link_funnel(t):
-    return L.link_funnel(page_links(t), known(t))
+    links = page_links(t)
+    return L.link_funnel(links, known(t, links))
 
 
 @query("first_seen", f"""
@@ -79,16 +79,15 @@ def first_seen(t):
 
 
 @query("company_links", r"""
-WITH m AS (SELECT html || ' <a href="' || CASE WHEN url LIKE 'http:%' THEN '/compay/' ELSE 'https://kr.linkedin.com/company/' END
-              || regexp_extract(url, '([a-z-]+)\.example', 1) || '/about">' AS html FROM pages),
-u AS (SELECT DISTINCT unnest(regexp_extract_all(html, '((?:https?://[a-zA-Z0-9.\-]+)?/(?:company|compay)/[^"''?#\s<>/]+)', 1)) AS u FROM m),
-a AS (SELECT CASE WHEN u LIKE 'http%' THEN u ELSE 'https://www.linkedin.com' || u END AS url FROM u)
-SELECT DISTINCT split_part(url, '/', -1) AS company_id, url FROM a""")
+WITH m AS (SELECT '<a href="' || CASE WHEN url LIKE 'http:%' THEN '/compay/' ELSE 'https://kr.linkedin.com/company/' END
+              || regexp_extract(url, '([a-z-]+)\.example', 1) || '/?trk=1">' AS html FROM pages),
+u AS (SELECT DISTINCT split_part(regexp_replace(split_part(regexp_extract(html, 'href="([^"]*)"', 1), '?', 1), '/$', ''), '/', -1) AS company_id FROM m)
+SELECT company_id, 'https://www.linkedin.com/company/' || company_id AS url FROM u WHERE company_id <> ''""")
 def company_links(t):
     """Company links planted into every page, both spellings."""
     lead = F.when(F.startswith("url", F.lit("http:")), "/compay/").otherwise("https://kr.linkedin.com/company/")
     name = F.regexp_extract("url", r"([a-z-]+)\.example", 1)
-    planted = F.concat("html", F.lit(' <a href="'), lead, name, F.lit('/about">'))
+    planted = F.concat("html", F.lit(' <a href="'), lead, name, F.lit('/?trk=1">'))
     return L.company_links(t.pages.select(planted.alias("html")))
 
 
