@@ -63,8 +63,8 @@ def clean_content(text) -> Column:
 
 
 # Section headings the reader view starts at and stops before.
-JD_HEADING = r"(?i)## 📝 JD"
-COMMENTS_HEADING = r"(?i)## 💬 댓글|## 💬 Discussion|## 💬 Comments"
+JD_HEADING = "(?i:## 📝 JD)"
+COMMENTS_HEADING = "(?i:## 💬 댓글|## 💬 Discussion|## 💬 Comments)"
 
 
 def _cut_front_matter(c: Column) -> Column:
@@ -76,12 +76,12 @@ def _cut_front_matter(c: Column) -> Column:
 def view_markdown(md, cut_comments: bool = True) -> Column:
     """Reader view: front matter out, start at the job description, stop before the comments."""
     c = let(trim_ws(F.coalesce(col(md), F.lit(""))), _cut_front_matter)
-    c = let(c, lambda x: let(F.regexp_instr(x, F.lit(JD_HEADING)), lambda i: F.when(
-        i > 0, trim_ws(F.substring(x, i, F.length(x)))).otherwise(x)))
+    # Cutting is done by the regex itself: match positions count UTF-16 units, substring code points.
+    c = let(c, lambda x: F.coalesce(trim_ws(match_group(x, f"({JD_HEADING}[\\s\\S]*)")), x))
     if not cut_comments:
         return c
-    return let(c, lambda x: let(F.regexp_instr(x, F.lit(COMMENTS_HEADING)), lambda i: F.when(
-        i > 0, trim_ws(F.substring(x, F.lit(1), i - 1))).otherwise(x)))
+    return let(c, lambda x: F.when(x.rlike(COMMENTS_HEADING), trim_ws(
+        F.regexp_replace(x, f"(?:{COMMENTS_HEADING})[\\s\\S]*\\z", ""))).otherwise(x))
 
 
 def optional_lines(*pairs: tuple[Column, Column]) -> Column:
@@ -315,12 +315,11 @@ def jd_split(md, company) -> Column:
     has_company = F.coalesce(col(company), F.lit("")) != ""
 
     def cut(t):
-        rest = lambda i: F.substring(t, i, F.length(t))
-        start = F.when(has_company, F.regexp_instr(t, about)).otherwise(F.lit(0))
-        jd = F.when(start > 0, F.regexp_instr(rest(start), F.lit(after_about))).otherwise(F.lit(0))
-        req = F.regexp_instr(t, F.lit(plain))
-        enough = F.length(trim_ws(F.substring(t, F.lit(1), F.greatest(req - 1, F.lit(0))))) >= 20
-        return F.when(jd > 0, trim_ws(rest(start + jd - 1))).when((req > 1) & enough, trim_ws(rest(req))).otherwise(t)
+        intro = F.when(has_company, F.nullif(F.regexp_extract(t, F.concat(F.lit("("), about, F.lit(r"[\s\S]*)")), 1), F.lit("")))
+        after = trim_ws(match_group(intro, f"({after_about}[\\s\\S]*)"))
+        wanted = trim_ws(match_group(t, f"({plain}[\\s\\S]*)"))
+        before = F.length(trim_ws(F.regexp_replace(t, plain + r"[\s\S]*\z", "")))
+        return F.when(after.isNotNull(), after).when(wanted.isNotNull() & (before >= 20), wanted).otherwise(t)
     text = F.regexp_replace(F.replace(col(md), F.lit("\r"), F.lit("")), r"\n{3,}", "\n\n")
     return let(trim_ws(text), cut)
 

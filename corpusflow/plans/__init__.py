@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["urls", "discovery", "stats", "audit"]
+MODULES = ["urls", "discovery", "stats", "audit", "texts"]
 
 
 def all_queries():
