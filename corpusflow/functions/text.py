@@ -315,7 +315,8 @@ def jd_split(md, company) -> Column:
     has_company = F.coalesce(col(company), F.lit("")) != ""
 
     def cut(t):
-        intro = F.when(has_company, F.nullif(F.regexp_extract(t, F.concat(F.lit("("), about, F.lit(r"[\s\S]*)")), 1), F.lit("")))
+        intro = F.when(has_company, F.nullif(F.call_function(
+            "regexp_extract", t, F.concat(F.lit("("), about, F.lit(r"[\s\S]*)")), F.lit(1)), F.lit("")))
         after = trim_ws(match_group(intro, f"({after_about}[\\s\\S]*)"))
         wanted = trim_ws(match_group(t, f"({plain}[\\s\\S]*)"))
         before = F.length(trim_ws(F.regexp_replace(t, plain + r"[\s\S]*\z", "")))

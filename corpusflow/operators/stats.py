@@ -163,5 +163,6 @@ def column_matrix(docs: DataFrame, site: str, fields: list[str]) -> DataFrame:
 
 def field_distribution(index: DataFrame, fields: list[str]) -> DataFrame:
     """Number of documents that carry each field, plus the total as field ``*``."""
-    one = index.agg(F.count("*").alias("*"), *[F.count(F.col(f)).alias(f) for f in fields])
-    return one.unpivot([], ["*"] + fields, "field", "n")
+    one = index.agg(F.count(F.lit(1)).alias("_all"), *[F.count(F.col(f)).alias(f) for f in fields])
+    out = one.unpivot([], ["_all"] + fields, "field", "n")
+    return out.withColumn("field", F.when(F.col("field") == "_all", "*").otherwise(F.col("field")))
