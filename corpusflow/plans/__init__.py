@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["urls", "discovery", "stats", "audit", "texts", "search"]
+MODULES = ["urls", "discovery", "stats", "audit", "texts", "search", "domains"]
 
 
 def all_queries():
