@@ -34,15 +34,15 @@ def relative_date(text, fallback, base, tz: str = KST) -> Column:
     return F.date_format(local - F.make_dt_interval(days), "yyyy-MM-dd HH:mm:ss")
 
 
-_FORMATS = ["yyyy-MM-dd'T'HH:mm:ss.SSSX", "yyyy-MM-dd'T'HH:mm:ssX", "yyyy-MM-dd'T'HH:mm:ss.SSS",
-            "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"]
+_WRITTEN = ["MMM d, yyyy", "MMMM d, yyyy"]
 
 
 def safe_timestamp(c) -> Column:
-    """Timestamp of an ISO-like or ``YYYY.MM.DD`` text, NULL when it is neither."""
+    """Timestamp of an ISO-like, ``YYYY.MM.DD`` or written-out English date, NULL when it is none."""
     def parse(t):
         iso = F.when(t.rlike(r"^\d{4}\.\d{2}\.\d{2}\z"), F.replace(t, F.lit("."), F.lit("-"))).otherwise(t)
-        return let(iso, lambda x: F.coalesce(*[F.try_to_timestamp(x, F.lit(f)) for f in _FORMATS]))
+        return F.when(t.rlike(r"^\d{4}[-.]\d{2}"), iso.try_cast("timestamp")).when(
+            t.rlike(r"^[A-Z][a-z]+ \d"), F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in _WRITTEN]))
     return let(trim_ws(c), parse)
 
 

@@ -143,13 +143,17 @@ def session_numbers(sessions: DataFrame, created: str, key: str = "session_id")
     return num.select(key, "date_dir", seq.alias("seq"), F.concat_ws("-", seq, F.col(key).cast("string")).alias("tag"))
 
 
-def session_usage(msgs: DataFrame, chars_per_token: float = 4.0) -> DataFrame:
-    """Per session: steps, sizes, token counts; message rows without counts are estimated by size."""
-    n = F.octet_length("content")
-    t = lambda cond: F.coalesce(F.sum(F.when(cond, F.ceil(F.length("content") / chars_per_token))), F.lit(0))
-    return msgs.groupBy("session_id").agg(
-        F.count("*").alias("steps"), F.sum(n).alias("bytes"), t(F.col("role") != "assistant").alias("tokens_in"),
-        t(F.col("role") == "assistant").alias("tokens_out"), F.max("step").alias("last_step"))
+def session_usage(msgs: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Per session: steps and size of its messages next to the stored token counts and cost."""
+    steps = msgs.groupBy("session_id").agg(F.count("*").alias("steps"), F.sum(F.octet_length("content")).alias("bytes"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return sessions.join(steps, "session_id", "left").select(
+        "session_id", "updated", zero("steps"), zero("bytes"), T.bytes_text(F.coalesce("bytes", F.lit(0))).alias("size"),
+        zero("tokens_in"), zero("tokens_out"), zero("tokens_reasoning"), zero("cost"))
+
+
+def latest_sessions(usage: DataFrame, n: int = 5) -> DataFrame:
+    return usage.orderBy(F.col("updated").desc(), "session_id").limit(n)
 
 
 def join_parts(sessions: DataFrame, msgs: DataFrame, parts: DataFrame) -> DataFrame:
@@ -163,8 +167,8 @@ def join_parts(sessions: DataFrame, msgs: DataFrame, parts: DataFrame) -> DataFr
         F.coalesce(x["output"], F.lit("")).alias("result")))
     body = rows.select("session_id", "message_id", F.array_join(texts, "\n").alias("_content"), calls.alias("tool_calls"))
     j = msgs.join(sessions.select("session_id"), "session_id").join(body, ["session_id", "message_id"], "left")
-    return j.select("session_id", "message_id", "role", first_filled("_content", F.when(F.col("role") == "user", F.col("content")), F.lit(" ")).alias("content"),
-                    "tool_calls").withColumn("content", F.when(F.col("content") == " ", "").otherwise(F.col("content")))
+    own = F.when(F.col("role") == "user", F.col("content"))
+    return j.select("session_id", "message_id", "role", F.coalesce(first_filled("_content", own), F.lit("")).alias("content"), "tool_calls")
 
 
 def transcript_parts(msgs: DataFrame, root: str, part_size: int = 256) -> DataFrame:

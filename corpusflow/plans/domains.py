@@ -307,11 +307,25 @@ def transcript_md(t):
     return CV.transcript_parts(conv_messages(t), "/ws", part_size=2)
 
 
-@query("session_usage", """
-SELECT conv_id AS session_id, count(*) AS steps, CAST(sum(octet_length(encode(text))) AS BIGINT) AS bytes, CAST(coalesce(sum(ceil(length(text) / 4.0)) FILTER (role <> 'assistant'), 0) AS BIGINT) AS tokens_in,
-  CAST(coalesce(sum(ceil(length(text) / 4.0)) FILTER (role = 'assistant'), 0) AS BIGINT) AS tokens_out, max(turn) AS last_step FROM conversations GROUP BY 1""")
+_USAGE = """u AS (SELECT c_custkey AS session_id, count(conv_id) AS steps, CAST(coalesce(sum(octet_length(encode(text))), 0) AS BIGINT) AS bytes,
+   c_nationkey AS tokens_in, c_acctbal AS cost FROM customer LEFT JOIN conversations ON conv_id = c_custkey GROUP BY c_custkey, c_nationkey, c_acctbal)"""
+
+
+def usage(t):
+    """Customers as sessions of the conversations with the same number."""
+    s = t.customer.select(F.col("c_custkey").alias("session_id"), F.col("c_custkey").alias("updated"), F.col("c_nationkey").alias("tokens_in"),
+                          F.lit(None).cast("int").alias("tokens_out"), F.lit(0).alias("tokens_reasoning"), F.col("c_acctbal").alias("cost"))
+    return CV.session_usage(conv_messages(t), s)
+
+
+@query("session_usage", f"WITH {_USAGE} SELECT session_id, steps, bytes, tokens_in, 0 AS tokens_out, cost FROM u")
 def session_usage(t):
-    return CV.session_usage(conv_messages(t))
+    return usage(t).select("session_id", "steps", "bytes", "tokens_in", "tokens_out", "cost")
+
+
+@query("latest_sessions", f"WITH {_USAGE} SELECT session_id, steps FROM u ORDER BY session_id DESC LIMIT 5")
+def latest_sessions(t):
+    return CV.latest_sessions(usage(t)).select("session_id", "steps")
 
 
 def steps(t):

@@ -321,7 +321,7 @@ SELECT event_id, CASE event_type WHEN 'error' THEN strftime(date_trunc('second',
   WHEN 'view' THEN strftime(ts, '%Y-%m-%d 00:00:00') WHEN 'signup' THEN strftime(ts, '%Y-%m-%d 00:00:00') END AS published FROM events""")
 def published_cascade(t):
     kind, no = F.col("event_type"), F.lit(None).cast("string")
-    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ssXXX") if False else F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    iso = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     ld = F.when(kind == "error", iso).otherwise(no)
     meta = F.when(kind == "click", F.unix_millis(F.col("ts").cast("timestamp")).cast("string")).otherwise(no)
     attr = F.when(kind == "view", F.date_format("ts", "yyyy-MM-dd")).otherwise(F.lit("not a date"))
