@@ -201,15 +201,18 @@ def reflow_markdown(md) -> Column:
     starts a Markdown structure; then compress spaces and blank lines."""
     text = F.regexp_replace(F.regexp_replace(col(md), r"\r\n|[\r\u000b\u000c\u001c-\u001e\u0085\u2028\u2029]", "\n"), r"\n\z", "")
 
-    def build(lines):
-        def piece(line, i):
-            shown, before = trim_ws(line), trim_ws(F.get(lines, i - 1))
-            fresh = (shown == "") | (before == "") | before.rlike(r"[.?!:;]\z") | shown.rlike(_STRUCTURE)
-            body = F.when(shown == "", F.lit("")).otherwise(line)
-            return F.when(i == 0, body).when(fresh, F.concat(F.lit("\n"), body)).otherwise(
-                F.concat(F.lit(" "), shown))
-        return F.array_join(F.transform(lines, piece), "")
-    joined = let(F.split(text, "\n"), build)
+    def build(x):
+        # x.raw are the lines, x.cut the trimmed lines: each line is trimmed once.
+        def piece(shown, i):
+            fresh = (shown == "") | x["ends"][i - 1] | shown.rlike(_STRUCTURE)
+            body = F.when(shown == "", F.lit("")).otherwise(x["raw"][i])
+            return F.when(i == 0, body).when(fresh, F.concat(F.lit("\n"), body)).otherwise(F.concat(F.lit(" "), shown))
+        return F.array_join(F.transform(x["cut"], piece), "")
+
+    def prepare(raw):
+        return let(F.transform(raw, trim_ws), lambda cut: let(F.struct(
+            raw.alias("raw"), cut.alias("cut"), F.transform(cut, lambda c: (c == "") | c.rlike(r"[.?!:;]\z")).alias("ends")), build))
+    joined = let(F.split(text, "\n"), prepare)
     return F.regexp_replace(F.regexp_replace(joined, " {2,}", " "), r"\n{3,}", "\n\n")
 
 

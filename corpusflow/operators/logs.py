@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.base import first_filled, let, match_group, trim_ws
-from ..functions.jsonx import is_json_object, json_field
 from ..functions.text import strip_ansi
 
 # Bracket words that are not site names; levels that are kept.
@@ -23,31 +22,41 @@ def split_service(line) -> tuple[Column, Column]:
             F.when(at > 0, trim_ws(F.substring(F.col(line), at + 1, F.length(line)))))
 
 
+# Fields a worker log record may carry, under either name; the last one is set for broken JSON.
+RECORD = ("timestamp string, time string, message string, msg string, level string, site string, url string, error_name string, "
+          "error_stack string, stack string, _corrupt_record string")
+
+
+def _record(c) -> Column:
+    """Log record of a JSON text, parsed once; NULL when the text is no JSON object."""
+    return let(F.from_json(c, RECORD), lambda r: F.when(r["_corrupt_record"].isNull(), r))
+
+
 def parse_logs(logs: DataFrame, run_ts: str, line: str = "line") -> DataFrame:
     """``service, idx, ts, level, message, site, url, stack`` of JSON and text lines. Stack lines and
     other levels are dropped; a line without a time gets ``run_ts``."""
-    t = trim_ws(line)
+    unknown, none = F.lit("Unknown"), F.lit(None).cast("string")
+
+    def row(ts, level, message, site, url, stack, keep):
+        return F.struct(ts.alias("ts"), level.alias("level"), strip_ansi(message).alias("message"), site.alias("site"),
+                        url.alias("url"), stack.alias("stack"), keep.alias("keep"))
+
+    def from_record(r):
+        message = first_filled(r["message"], r["msg"], F.lit("No message"))
+        named = F.when(F.coalesce(r["error_name"], F.lit("")) != "", F.concat(r["error_name"], F.lit(": "), message)).otherwise(message)
+        return row(first_filled(r["timestamp"], r["time"], F.lit(run_ts)), F.upper(first_filled(r["level"], F.lit("INFO"))), named,
+                   first_filled(r["site"], unknown), F.coalesce(r["url"], F.lit("")), first_filled(r["error_stack"], r["stack"]), F.lit(True))
+
+    def from_text(x):
+        level = F.when(x.rlike(_ERROR_TEXT), "ERROR").when(x.rlike(r"(?i)\bwarn\b"), "WARN").otherwise("INFO")
+        site = let(match_group(x, r"\[([a-zA-Z0-9_-]+)\]"), lambda b: F.when(b.isNotNull() & ~F.lower(b).isin(NOT_SITES), b).otherwise(unknown))
+        return row(F.lit(run_ts), level, x, site, F.lit(""), none, (x != "") & ~x.rlike(r"(?i)^at "))
 
     def parsed(x):
         braces = F.startswith(x, F.lit("{")) & F.endswith(x, F.lit("}"))
-        good = braces & is_json_object(x)
-        message = first_filled(json_field(x, "$.message"), json_field(x, "$.msg"), F.lit("No message"))
-        name = json_field(x, "$.error_name")
-        bracket = match_group(x, r"\[([a-zA-Z0-9_-]+)\]")
-        text_level = F.when(x.rlike(_ERROR_TEXT), "ERROR").when(x.rlike(r"(?i)\bwarn\b"), "WARN").otherwise("INFO")
-        pick = lambda json_value, text_value: F.when(good, json_value).otherwise(text_value)
-        return F.struct(
-            pick(first_filled(json_field(x, "$.timestamp"), json_field(x, "$.time"), F.lit(run_ts)), F.lit(run_ts)).alias("ts"),
-            pick(F.upper(first_filled(json_field(x, "$.level"), F.lit("INFO"))),
-                 F.when(braces, "INFO").otherwise(text_level)).alias("level"),
-            strip_ansi(pick(F.when(name.isNotNull(), F.concat(name, F.lit(": "), message)).otherwise(message), x)).alias("message"),
-            pick(first_filled(json_field(x, "$.site"), F.lit("Unknown")),
-                 F.when(bracket.isNotNull() & ~F.lower(bracket).isin(NOT_SITES) & ~braces, bracket)
-                 .otherwise("Unknown")).alias("site"),
-            pick(F.coalesce(json_field(x, "$.url"), F.lit("")), F.lit("")).alias("url"),
-            pick(first_filled(json_field(x, "$.error_stack"), json_field(x, "$.stack")), F.lit(None)).alias("stack"),
-            ((x != "") & (braces | ~x.rlike(r"(?i)^at "))).alias("keep"))
-    rows = logs.select("service", "idx", F.explode(F.array(let(t, parsed))).alias("p")).select("service", "idx", "p.*")
+        broken = row(F.lit(run_ts), F.lit("INFO"), x, unknown, F.lit(""), none, F.lit(True))
+        return F.when(braces, let(_record(x), lambda r: F.when(r.isNull(), broken).otherwise(from_record(r)))).otherwise(from_text(x))
+    rows = logs.select("service", "idx", F.explode(F.array(let(trim_ws(line), parsed))).alias("p")).select("service", "idx", "p.*")
     return rows.where(F.col("keep") & F.col("level").isin(LEVELS)).drop("keep")
 
 
@@ -82,16 +91,18 @@ def error_lines(lines: DataFrame, line: str = "line") -> DataFrame:
     """Failure rows ``service, pattern`` of piped log lines. The pattern of a JSON error is its name
     and the message before the attempt number; stack lines share one pattern."""
     service, content = split_service(line)
-    rows = lines.select(service.alias("service"), content.alias("content"),
-                        F.contains(F.col(line), F.lit('"level":"ERROR"')).alias("json_error"))
-    rows = rows.where("service IS NOT NULL AND content <> ''")
-    name = json_field("content", "$.error_name")
-    message = first_filled(json_field("content", "$.message"), json_field("content", "$.msg"), F.lit("No message"))
-    json_pattern = F.when(name.isNotNull(), F.concat(name, F.lit(": "), trim_ws(F.substring_index(message, "on attempt", 1)))).otherwise(message)
-    raw_pattern = F.when(F.startswith("content", F.lit("at ")), "Stack Trace Line").otherwise(F.substring("content", 1, 100))
-    parsed = is_json_object("content")
-    pattern = F.when(F.col("json_error") & parsed, json_pattern).when(~F.col("json_error"), raw_pattern)
+    one = F.struct(service.alias("service"), content.alias("content"),
+                   F.contains(F.col(line), F.lit('"level":"ERROR"')).alias("json_error"))
+    # The one-element explode keeps the filters below from repeating the split.
+    rows = lines.select(F.explode(F.array(one)).alias("p")).select("p.*").where("service IS NOT NULL AND content <> ''")
     failed = F.col("json_error") | F.col("content").rlike(_FAILURE_LINE)
+
+    def of_record(r):
+        message = first_filled(r["message"], r["msg"], F.lit("No message"))
+        return F.when(F.coalesce(r["error_name"], F.lit("")) != "", F.concat(
+            r["error_name"], F.lit(": "), trim_ws(F.substring_index(message, "on attempt", 1)))).otherwise(message)
+    raw = F.when(F.startswith("content", F.lit("at ")), "Stack Trace Line").otherwise(F.substring("content", 1, 100))
+    pattern = F.when(F.col("json_error"), let(_record(F.col("content")), lambda r: F.when(r.isNotNull(), of_record(r)))).otherwise(raw)
     return rows.where(failed).select("service", pattern.alias("pattern"))
 
 

@@ -1,8 +1,11 @@
 """Prefix scans inside large groups.
 
 A window over one key runs in one task. Where a key may hold a large part of all rows, the scan is
-done in two steps: inside (key, bucket) pieces, which spread over the cluster, and over one summary
-row per piece. ``bucket`` must be monotone in the order columns (a time slice, ``floor(ordinal / n)``).
+done in two steps. First one summary row per (key, bucket) piece, made by a partial aggregation, is
+scanned per key. Then each piece gets the running value of the pieces before it as an extra leading
+row, and a window over (key, bucket) does the rest. The rows themselves are shuffled once and spread
+over the cluster whatever the size of a key. ``bucket`` must be monotone in the order columns (a time
+slice, ``floor(ordinal / n)``).
 """
 
 from __future__ import annotations
@@ -10,10 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_KINDS = ("sum", "last", "max", "min")
 
-
-def _local(kind: str, value: Column, w) -> Column:
+def _running(kind: str, value: Column, w) -> Column:
     if kind == "sum":
         return F.coalesce(F.sum(value).over(w), F.lit(0))
     if kind == "last":
@@ -23,21 +24,13 @@ def _local(kind: str, value: Column, w) -> Column:
 
 def _total(kind: str, value: Column, order: Column, reverse: bool) -> Column:
     if kind == "sum":
-        return F.coalesce(F.sum(value), F.lit(0))
+        return F.sum(value)
     if kind == "last":
         pick = F.min if reverse else F.max
         return pick(F.when(value.isNotNull(), F.struct(order.alias("o"), value.alias("v"))))["v"]
     return (F.max if kind == "max" else F.min)(value)
 
 
-def _combine(kind: str, here: Column, carry: Column) -> Column:
-    if kind == "sum":
-        return here + F.coalesce(carry, F.lit(0))
-    if kind == "last":
-        return F.coalesce(here, carry)
-    return (F.greatest if kind == "max" else F.least)(here, carry)
-
-
 def prefix_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column,
                 specs: dict[str, tuple[str, Column]], reverse: bool = False,
                 inclusive: bool = True) -> DataFrame:
@@ -47,31 +40,24 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column
     from the end; without ``inclusive`` the row itself is left out, so ``last`` is a lag (or lead).
     """
     names = list(specs)
+    direction = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
     base = df.withColumn("_bucket", bucket)
     for n in names:
         base = base.withColumn(f"_v_{n}", specs[n][1])
-    direction = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
-    piece = Window.partitionBy(*keys, "_bucket").orderBy(*[direction(c) for c in order]).rowsBetween(
-        Window.unboundedPreceding, 0 if inclusive else -1)
-    rank = F.struct(*[F.col(c) for c in order])
 
+    rank = F.struct(*[F.col(c) for c in order])
     totals = base.groupBy(*keys, "_bucket").agg(
         *[_total(specs[n][0], F.col(f"_v_{n}"), rank, reverse).alias(f"_t_{n}") for n in names])
     before = Window.partitionBy(*keys).orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_bucket").alias("_k_bucket"),
-        *[_local(specs[n][0], F.col(f"_t_{n}"), before).alias(f"_c_{n}") for n in names])
+    lead = totals.select(*keys, "_bucket", F.lit(0).alias("_row"),
+                         *[_running(specs[n][0], F.col(f"_t_{n}"), before).alias(f"_v_{n}") for n in names])
 
-    here = base
-    for n in names:
-        here = here.withColumn(f"_h_{n}", _local(specs[n][0], F.col(f"_v_{n}"), piece))
-    on = F.col("_bucket").eqNullSafe(F.col("_k_bucket"))
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    joined = here.join(carry, on, "left")
-    return joined.select(
-        *[F.col(c) for c in df.columns if c not in specs],
-        *[_combine(specs[n][0], F.col(f"_h_{n}"), F.col(f"_c_{n}")).alias(n) for n in names])
+    rows = base.withColumn("_row", F.lit(1)).unionByName(lead, allowMissingColumns=True)
+    piece = Window.partitionBy(*keys, "_bucket").orderBy("_row", *[direction(c) for c in order]).rowsBetween(
+        Window.unboundedPreceding, 0 if inclusive else -1)
+    scanned = rows.select(*[F.col(c) for c in df.columns if c not in specs], "_row",
+                          *[_running(specs[n][0], F.col(f"_v_{n}"), piece).alias(n) for n in names])
+    return scanned.where("_row = 1").drop("_row")
 
 
 def ordinal_bucket(c: str, size: int = 4096) -> Column:

@@ -15,7 +15,7 @@ from .texts import NL, S, TITLE, C
 
 def captures(t):
     """Pages as captures."""
-    return t.pages.select(C("page_id").alias("id"), "url", F.col("html").alias("raw_html"), F.lit(None).cast("string").alias("raw_json"),
+    return t.spread("pages").select(C("page_id").alias("id"), "url", F.col("html").alias("raw_html"), F.lit(None).cast("string").alias("raw_json"),
                           F.lit("2024-02-01").cast("timestamp").alias("scraped_at"))
 
 
@@ -36,32 +36,32 @@ SELECT page_id, CASE WHEN url LIKE '%/fr/%' THEN 'OG ' || page_id ELSE coalesce(
 def title_cascade(t):
     og = F.when(F.contains("url", F.lit("/fr/")), S('<meta property="og:title" content="OG ', C("page_id"), '">')).otherwise("")
     canonical = F.when(F.contains("url", F.lit("/de/")), S("https://c.test/", C("page_id")))
-    h = t.pages.select("page_id", "url", F.concat(og, "html").alias("html"), canonical.alias("canonical"))
+    h = t.spread("pages").select("page_id", "url", F.concat(og, "html").alias("html"), canonical.alias("canonical"))
     title = F.coalesce(CV.meta_content("html", "og:title"), CV.tag_text("html", "title"), F.lit("Unknown Title"))
     return h.select("page_id", title.alias("title"), F.coalesce("canonical", "url").alias("link"))
 
 
 @query("html_to_markdown")
 def html_to_markdown(t):
-    return t.pages.select("page_id", X.markdown()(F.col("html")).alias("markdown"))
+    return t.spread("pages").select("page_id", X.markdown()(F.col("html")).alias("markdown"))
 
 
 @query("html_minify", f"""
 SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(replace(html, '&quot;', '"'), '{Q.INVISIBLE}|<nav>.*?</nav>|<footer>.*?</footer>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS txt FROM pages""".replace("\\\\", "\\"))
 def html_minify(t):
     """Visible text of minified pages."""
-    return t.pages.select("page_id", strip_tags(X.minify()(F.col("html"))).alias("txt"))
+    return t.spread("pages").select("page_id", strip_tags(X.minify()(F.col("html"))).alias("txt"))
 
 
 @query("content_select")
 def content_select(t):
     x = X.page_fields(content=["main", "article"], min_content=50, links=False)
-    return t.pages.select("page_id", x(F.col("html")).alias("x")).select("page_id", "x.content_rank", F.length("x.content_html").alias("chars"), "x.content_md")
+    return t.spread("pages").select("page_id", x(F.col("html")).alias("x")).select("page_id", "x.content_rank", F.length("x.content_html").alias("chars"), "x.content_md")
 
 
 @query("main_container")
 def main_container(t):
-    return CV.main_containers(t.pages, "page_id", "html", "p")
+    return CV.main_containers(t.spread("pages"), "page_id", "html", "p")
 
 
 @query("selector_audit", f"""WITH {Q.ANCHORS}
@@ -69,19 +69,19 @@ SELECT 'a' AS selector, (SELECT count(*) FROM anchors) AS matches, (SELECT count
 UNION ALL SELECT 'h1', count(*), count(*) FROM pages UNION ALL SELECT 'table.none', 0, 0""")
 def selector_audit(t):
     """Matches per selector over the whole corpus: a drift monitor."""
-    rows = t.pages.select(F.explode(X.selector_audit(["a", "h1", "table.none"])(F.col("html"))).alias("s")).select("s.*")
+    rows = t.spread("pages").select(F.explode(X.selector_audit(["a", "h1", "table.none"])(F.col("html"))).alias("s")).select("s.*")
     return rows.groupBy("selector").agg(F.sum("count").alias("matches"), F.count_if(F.col("count") > 0).alias("pages"))
 
 
 @query("dense_elements")
 def dense_elements(t):
-    rows = t.pages.select("page_id", F.explode(X.dense_elements(200)(F.col("html"))).alias("e"))
+    rows = t.spread("pages").select("page_id", F.explode(X.dense_elements(200)(F.col("html"))).alias("e"))
     return rows.select("page_id", "e.tag", "e.id", "e.cls", "e.text_length", "e.preview")
 
 
 @query("listing_items", f"""WITH {Q.ANCHORS} SELECT page_id, href, min(pos) AS pos FROM anchors WHERE href <> '' GROUP BY 1, 2""")
 def listing_items(t):
-    return CV.listing(t.pages, "page_id", "html", [".post-title a", "nav li a", "a"], "body").select("page_id", "href", "pos")
+    return CV.listing(t.spread("pages"), "page_id", "html", [".post-title a", "nav li a", "a"], "body").select("page_id", "href", "pos")
 
 
 @query("job_cards", r"""
@@ -93,7 +93,7 @@ def job_cards(t):
     card = S('<ul><li><a href="/jobs/view/engineer-at-acme-', (n + 4000000).cast("string"), '?x=1"> Engineer  ', C("page_id"),
              '</a><h4 class="base-subtitle">Acme</h4><span class="job-location">Berlin 3 days ago</span></li>')
     again = S('<li><a href="/jobs/view/', (n + 4000000).cast("string"), '">Again</a><li><a href="https://x/jobs/view/', (n + 9000000).cast("string"), '">Other</a></ul>')
-    p = t.pages.select("page_id", F.concat(card, again, "html").alias("html"))
+    p = t.spread("pages").select("page_id", F.concat(card, again, "html").alias("html"))
     return CV.job_cards(p, "page_id", "html", ["Germany"]).select("page_id", "job_id", "title", "company", "location", "geo", "matches_target")
 
 
@@ -107,7 +107,7 @@ def job_fields(t):
 @query("course_links")
 def course_links(t):
     x = X.page_fields()(F.concat(S('<a href="https://x.example.com/c/', C("page_id"), '">A Course</a>'), F.col("html")))
-    rows = t.pages.select("page_id", x.alias("x"))
+    rows = t.spread("pages").select("page_id", x.alias("x"))
     return rows.select("page_id", F.explode(CV.course_links(F.col("x.links"), F.lit("example.com"))).alias("href"))
 
 
@@ -118,7 +118,7 @@ def first_external_link(t):
     planted = S('<body><a href="https://aicasebook.dev/x">own</a><a href="https://out.test/', C("page_id"), '">out</a>조회 ', C("page_id"), "</body>")
     links = F.transform(F.regexp_extract_all(planted, F.lit('href="([^"]*)"'), F.lit(1)), lambda h: F.struct(h.alias("href")))
     views = F.regexp_extract(planted, r"조회\s*(\d+)", 1).cast("int")
-    return t.pages.select("page_id", CV.first_external_link(links, F.lit("aicasebook.dev")).alias("source_link"), views.alias("views"))
+    return t.spread("pages").select("page_id", CV.first_external_link(links, F.lit("aicasebook.dev")).alias("source_link"), views.alias("views"))
 
 
 @query("raw_payload", """
@@ -126,7 +126,7 @@ SELECT page_id, CASE WHEN url LIKE '%/fr/%' THEN NULL ELSE md5(CASE WHEN url LIK
   CASE WHEN url LIKE '%/fr/%' THEN 'No rawHtml or rawJson found' END AS error FROM pages""")
 def raw_payload(t):
     fr, de = F.contains("url", F.lit("/fr/")), F.contains("url", F.lit("/de/"))
-    p = t.pages.select("page_id", F.when(~fr & ~de, F.col("html")).when(de, "").alias("raw_html"), F.when(de, S('{"u":"', F.col("url"), '"}')).alias("raw_json"))
+    p = t.spread("pages").select("page_id", F.when(~fr & ~de, F.col("html")).when(de, "").alias("raw_html"), F.when(de, S('{"u":"', F.col("url"), '"}')).alias("raw_json"))
     payload, error = CV.raw_payload()
     return p.select("page_id", F.md5(payload).alias("payload"), error.alias("error"))
 

@@ -20,7 +20,7 @@ PAGES_SITE = SiteSpec("pages", "Test pages", U.job_id, exclude=["favicon", "logi
 
 def page_links(t):
     """Anchors of all pages with their outcome against the host of the page."""
-    rows = L.anchors(t.pages.select("page_id", F.col("url").alias("page_url"), "html"))
+    rows = L.anchors(t.spread("pages").select("page_id", F.col("url").alias("page_url"), "html"))
     return L.link_outcomes(rows, U.host_of("page_url"), PAGES_SITE)
 
 
@@ -38,7 +38,7 @@ _KNOWN = f"""known AS (SELECT {Q.job_id('url')} AS dst_id FROM pages
 
 @query("anchors", f"WITH {Q.ANCHORS} SELECT page_id, pos, href FROM anchors")
 def anchors(t):
-    return L.anchors(t.pages.select("page_id", "html"))
+    return L.anchors(t.spread("pages", "page_id", "html"))
 
 
 @query("link_outcomes", f"WITH {Q.LINKS} SELECT page_id, pos, href, url, dst_id, outcome FROM links")

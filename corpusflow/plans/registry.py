@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import configure, table
+from ..session import configure, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +22,11 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return table(self.spark, self.base, name)
 
+    def spread(self, name: str, *columns: str) -> DataFrame:
+        """Some columns of a table for a CPU-heavy stage, over all cores even when the table is one file."""
+        df = table(self.spark, self.base, name)
+        return spread(df.select(*columns) if columns else df)
+
 
 def query(name: str, sql: str | None = None):
     """Register ``fn(tables) -> DataFrame`` under ``name``; without ``sql`` only rows are checked."""

@@ -14,7 +14,7 @@ from .registry import query
 def search_docs(t):
     """Documents as search documents; the publish day follows from the text length."""
     published = F.date_add(F.lit("2024-01-01").cast("date"), F.col("n_chars").cast("int")).cast("string")
-    d = t.documents.select(F.col("source").alias("site"), F.col("doc_id").alias("id"), T.first_heading_or_line("text").alias("title"),
+    d = t.spread("documents").select(F.col("source").alias("site"), F.col("doc_id").alias("id"), T.first_heading_or_line("text").alias("title"),
                            F.lit(None).cast("string").alias("company_name"), F.lit("").alias("location"),
                            F.when(F.col("lang") != "es", F.col("lang")).alias("geo"), F.col("text").alias("content"),
                            F.concat(F.lit("https://d/"), "doc_id").alias("url"), published.alias("published_at"))

@@ -146,7 +146,8 @@ def log_lines(t):
     signup = F.when(F.col("value") < 20, F.lit("   at run (worker:1)")).otherwise(F.concat(F.lit("{broken "), e, F.lit("}")))
     line = (F.when(kind == "error", error).when(kind == "view", view).when(kind == "click", click)
             .when(kind == "purchase", purchase).otherwise(signup))
-    return t.events.select(F.concat(F.lit("w"), F.substring(kind, 1, 1)).alias("service"), F.col("event_id").alias("idx"), line.alias("line"))
+    events = t.spread("events") if hasattr(t, "spread") else t.events
+    return events.select(F.concat(F.lit("w"), F.substring(kind, 1, 1)).alias("service"), F.col("event_id").alias("idx"), line.alias("line"))
 
 
 _LOGS = r"""lines AS (SELECT 'w' || substr(event_type, 1, 1) AS service, event_id AS idx, event_type, user_id, value, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS stamp,

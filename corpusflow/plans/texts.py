@@ -35,7 +35,7 @@ def title():
 SELECT doc_id, ')[' || trim({TITLE}) || ' more](https://x/' || doc_id || ') [![a b](i.png)](u) [esc_' || {NL} || text AS md FROM documents""")
 def md_clean_links(t):
     md = S("[go](javascript:void(0))[ ", title(), " \n more ]( https://x/ ", C("doc_id"), " ) [ ![a b](i.png)\n\n ]( u ) \\[esc\\_\n", F.col("text"))
-    return t.documents.select("doc_id", T.clean_markdown_links(md).alias("md"))
+    return t.spread("documents").select("doc_id", T.clean_markdown_links(md).alias("md"))
 
 
 _CC = rf"""
@@ -53,7 +53,7 @@ WITH b AS (SELECT doc_id, 0 AS k, text AS c FROM documents
 SELECT doc_id, k, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(c,
    '^\*?\s*[''"#]*\d+\s*[''"]*\s*\n?', ''), '(?m)^[ \t]*\*[ \t]', '- ', 'g'), '(?m)^\\- ', '- ', 'g'), '(?m)^(#{{2,}})\s', '#\1 ', 'g'), '^\s+', '') AS c FROM b2""")
 def md_clean_content(t):
-    d = t.documents
+    d = t.spread("documents")
     rows = d.select("doc_id", F.lit(0).alias("k"), F.col("text").alias("c")).union(d.select("doc_id", F.lit(1), S(
         "* '#", C("doc_id"), "'\n## H\n  * one\n\\- two <b>x</b>\n", F.col("text")))).union(
         d.select("doc_id", F.lit(2), S("aaa - ", title(), " - ccc - ", F.col("lang"), " - dddd")))
@@ -66,7 +66,7 @@ def md_view_clean(t):
     md = (F.when(F.col("lang") == "fr", S("---\ntitle: ", C("doc_id"), "\n---\n", F.col("text"), "\n## 💬 Comments\nno"))
           .when(F.col("lang") == "de", S("intro\n## 📝 jd\n", title(), "\n## 💬 댓글 (3)\n", F.col("text")))
           .otherwise(S("---a---\nx\n## 💬 discussion ", F.col("text"))))
-    return t.documents.select("doc_id", T.view_markdown(md).alias("md"))
+    return t.spread("documents").select("doc_id", T.view_markdown(md).alias("md"))
 
 
 @query("md_meta_table", f"""
@@ -79,7 +79,7 @@ def md_meta_table(t):
     no = F.lit(None).cast("string")
     md = T.metadata_table(title(), F.when(F.col("lang") != "fr", F.col("source")), no, C("doc_id"),
                           F.lit("silver/src_x.contents"), no, S("https://u/", C("doc_id")), no)
-    return t.documents.select("doc_id", F.when(title() == "", F.lit("no title")).otherwise(md).alias("md"))
+    return t.spread("documents").select("doc_id", F.when(title() == "", F.lit("no title")).otherwise(md).alias("md"))
 
 
 @query("safe_name", r"""
@@ -156,7 +156,7 @@ def fmt_scalars(t):
 SELECT doc_id, trim({TITLE} || ' [go there](u) ' || lang || ' &x ' || trim(text, ' ' || {NL}), ' ' || {NL}) AS md FROM documents WHERE NOT contains(text, '{{') AND NOT contains(text, '[')""")
 def mail_noise(t):
     md = S("@media print {a:b}", title(), ".cls {x:y}![](i.png)[](u) [ go \r\n\n there ]( u )[Unsubscribe](z) ", F.col("lang"), "&nbsp;&x ", F.col("text"))
-    d = t.documents.where(~F.contains("text", F.lit("{")) & ~F.contains("text", F.lit("[")))
+    d = t.spread("documents").where(~F.contains("text", F.lit("{")) & ~F.contains("text", F.lit("[")))
     return d.select("doc_id", T.mail_noise(md).alias("md"))
 
 
@@ -167,7 +167,7 @@ SELECT doc_id, plain, length(plain) AS chars, 'a' || {NL} || {NL} || source AS d
 def plain_text(t):
     p = T.plain_text(S("# T [", F.col("source"), "](http://x) **b** `c`\n", F.col("text")))
     desc = T.clean_description(S("a\n \n\n\n", F.col("source"), "Show more \n Show less"))
-    return t.documents.select("doc_id", p.alias("plain"), F.length(p).alias("chars"), desc.alias("description"))
+    return t.spread("documents").select("doc_id", p.alias("plain"), F.length(p).alias("chars"), desc.alias("description"))
 
 
 _REFLOW = rf"""list_transform(ls, lambda x, i: CASE
@@ -181,7 +181,7 @@ WITH l AS (SELECT doc_id, string_split(regexp_replace('# H' || {NL} || {NL} || {
 SELECT doc_id, regexp_replace(regexp_replace(array_to_string({_REFLOW}, ''), ' {{2,}}', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g') AS md FROM l""")
 def md_reflow(t):
     md = S("# H\n\n\n\na  b\n  c\n- d\n", F.replace("text", F.lit(", "), F.lit("\n")))
-    return t.documents.select("doc_id", T.reflow_markdown(md).alias("md"))
+    return t.spread("documents").select("doc_id", T.reflow_markdown(md).alias("md"))
 
 
 @query("truncate_lines", f"""
@@ -189,20 +189,20 @@ WITH l AS (SELECT doc_id, string_split(replace(text, ' ', {NL}), {NL}) AS ls FRO
 SELECT doc_id, CASE WHEN len(ls) > 150 THEN array_to_string(ls[1:50], {NL}) || {NL} || {NL} || '... [Truncated ' || (len(ls) - 150) || ' lines of output. Full log copied to tasks/ directory] ...' || {NL} || {NL} || array_to_string(ls[len(ls) - 99:], {NL})
   ELSE array_to_string(ls, {NL}) END AS cut FROM l""")
 def truncate_lines(t):
-    return t.documents.select("doc_id", T.truncate_lines(F.replace("text", F.lit(" "), F.lit("\n"))).alias("cut"))
+    return t.spread("documents").select("doc_id", T.truncate_lines(F.replace("text", F.lit(" "), F.lit("\n"))).alias("cut"))
 
 
 @query("compact_lines", f"""
 SELECT doc_id, array_to_string(list_filter(list_transform(string_split('<!-- a' || {NL} || '  ' || text || {NL} || {NL} || 'x -->', {NL}), lambda x: trim(x)),
   lambda x: x <> '' AND NOT starts_with(x, '<!--') AND NOT ends_with(x, '-->')), {NL}) AS rules FROM documents""")
 def compact_lines(t):
-    return t.documents.select("doc_id", T.compact_lines(S("<!-- a\n  ", F.col("text"), "\n\nx -->")).alias("rules"))
+    return t.spread("documents").select("doc_id", T.compact_lines(S("<!-- a\n  ", F.col("text"), "\n\nx -->")).alias("rules"))
 
 
 @query("relativize", r"SELECT page_id, regexp_replace('see ' || url || ' in https://www.ththwh.example.org', 'https://www\.ththwh\.example\.org/?', './', 'g') AS txt FROM pages")
 def relativize(t):
     txt = S("see ", F.col("url"), " in https://www.ththwh.example.org")
-    return t.pages.select("page_id", T.relativize(txt, "https://www.ththwh.example.org").alias("txt"))
+    return t.spread("pages").select("page_id", T.relativize(txt, "https://www.ththwh.example.org").alias("txt"))
 
 
 @query("link_lint", rf"""
@@ -211,7 +211,7 @@ WITH m AS (SELECT doc_id, string_split(text || {NL} || '[a](https://x) b [c](./d
 SELECT doc_id, no, unnest(regexp_extract_all(line, '(?i)\[.*?\]\((?:file://|http://|https://|www\.)')) AS found FROM l""")
 def link_lint(t):
     md = S(F.col("text"), "\n[a](https://x) b [c](./d) [e](FILE://f)\n[g](www.h)")
-    rows = t.documents.select("doc_id", F.posexplode(T.lines_of(md)).alias("no", "line"))
+    rows = t.spread("documents").select("doc_id", F.posexplode(T.lines_of(md)).alias("no", "line"))
     return rows.select("doc_id", (F.col("no") + 1).alias("no"), F.explode(T.absolute_links("line")).alias("found"))
 
 
@@ -222,7 +222,7 @@ SELECT doc_id, upper(substr(l, 1, 1)) || substr(l, 2) AS label, upper(substr(s,
   replace(replace(c, '.contents', ''), 'silver/', '') AS s FROM x)""")
 def display_name(t):
     c = S("silver/", F.col("source"), "NewsFeed_", F.col("lang"), ".contents")
-    return t.documents.select("doc_id", T.collection_label(c).alias("label"), T.dashboard_label(c).alias("short"))
+    return t.spread("documents").select("doc_id", T.collection_label(c).alias("label"), T.dashboard_label(c).alias("short"))
 
 
 @query("resource_links", f"""
@@ -230,8 +230,8 @@ SELECT doc_id, 'a (images/' || md5(source) || CASE WHEN lang = 'fr' THEN '.jpg'
 def resource_links(t):
     """Resource links of a document rewritten through a resource table; unknown ids stay."""
     md = S("a (:/", F.md5("source"), ") ", title(), " (:/", F.md5("source"), ") (:/", F.md5("text"), ")")
-    docs = t.documents.select("doc_id", "lang", md.alias("md"))
-    kinds = t.documents.select(F.md5("source").alias("id")).distinct()
+    docs = t.spread("documents").select("doc_id", "lang", md.alias("md"))
+    kinds = t.spread("documents").select(F.md5("source").alias("id")).distinct()
     ext = F.when(F.col("lang") == "fr", "jpg")
     out = IM.rewrite_resources(docs.withColumn("ext", ext), "doc_id", "md", kinds, "ext")
     return out.select("doc_id", "md")
@@ -252,7 +252,7 @@ def natural_sort(t):
 @query("text_preview", rf"""
 SELECT page_id, substr(trim(regexp_replace(regexp_replace(regexp_replace(html, '{Q.INVISIBLE}', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')), 1, 500) AS preview FROM pages""")
 def text_preview(t):
-    return t.pages.select("page_id", F.substring(T.strip_tags("html"), 1, 500).alias("preview"))
+    return t.spread("pages").select("page_id", F.substring(T.strip_tags("html"), 1, 500).alias("preview"))
 
 
 _IMG = f"""i AS (SELECT doc_id, '<p><img class="a" src="/a/' || doc_id || '.png"><IMG src=''data:x''><img src="//cdn.x/' || lang || '.jpg"><img src="/favicon.png">' AS html,
@@ -267,7 +267,7 @@ SELECT doc_id, src, CASE WHEN src LIKE 'data:%' THEN src WHEN src LIKE '//%' THE
 def image_refs(t):
     html = S('<p><img class="a" src="/a/', C("doc_id"), '.png"><IMG src=\'data:x\'><img src="//cdn.x/', F.col("lang"), '.jpg"><img src="/favicon.png">')
     md = S(title(), " ![z](https://m.x/", F.col("source"), ".gif) ![q](rel.png)")
-    d = t.documents.select("doc_id", html.alias("html"), md.alias("md"))
+    d = t.spread("documents").select("doc_id", html.alias("html"), md.alias("md"))
     return IM.image_references(d, ["doc_id"], "html", "md", F.lit("d.test")).select("doc_id", "src", "url", "action")
 
 
@@ -276,8 +276,8 @@ SELECT doc_id, replace({TITLE} || ' ![z](https://m.x/' || source || '.gif) https
   || {NL} || {NL} || '---' || {NL} || '### Collected Images' || {NL} || '- `https://m.x/' || source || '.gif` -> `/s/' || source || '.gif`' || {NL} AS md FROM documents""")
 def image_rewrite(t):
     md = S(title(), " ![z](https://m.x/", F.col("source"), ".gif) https://n.x/", F.col("lang"))
-    docs = t.documents.select("doc_id", md.alias("md"))
-    mapping = t.documents.select("doc_id", S("https://m.x/", F.col("source"), ".gif").alias("src"), S("/s/", F.col("source"), ".gif").alias("path"))
+    docs = t.spread("documents").select("doc_id", md.alias("md"))
+    mapping = t.spread("documents").select("doc_id", S("https://m.x/", F.col("source"), ".gif").alias("src"), S("/s/", F.col("source"), ".gif").alias("path"))
     out = IM.rewrite_images(docs, "doc_id", "md", mapping)
     return out.select("doc_id", F.concat("md", "footer").alias("md"))
 
@@ -289,7 +289,7 @@ def jd_split(t):
     body = F.col("text")
     md = (F.when(F.col("lang") == "fr", S("hello\n## About Src\nwe are\nJob Description:\n", body))
           .when(F.col("lang") == "de", S("a long enough opening text\nRequirements\n", body)).otherwise(S("short\nRequirements\n", body)))
-    d = t.documents.where(~F.col("text").rlike(r"[\r]|\n\n\n"))
+    d = t.spread("documents").where(~F.col("text").rlike(r"[\r]|\n\n\n"))
     return d.select("doc_id", T.jd_split(md, F.lit("Src")).alias("jd"))
 
 

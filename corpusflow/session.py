@@ -25,6 +25,13 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{base}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a CPU-heavy stage over a small scan at least one partition per core. A scan with more
+    partitions than cores, which is every large one, is left alone and not shuffled."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.isStreaming or scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Checkpoint to the shared directory of the cluster, so that the data outlives an executor.
 

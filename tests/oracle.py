@@ -18,12 +18,16 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "benchmark labels conversations").split()
 
 
-def session(cores: str = "8"):
+def session(cores: str = "8", shared: str | None = None):
+    import tempfile
+
     from pyspark.sql import SparkSession
+    shared = shared or tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark = (SparkSession.builder.master(f"local[{cores}]").appName("corpusflow-tests")
              .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "8")
              .config("spark.driver.memory", "12g").config("spark.sql.session.timeZone", "UTC")
-             .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+             .config("spark.ui.showConsoleProgress", "false").config("spark.checkpoint.dir", shared)
+             .config("spark.sql.warehouse.dir", shared + "/warehouse").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
