@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.base import col, contains_any, match_group, trim_ws
+from ..session import cut_lineage
 from .links import first_by_id
 from .scan import ordinal_bucket, prefix_scan
 
@@ -39,37 +40,35 @@ def part_chapters(toc: DataFrame, totals: DataFrame) -> DataFrame:
     """Chapters of books with parts: a part is replaced by the level-2 entries in its page range.
 
     A part ends at the next larger level-1 page of its book (tables of contents run in page order).
-    The range join is an equi-join: each child first learns the level-1 page it lies under.
+    The range join is an equi-join: every entry first learns the level-1 page it lies under and the
+    next one after it. That placement feeds four branches, so it is written out once.
     """
-    top = toc.where("level = 1").select("book", "ord", "title", "page")
-    pages = top.select("book", "page").distinct()
-    ends = prefix_scan(pages, ["book"], ["page"], ordinal_bucket("page"), {"_next": ("last", F.col("page"))},
+    entries = toc.where("level IN (1, 2)").select("book", "ord", "level", "title", "page")
+    pages = entries.groupBy("book", "page").agg(F.max(F.col("level") == 1).alias("top"))
+    top_page, bucket = F.when(F.col("top"), F.col("page")), ordinal_bucket("page")
+    pages = prefix_scan(pages, ["book"], ["page"], bucket, {"_next": ("last", top_page)}, reverse=True, inclusive=False)
+    pages = prefix_scan(pages, ["book"], ["page"], bucket, {"part_page": ("last", top_page)}).drop("top")
+    placed = entries.join(pages, ["book", "page"]).join(totals, "book")
+    placed = cut_lineage(placed.select("book", "ord", "level", "title", "page", "part_page", F.coalesce("_next", "pages").alias("end_page")))
+
+    # Children before the first part, or past the last page, belong to no part.
+    kids = placed.where("level = 2 AND part_page IS NOT NULL AND page < end_page").select("book", "part_page", "ord", "page", "title")
+    kids = prefix_scan(kids, ["book", "part_page"], ["ord"], ordinal_bucket("ord"), {"_after": ("last", F.col("page"))},
                        reverse=True, inclusive=False)
-    tops = top.join(ends, ["book", "page"]).join(totals, "book").withColumn("end_page", F.coalesce("_next", "pages"))
     is_part = F.contains(F.lower("title"), F.lit("part"))
-
-    marks = pages.select("book", "page", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("ord"), F.lit(None).cast("string").alias("title"))
-    kids = toc.where("level = 2").select("book", "page", F.lit(1).alias("kind"), F.col("ord").cast("bigint").alias("ord"), "title")
-    placed = prefix_scan(marks.union(kids), ["book"], ["page", "kind", "ord"], ordinal_bucket("page"),
-                         {"part_page": ("last", F.when(F.col("kind") == 0, F.col("page")))})
-    # Children past the last page of the book belong to no part.
-    kids = placed.where("kind = 1 AND part_page IS NOT NULL").join(totals, "book").join(
-        ends.withColumnRenamed("page", "part_page"), ["book", "part_page"]).where(F.col("page") < F.coalesce("_next", "pages"))
-    kids = prefix_scan(kids.select("book", "part_page", "ord", "page", "title"), ["book", "part_page"], ["ord"],
-                       ordinal_bucket("ord"), {"_after": ("last", F.col("page"))}, reverse=True, inclusive=False)
-
+    tops = placed.where("level = 1")
     number = match_group("title", r"(?:Part|PART)\s+([IVXLCDM]+|\d+)")
     prefix = F.coalesce(F.concat(F.lit("Part "), number), trim_ws(F.substring_index("title", ".", 1)))
-    parts = tops.where(is_part).select("book", F.col("ord").alias("part_ord"), F.col("page").alias("part_page"),
-                                       prefix.alias("prefix"), "end_page")
+    parts = tops.where(is_part).select("book", F.col("ord").alias("part_ord"), "part_page", prefix.alias("prefix"), "end_page")
     inside = parts.join(kids, ["book", "part_page"]).select(
         "book", "part_ord", "ord", F.concat("prefix", F.lit(" - "), "title").alias("title"), F.col("page").alias("start_page"),
         F.coalesce("_after", "end_page").alias("end_page"), is_included("title").alias("include"))
-    childless = tops.where(is_part).join(kids.select("book", F.col("part_page").alias("page")).distinct(), ["book", "page"], "left_anti")
-    own = tops.where(~is_part).select("book", "ord", "title", "page", "end_page").unionByName(
-        childless.select("book", "ord", "title", "page", "end_page"))
-    return inside.unionByName(own.select("book", F.col("ord").alias("part_ord"), F.col("ord").cast("bigint").alias("ord"), "title",
-                                         F.col("page").alias("start_page"), "end_page", is_included("title").alias("include")))
+    filled = placed.where("level = 2 AND part_page IS NOT NULL AND page < end_page").select("book", "part_page").distinct()
+    childless = tops.where(is_part).join(filled, ["book", "part_page"], "left_anti")
+    cols = ["book", "ord", "title", "page", "end_page"]
+    own = tops.where(~is_part).select(*cols).unionByName(childless.select(*cols))
+    return inside.unionByName(own.select("book", F.col("ord").alias("part_ord"), "ord", "title", F.col("page").alias("start_page"),
+                                         "end_page", is_included("title").alias("include")))
 
 
 def detect_chapters(page_text: DataFrame, totals: DataFrame) -> DataFrame:

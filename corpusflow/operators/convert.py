@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import text as T
-from ..functions.base import col, first_filled, match_group, trim_ws
+from ..functions.base import col, first_filled, let, match_group, trim_ws
 from ..functions.jsonx import as_json_array, is_json_object, json_field, pairs_to_map, unescape
 from ..functions.html import FORUM, TOPIC
 from ..functions.geo import country_of, geo_bucket
@@ -378,8 +378,10 @@ def listing(pages: DataFrame, key: str, html: str, selectors: list[str], contain
     """Titled links of list pages ``key, href, pos, title``: per page only those of the first selector
     that finds any, first occurrence per address."""
     rows = pages.select(key, X.listing_items(selectors, container)(F.col(html)).alias("_items"))
-    rows = rows.withColumn("_best", F.array_min(F.transform("_items", lambda i: i["rank"])))
-    rows = rows.select(key, "_best", F.explode("_items").alias("i")).where(F.col("i.rank") == F.col("_best"))
+    first_rank = F.array_min(F.transform("_items", lambda i: i["rank"]))
+    best = let(first_rank, lambda r: F.filter("_items", lambda i: i["rank"] == r))
+    # The outer explode infers no filter on the array, which would run the batch function twice.
+    rows = rows.select(key, F.explode_outer(best).alias("i"))
     rows = rows.select(key, "i.href", "i.pos", "i.title").where("title <> ''")
     return first_by_id(rows, ["pos"], [key, "href"])
 

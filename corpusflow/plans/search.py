@@ -8,6 +8,7 @@ from ..functions import text as T
 from ..operators import lookup as LK
 from ..operators import search as SE
 from ..operators import stats as ST
+from ..session import cut_lineage
 from .registry import query
 
 
@@ -51,7 +52,8 @@ _ORDER = "ORDER BY words DESC, typos, proximity, best_field, published_at DESC N
 
 def index(t):
     docs = search_docs(t)
-    posts = SE.postings(docs)
+    # A search reads a stored index, so the postings are written once and not per branch.
+    posts = cut_lineage(SE.postings(docs))
     return docs, posts, SE.vocabulary(posts)
 
 
@@ -68,7 +70,7 @@ def index_stats(t):
 
 @query("postings", f"WITH {_POSTS} SELECT * FROM posts")
 def postings(t):
-    return index(t)[1]
+    return SE.postings(search_docs(t))
 
 
 @query("search_ranked", f"""WITH {_POSTS}, {_ranked(["the", "on"], False)}
@@ -104,7 +106,7 @@ def search_total(t):
 @query("search_weighted", f"""WITH {_POSTS}
 SELECT doc_id, CAST(sum([10, 3, 1, 1, 5][field + 1] * tf) AS BIGINT) AS score FROM posts WHERE term IN ('the', 'und', 'queaux') GROUP BY 1 ORDER BY score DESC, doc_id LIMIT 30""")
 def search_weighted(t):
-    return SE.weighted_search(index(t)[1], ["The", "und", "queaux"], [10, 3, 1, 1, 5])
+    return SE.weighted_search(SE.postings(search_docs(t)), ["The", "und", "queaux"], [10, 3, 1, 1, 5])
 
 
 @query("search_snippet", f"""WITH {_POSTS}, {_ranked(["the"], False)}, h AS (SELECT * FROM hits JOIN docs USING (doc_id) {_ORDER} LIMIT 30)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Semantics only: nothing here sizes the job.
@@ -32,16 +34,16 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan if scan.isStreaming or scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared directory of the cluster, so that the data outlives an executor.
+def work_path(spark: SparkSession, name: str) -> str:
+    """New folder for an intermediate table. It lies in the shared directory the cluster names in
+    ``spark.checkpoint.dir``; only where that is unset (tests) under the SQL warehouse."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/_corpusflow/{name}-{uuid.uuid4().hex[:12]}"
+
 
-    The directory named by ``spark.checkpoint.dir`` wins. Only where it is unset (tests) is a
-    directory under the SQL warehouse used.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        fallback = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        sc.setCheckpointDir(configured or fallback)
-    return df.checkpoint()
+def cut_lineage(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Write an intermediate result as a table in the shared directory and read it back: it is
+    computed once, outlives an executor, and its readers still prune columns."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

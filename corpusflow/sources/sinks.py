@@ -9,12 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_partition
 from ..operators.upsert import index_key, latest_by_key, write_partitions
-
-
-def work_path(spark: SparkSession, name: str) -> str:
-    """New folder for intermediate tables, in the shared directory of the cluster where one is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{shared.rstrip('/')}/_corpusflow/{name}-{uuid.uuid4().hex[:12]}"
+from ..session import work_path  # noqa: F401
 
 
 def write_by_date(rows: DataFrame, root: str, kind: str, date: str) -> None:
