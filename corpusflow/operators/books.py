@@ -126,16 +126,19 @@ def dedupe_spans(spans: DataFrame) -> DataFrame:
 
 
 def block_texts(spans: DataFrame) -> DataFrame:
-    """Text of each block in reading order, with its mean size and bold flag. Spans are joined per
-    line first, so a block only gathers its lines."""
-    order = lambda c, *by: F.array_sort(F.collect_list(F.struct(*by, c)))
-    lines = spans.groupBy("book", "page", "block", "line").agg(
-        F.array_join(F.transform(order("text", "span"), lambda s: s["text"]), "").alias("t"), F.sum("size").alias("size_sum"),
-        F.count("*").alias("n"), F.max((F.col("flags").bitwiseAND(16) > 0)).alias("bold"))
-    lines = lines.withColumn("t", trim_ws("t")).where("t <> ''")
-    return lines.groupBy("book", "page", "block").agg(
-        F.array_join(F.transform(order("t", "line"), lambda s: s["t"]), " ").alias("text"),
-        (F.sum("size_sum") / F.sum("n")).alias("avg_size"), F.max("bold").alias("bold"))
+    """Text of each block in reading order, with its mean size and bold flag. A block is a paragraph
+    of one printed page, so what it gathers is bounded; lines are put together inside the row."""
+    blocks = spans.where(trim_ws("text") != "").groupBy("book", "page", "block").agg(
+        F.array_sort(F.collect_list(F.struct("line", "span", "text"))).alias("_s"), F.avg("size").alias("avg_size"),
+        F.max(F.col("flags").bitwiseAND(16) > 0).alias("bold"))
+
+    def piece(x, i):
+        s = F.col("_s")
+        starts = (i == 0) | (F.get(s, i - 1)["line"] != x["line"])
+        ends = (i == F.size(s) - 1) | (F.get(s, i + 1)["line"] != x["line"])
+        t = F.when(starts & ends, trim_ws(x["text"])).when(starts, F.ltrim(x["text"])).when(ends, F.rtrim(x["text"])).otherwise(x["text"])
+        return F.when(starts & (i > 0), F.concat(F.lit(" "), t)).otherwise(t)
+    return blocks.select("book", "page", "block", F.array_join(F.transform("_s", piece), "").alias("text"), "avg_size", "bold")
 
 
 def classify_blocks(blocks: DataFrame, medians: DataFrame) -> DataFrame:

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions import text as T
-from ..functions.base import col, contains_any, first_filled, match_group, trim_ws
-from ..functions.jsonx import is_json_object
+from ..functions.base import col, contains_any, first_filled, let, match_group, trim_ws
 from .scan import ordinal_bucket, prefix_scan
 
 CALL = "struct<name:string,tool:string,args:string,arguments:string,input:string>"
@@ -18,14 +17,18 @@ TASK_ID = r"(task-\d+)"
 
 def parse_steps(lines: DataFrame, line: str = "line") -> DataFrame:
     """Typed step rows of JSON lines; malformed and blank lines are dropped."""
-    ok = lines.where(is_json_object(line))
-    s = F.from_json(F.col(line), STEP)
-    rows = ok.withColumn("_s", s)
-    calls = F.transform(F.coalesce("_s.tool_calls", F.array().cast(f"array<{CALL}>")), lambda c: F.struct(
-        first_filled(c["name"], c["tool"], F.lit("unknown")).alias("name"),
-        F.coalesce(c["args"], c["arguments"], c["input"], F.lit("{}")).alias("args")))
-    return rows.select(*[c for c in lines.columns if c != line], F.col("_s.type").alias("type"), F.col("_s.source").alias("source"),
-                       F.coalesce("_s.content", F.lit("")).alias("content"), calls.alias("tool_calls"))
+    no_calls = F.array().cast(f"array<{CALL}>")
+
+    def typed(x):
+        calls = F.transform(F.coalesce(x["tool_calls"], no_calls), lambda c: F.struct(
+            first_filled(c["name"], c["tool"], F.lit("unknown")).alias("name"),
+            F.coalesce(c["args"], c["arguments"], c["input"], F.lit("{}")).alias("args")))
+        return F.when(x["_corrupt_record"].isNull(), F.struct(
+            x["type"].alias("type"), x["source"].alias("source"), F.coalesce(x["content"], F.lit("")).alias("content"), calls.alias("tool_calls")))
+    keep = [c for c in lines.columns if c != line]
+    # One parse per line; the one-element explode keeps the filter from adding a second one.
+    rows = lines.select(*keep, F.explode(F.array(let(F.from_json(F.col(line), STEP + ", _corrupt_record string"), typed))).alias("_s"))
+    return rows.where("_s IS NOT NULL").select(*keep, "_s.*")
 
 
 def step_kind() -> Column:

@@ -44,13 +44,19 @@ def search_documents(silver: DataFrame, run_ts: Column, published: Column) -> Da
 
 
 def postings(docs: DataFrame, doc_id: str = "doc_id", fields: list[str] | None = None) -> DataFrame:
-    """One row per (term, document, field) with term count and first position. A document's terms
-    are aggregated by map-side combine, so a term in every document costs one row per document."""
+    """One row per (term, document, field) with term count and first position.
+
+    The texts are partitioned by document first. The count per (document, field, term) then needs no
+    further shuffle, and a text is smaller than the token rows it becomes. No task ever gathers a
+    term, so a word that is in every document does no harm.
+    """
     fields = [f for f in (fields or SEARCHABLE) if f in docs.columns]
-    one = F.array(*[F.struct(F.lit(i).alias("field"), F.col(f).cast("string").alias("text")) for i, f in enumerate(fields)])
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.explode(one).alias("f")).where("f.text IS NOT NULL")
+    texts = docs.select(F.col(doc_id).alias("doc_id"), *[F.col(f).cast("string").alias(f) for f in fields]).repartition("doc_id")
+    one = F.array(*[F.struct(F.lit(i).alias("field"), F.col(f).alias("text")) for i, f in enumerate(fields)])
+    rows = texts.select("doc_id", F.explode(one).alias("f")).where("f.text IS NOT NULL")
     words = rows.select("doc_id", F.col("f.field").alias("field"), F.posexplode(tokens("f.text")).alias("pos", "term"))
-    return words.groupBy("term", "doc_id", "field").agg(F.count("*").alias("tf"), F.min("pos").alias("first_pos"))
+    counts = words.groupBy("doc_id", "field", "term").agg(F.count("*").alias("tf"), F.min("pos").alias("first_pos"))
+    return counts.select("term", "doc_id", "field", "tf", "first_pos")
 
 
 def vocabulary(posts: DataFrame) -> DataFrame:
@@ -115,12 +121,14 @@ def search(docs: DataFrame, posts: DataFrame, vocab: DataFrame, query: str, filt
     for f, value in (filters or {}).items():
         rows = rows.where(F.col(f) == value)
     by = [F.col(sort).desc_nulls_last()] if sort else []
-    if query.strip():
-        ranked = rows.join(match_documents(posts, vocab, query, typos), "doc_id")
-        keys = rank_keys(by)
-    else:
-        ranked, keys = rows, [*by, F.col("doc_id")]
-    return ranked.orderBy(*keys).offset(offset).limit(limit)
+    if not query.strip():
+        return rows.orderBy(*by, "doc_id").offset(offset).limit(limit)
+    # Rank on ids and the sort field only; whole documents are fetched for the page that is shown,
+    # whose size the limit bounds.
+    keys = rank_keys(by)
+    narrow = rows.select("doc_id", *([sort] if sort else [])).join(match_documents(posts, vocab, query, typos), "doc_id")
+    page = narrow.orderBy(*keys).offset(offset).limit(limit)
+    return rows.join(F.broadcast(page.drop(sort) if sort else page), "doc_id").orderBy(*keys)
 
 
 def total_hits(docs: DataFrame, posts: DataFrame, vocab: DataFrame, query: str, typos: bool = True) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import url as U
 from ..operators import audit as A
-from ..operators import links as L
 from ..operators import lookup as LK
 from ..operators import stats as ST
 from . import sqlparts as Q

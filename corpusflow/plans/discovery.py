@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..functions import text as T
 from ..functions import url as U
 from ..operators import frontier as FR
 from ..operators import links as L

@@ -6,10 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import dates as D
-from ..functions import text as T
 from ..operators import books as B
 from ..operators import convo as CV
 from ..operators import mail as M
+from ..session import cut_lineage
 from .registry import query
 from .texts import NL, S, TITLE, C, title
 
@@ -363,13 +363,14 @@ def messages(t):
 
 @query("tool_pairing", f"WITH {_STEPS} SELECT * FROM pr")
 def tool_pairing(t):
-    return CV.pair_results(steps(t)).drop("args")
+    # A step log is parsed once and stored; the pairing reads the stored steps several times.
+    return CV.pair_results(cut_lineage(steps(t), "steps")).drop("args")
 
 
 @query("task_attach", f"""WITH {_STEPS}, dn AS (SELECT session_id, max(line_no) AS d FROM st WHERE kind = 'system' GROUP BY 1)
 SELECT pr.session_id, line_no, call_no, CASE WHEN name = 'run_command' AND contains(result, 'task-') AND d > line_no THEN '[Background Task task-' || pr.session_id || ' finished]' || chr(10) || 'r' || d ELSE result END AS result FROM pr LEFT JOIN dn USING (session_id)""")
 def task_attach(t):
-    st = steps(t)
+    st = cut_lineage(steps(t), "steps")
     return CV.attach_tasks(CV.pair_results(st), st).select("session_id", "line_no", "call_no", "result")
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.scan import ordinal_bucket
 from ..sources import readers as RD
+from ..session import work_path
 from ..sources import sinks as SK
 from ..streaming import streams as ST
 from . import stats as SQ
@@ -49,7 +50,7 @@ def src_api_nodes(t):
 
 
 def _markdown_files(t):
-    path = SK.work_path(t.spark, "md")
+    path = work_path(t.spark, "md")
     t.documents.select("text", F.col("source").alias("book")).write.option("lineSep", "\n").partitionBy("book").text(path)
     return path
 
@@ -74,7 +75,7 @@ def src_recursive_files(t):
 SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'new' ELSE 'old' END AS state, o_orderstatus AS site FROM orders""")
 def reset_rebuild(t):
     """A table partitioned by site, one of whose sites is rebuilt."""
-    path = SK.work_path(t.spark, "reset")
+    path = work_path(t.spark, "reset")
     rows = t.orders.select("o_orderkey", F.lit("old").alias("state"), F.col("o_orderstatus").alias("site"))
     SK.reset_site(rows, path)
     SK.reset_site(rows.where("site = 'F'").withColumn("state", F.lit("new")), path)
@@ -83,7 +84,7 @@ def reset_rebuild(t):
 
 @query("write_by_date", "SELECT o_orderstatus AS site, CAST(year(o_orderdate) AS VARCHAR) AS year, lpad(CAST(month(o_orderdate) AS VARCHAR), 2, '0') AS month, count(*) AS n FROM orders GROUP BY ALL")
 def write_by_date(t):
-    path = SK.work_path(t.spark, "dated")
+    path = work_path(t.spark, "dated")
     SK.write_by_date(t.orders.select(F.col("o_orderstatus").alias("site"), "o_orderkey", "o_orderdate").repartition("site"), path, "markdown", "o_orderdate")
     back = t.spark.read.option("inferSchema", "false").schema("o_orderkey bigint, site string, year string, month string").parquet(f"{path}/markdown")
     return back.groupBy("site", "year", "month").agg(F.count("*").alias("n"))
@@ -102,14 +103,14 @@ def _events(t):
 
 
 def _run(t, name, stream, mode="append", key=None):
-    path = SK.work_path(t.spark, name)
+    path = work_path(t.spark, name)
     ST.log_of(stream, path, mode).awaitTermination()
     return ST.read_result(t.spark, path, key)
 
 
 @query("stream_bronze", "SELECT CAST(page_id AS VARCHAR) AS id, url, md5(html) AS html FROM pages")
 def stream_bronze(t):
-    path = SK.work_path(t.spark, "bronze")
+    path = work_path(t.spark, "bronze")
     rows = stream_table(t, "pages").select(F.lit("uppity").alias("site"), C("page_id").alias("id"), "url", F.col("html").alias("raw_html"),
                                            F.lit("2024-02-01").cast("timestamp").alias("scraped_at"))
     ST.ingest_captures(rows.union(rows), path).awaitTermination()
@@ -125,7 +126,7 @@ def _bronze(t):
 @query("stream_convert", "SELECT CAST(page_id AS VARCHAR) AS id, 'completed' AS status, true AS has_title FROM pages")
 def stream_convert(t):
     """Silver and status of every page, converted in micro-batches."""
-    path = SK.work_path(t.spark, "convert")
+    path = work_path(t.spark, "convert")
     ST.convert_stream(_bronze(t), "uppity", path).awaitTermination()
     silver = ST.read_result(t.spark, path, ["id"])
     status = SK.current(SK.read_log(t.spark, f"{path}/status"), ["id"], []).select("id", "status")
@@ -136,7 +137,7 @@ def stream_convert(t):
 SELECT 'terms', count(DISTINCT w) FROM (SELECT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS w FROM documents)""")
 def stream_index(t):
     """Documents indexed in micro-batches: document count and vocabulary of the result."""
-    path = SK.work_path(t.spark, "index")
+    path = work_path(t.spark, "index")
     none = F.lit(None).cast("string")
     silver = stream_table(t, "documents").select(F.col("source").alias("site"), C("doc_id").alias("id"), F.lit("x").alias("title"), none.alias("geo"),
                                                  F.col("text").alias("content"), none.alias("published_at"), F.lit("2024-02-01").alias("updated_at"))
@@ -168,7 +169,7 @@ def retry_state(t):
 
 @query("stream_retry", f"WITH {_RETRY} SELECT * FROM states")
 def stream_retry(t):
-    path = SK.work_path(t.spark, "retry")
+    path = work_path(t.spark, "retry")
     ST.retry_stream(attempts(_events(t)), path, ordinal_bucket("ord")).awaitTermination()
     return ST.read_result(t.spark, path).select("ord", "id", "attempt", "outcome")
 

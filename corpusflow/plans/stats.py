@@ -168,12 +168,12 @@ def log_parse(t):
     return LG.parse_logs(log_lines(t), _RUN_TS).drop("stack")
 
 
-@query("log_facets", f"""WITH {_LOGS}, f AS (SELECT * FROM parsed WHERE level = 'ERROR' AND (contains(lower(message), 'e1') OR contains(lower(site), 'e1') OR contains(lower(service), 'e1') OR contains(lower(message), 'line')))
-SELECT 'site' AS facet, site AS value, count(*) AS n FROM parsed WHERE level <> 'INFO' GROUP BY 2
-UNION ALL SELECT 'service', service, count(*) FROM parsed WHERE level <> 'INFO' GROUP BY 2""")
+@query("log_facets", f"""WITH {_LOGS}, f AS (SELECT * FROM parsed WHERE level = 'WARN' AND contains(lower(message), 'page 1'))
+SELECT 'site' AS facet, site AS value, count(*) AS n FROM f GROUP BY 2
+UNION ALL SELECT 'service', service, count(*) FROM f GROUP BY 2""")
 def log_facets(t):
     rows = LG.parse_logs(log_lines(t), _RUN_TS)
-    return LG.log_facets(LG.filter_logs(rows.where("level <> 'INFO'"), search="s"))
+    return LG.log_facets(LG.filter_logs(rows, "WARN", "PAGE 1"))
 
 
 @query("log_page", f"""WITH {_LOGS}, f AS (SELECT * FROM parsed WHERE level = 'ERROR' AND (contains(lower(message), 'failed 1') OR contains(lower(site), 'failed 1') OR contains(lower(service), 'failed 1')))

@@ -9,7 +9,6 @@ from ..functions import dates as D
 from ..functions import geo as G
 from ..functions import jsonx as J
 from ..functions import text as T
-from ..functions import url as U
 from ..operators import images as IM
 from . import sqlparts as Q
 from .registry import query

@@ -22,6 +22,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def cluster_settings(input_bytes: int, cores: int, html: bool = False) -> dict[str, str]:
+    """Builder settings that size a job to its input: shuffle partitions of about 200 MB which AQE
+    merges where less data arrives, at least two per core; small Arrow batches for wide markup rows."""
+    partitions = max(2 * cores, -(-input_bytes // (200 << 20)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(200 << 20),
+        "spark.sql.files.maxPartitionBytes": str((64 << 20) if html else (256 << 20)),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "256" if html else "10000",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
+    }
+
+
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """One Parquet table of a directory; columns are pruned by the plan that uses it."""
     return configure(spark).read.parquet(f"{base}/{name}.parquet")

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_partition
-from ..operators.upsert import index_key, latest_by_key, write_partitions
-from ..session import work_path  # noqa: F401
+from ..operators.upsert import index_key, latest_by_key, upsert, write_partitions
+from ..session import cut_lineage
 
 
 def write_by_date(rows: DataFrame, root: str, kind: str, date: str) -> None:
@@ -32,6 +32,18 @@ def replace_table(spark: SparkSession, rows: DataFrame, path: str) -> str:
     return target
 
 
+def upsert_table(spark: SparkSession, path: str, updates: DataFrame, key: list[str], set_fields: list[str],
+                 set_on_insert: list[str] = (), by: str = "site") -> None:
+    """Apply updates to a table partitioned by ``by`` (part of the key). Only the partitions the
+    updates touch are read and rewritten; the merged rows are written elsewhere first, since a
+    partition must not be overwritten while it is read."""
+    # Partition values are as many as there are sites.
+    touched = [r[0] for r in updates.select(by).distinct().collect()]
+    target = spark.read.parquet(path).where(F.col(by).isin(touched))
+    merged = upsert(target, updates, key, set_fields, set_on_insert)
+    write_partitions(cut_lineage(merged, "upsert"), path, [by])
+
+
 # --- keyed tables as change logs ------------------------------------------------------------------------
 # A micro-batch appends its rows under its own batch folder, so replaying a batch after a failure
 # replaces the same folder. The current table is the last row per key.

@@ -16,8 +16,7 @@ from ..functions.jsonx import json_field
 from ..operators import convert as CV
 from ..operators import logs as LG
 from ..operators import search as SE
-from ..operators.links import first_by_id
-from ..operators.scan import prefix_scan, time_bucket
+from ..operators.scan import prefix_scan
 from ..sources.sinks import append_batch, current, read_log
 
 MAX_ATTEMPTS = 3

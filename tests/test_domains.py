@@ -114,3 +114,25 @@ def test_session_numbers_within_a_second(spark):
     df = spark.createDataFrame([("b", 1500), ("a", 1200), ("c", 2000)], "session_id string, ms bigint").select("session_id", F.timestamp_millis("ms").alias("created"))
     got = {r["session_id"]: r["tag"] for r in CV.session_numbers(df, "created").collect()}
     assert got == {"a": "0001-a", "b": "0002-b", "c": "0001-c"}
+
+
+def test_upsert_touches_only_its_partitions(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    SK.reset_site(spark.createDataFrame([("a", "1", "x"), ("b", "1", "y")], "site string, id string, v string"), path)
+    before = {f for f in spark.read.parquet(path).inputFiles() if "site=b" in f}
+    SK.upsert_table(spark, path, spark.createDataFrame([("a", "1", "X"), ("a", "2", "Z")], "site string, id string, v string"), ["site", "id"], ["v"])
+    after = spark.read.parquet(path)
+    assert sorted((r["site"], r["id"], r["v"]) for r in after.collect()) == [("a", "1", "X"), ("a", "2", "Z"), ("b", "1", "y")]
+    assert before == {f for f in after.inputFiles() if "site=b" in f}
+
+
+def test_postings_shuffle_texts_once(spark):
+    docs = spark.createDataFrame([("1", "a b")], "doc_id string, title string")
+    plan = SE.postings(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_cluster_settings_grow_with_the_input():
+    from corpusflow.session import cluster_settings
+    small, large = cluster_settings(1 << 30, 8), cluster_settings(100 << 40, 4000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16 and int(large["spark.sql.shuffle.partitions"]) == 524288
