@@ -295,6 +295,14 @@ def strip_tags(html) -> Column:
     return trim_ws(F.regexp_replace(F.regexp_replace(t, "<[^>]*>", " "), WS + "+", " "))
 
 
+def body_preview(html, n: int = 500) -> Column:
+    """First ``n`` characters of the body text as an element tree gives it: tags leave no space."""
+    body = F.coalesce(match_group(html, r"(?is)<body\b[^>]*>(.*)"), col(html))
+    t = F.regexp_replace(body, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->|</body\s*>.*\z", "")
+    t = decode_entities(F.regexp_replace(t, "<[^>]*>", ""))
+    return F.substring(trim_ws(F.regexp_replace(t, WS + "+", " ")), 1, n)
+
+
 def first_heading_or_line(c) -> Column:
     return F.substring_index(col(c), "\n", 1)
 

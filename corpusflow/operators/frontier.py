@@ -81,8 +81,7 @@ def admission(tasks: DataFrame, domain: Column, site: SiteSpec) -> DataFrame:
     rows = tasks.withColumn("url", U.strip_tracking("url")).withColumn("_host", U.host_of("url"))
     rows = rows.withColumn("id", site.id_rule(F.col("url")))
     own = F.coalesce(U.same_domain("_host", domain), F.lit(False))
-    filtered = ~F.coalesce(site.url_filter(F.col("url")), F.lit(False)) if site.url_filter else F.lit(False)
-    reason = (F.when(F.col("_host").isNull(), "invalid").when(~own, "domain").when(filtered, "filter")
+    reason = (F.when(F.col("_host").isNull(), "invalid").when(~own, "domain").when(~site.passes_filter(F.col("url")), "filter")
               .when(contains_any("url", site.exclude), "exclude").when(F.coalesce("id", F.lit("")) == "", "no_id"))
     return rows.withColumn("reject_reason", reason).drop("_host")
 

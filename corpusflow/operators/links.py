@@ -43,7 +43,7 @@ def outcome_of(href: Column, domain: Column, site: SiteSpec, compat: bool = True
     def result(url, shared, why):
         reason = (F.when(why.isNotNull(), why).when(url.isNull(), "domain")
                   .when(F.substring_index(url, "?", 1).rlike(U.BINARY_PATTERN), "binary")
-                  .when(~site.accepts(url), "filtered"))
+                  .when(~site.passes_filter(url), "filtered"))
         return let(site.id_rule(url), lambda i: F.struct(
             url.alias("url"), shared.alias("shared"),
             F.coalesce(reason, F.when(F.coalesce(i, F.lit("")) == "", "id_null"), F.lit("ok")).alias("outcome"),

@@ -127,6 +127,4 @@ l5 AS (SELECT *, CASE WHEN own THEN split_part({strip_tracking('full_url')}, '#'
 links AS (SELECT page_id, page_url, pos, href, url, {job_id('url')} AS dst_id,
                  CASE WHEN bad IS NOT NULL THEN bad WHEN full_url IS NULL THEN 'protocol' WHEN url IS NULL THEN 'domain'
                       WHEN regexp_matches({path('url')}, '{BINARY}') THEN 'binary'
-                      WHEN contains(url, 'favicon') OR contains(url, 'login') OR contains(url, 'logout')
-                        OR contains(url, 'signup') THEN 'filtered'
                       WHEN coalesce({job_id('url')}, '') = '' THEN 'id_null' ELSE 'ok' END AS outcome FROM l5)"""

@@ -248,10 +248,13 @@ def natural_sort(t):
     return top.select("title", F.row_number().over(Window.orderBy(T.natural_key("title"))).alias("rank"))
 
 
+_BODY = rf"regexp_replace(regexp_replace(regexp_extract(html, '(?is)<body\b[^>]*>(.*)', 1), '{Q.INVISIBLE}|</body\s*>.*$', '', 'g'), '<[^>]*>', '', 'g')"
+
+
 @query("text_preview", rf"""
-SELECT page_id, substr(trim(regexp_replace(regexp_replace(regexp_replace(html, '{Q.INVISIBLE}', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g')), 1, 500) AS preview FROM pages""")
+SELECT page_id, substr(trim(regexp_replace({Q.decode_entities(_BODY)}, '\s+', ' ', 'g')), 1, 500) AS preview FROM pages""")
 def text_preview(t):
-    return t.spread("pages").select("page_id", F.substring(T.strip_tags("html"), 1, 500).alias("preview"))
+    return t.spread("pages").select("page_id", T.body_preview("html").alias("preview"))
 
 
 _IMG = f"""i AS (SELECT doc_id, '<p><img class="a" src="/a/' || doc_id || '.png"><IMG src=''data:x''><img src="//cdn.x/' || lang || '.jpg"><img src="/favicon.png">' AS html,

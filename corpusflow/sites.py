@@ -35,12 +35,13 @@ class SiteSpec:
     weights: dict[str, int] = field(default_factory=dict)
     page_urls: ColumnRule | None = None
 
+    def passes_filter(self, url: Column) -> Column:
+        """Site filter alone; NULL URLs fail it."""
+        return F.lit(True) if self.url_filter is None else F.coalesce(self.url_filter(url), F.lit(False))
+
     def accepts(self, url: Column) -> Column:
         """Site filter and exclude list together; NULL URLs are refused."""
-        ok = ~contains_any(url, self.exclude)
-        if self.url_filter is not None:
-            ok = ok & self.url_filter(url)
-        return F.coalesce(ok, F.lit(False))
+        return F.coalesce(~contains_any(url, self.exclude), F.lit(False)) & self.passes_filter(url)
 
     def build_document(self, meta: DataFrame) -> DataFrame:
         """Silver rows of one site: its field map with defaults, plus site and update time."""
