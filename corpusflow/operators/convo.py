@@ -174,6 +174,28 @@ def join_parts(sessions: DataFrame, msgs: DataFrame, parts: DataFrame) -> DataFr
     return j.select("session_id", "message_id", "role", F.coalesce(first_filled("_content", own), F.lit("")).alias("content"), "tool_calls")
 
 
+# --- one message table from either store: session_id, step, role, content, tool_calls<name,args,result> ------
+
+def log_messages(steps: DataFrame) -> DataFrame:
+    """Messages of a step log with the results of their calls. A message gathers its own calls only."""
+    calls = attach_tasks(pair_results(steps), steps)
+    own = calls.groupBy("session_id", "line_no").agg(F.array_sort(F.collect_list(F.struct("call_no", "name", "args", "result"))).alias("c"))
+    m = messages(steps).drop("tool_calls").join(own, ["session_id", "line_no"], "left")
+    done = F.transform("c", lambda x: F.struct(x["name"].alias("name"), x["args"].alias("args"), x["result"].alias("result")))
+    return m.select("session_id", "step", "role", "content", _calls_or_none(done))
+
+
+def store_messages(sessions: DataFrame, msgs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Messages of a relational store, numbered in message order."""
+    rows = join_parts(sessions, msgs, parts).where(F.col("role").isin("user", "assistant"))
+    num = prefix_scan(rows, ["session_id"], ["message_id"], ordinal_bucket("message_id"), {"step": ("sum", F.lit(1))})
+    return num.select("session_id", (F.col("step") - 1).alias("step"), "role", "content", _calls_or_none(F.col("tool_calls")))
+
+
+def _calls_or_none(c: Column) -> Column:
+    return F.coalesce(c, F.array().cast("array<struct<name:string,args:string,result:string>>")).alias("tool_calls")
+
+
 def transcript_parts(msgs: DataFrame, root: str, part_size: int = 256) -> DataFrame:
     """Transcript Markdown in parts of at most ``part_size`` steps (``session_id, part, markdown``),
     so that a session of any length is written by many tasks."""

