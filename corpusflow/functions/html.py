@@ -4,7 +4,7 @@ subset and Markdown emission. Everything downstream of a page's fields is Column
 from __future__ import annotations
 
 import re
-from html.parser import HTMLParser
+from html import unescape
 
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dir", "div", "dl", "dt",
@@ -18,10 +18,10 @@ SCOPES = {"table", "td", "th", "ul", "ol", "dl", "div", "article", "section", "b
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "kids", "up")
+    __slots__ = ("tag", "attrs", "kids", "up", "no", "index")
 
-    def __init__(self, tag, attrs=(), up=None):
-        self.tag, self.attrs, self.kids, self.up = tag, {k: v or "" for k, v in attrs}, [], up
+    def __init__(self, tag, attrs=None, up=None, no=0):
+        self.tag, self.attrs, self.kids, self.up, self.no, self.index = tag, attrs or {}, [], up, no, None
 
     def walk(self):
         """Elements below this one in document order."""
@@ -46,46 +46,70 @@ class Node:
             self.up.kids.remove(self)
 
 
-class _Builder(HTMLParser):
-    def __init__(self):
-        super().__init__(convert_charrefs=True)
-        self.root = self.at = Node("#root")
-
-    def handle_starttag(self, tag, attrs):
-        ends, n = CLOSES.get(tag, ()), self.at
-        while ends and n.up is not None and n.tag not in SCOPES - ends:
-            if n.tag in ends:
-                self.at = n.up
-                if tag not in ("tr", "td", "th"):
-                    break
-            n = n.up
-        node = Node(tag, attrs, self.at)
-        self.at.kids.append(node)
-        if tag not in VOID:
-            self.at = node
-
-    def handle_endtag(self, tag):
-        n = self.at
-        while n.up is not None:
-            if n.tag == tag:
-                self.at = n.up
-                return
-            n = n.up
-
-    def handle_data(self, data):
-        self.at.kids.append(data)
-
-    def handle_comment(self, data):
-        node = Node("#comment", (), self.at)
-        node.kids.append(data)
-        self.at.kids.append(node)
+# One token: comment, element whose content is not markup, tag, declaration, text, stray bracket. A quote
+# only opens a value after "="; what is never closed runs to the end of the page. With possessive
+# repeats broken markup stays linear.
+_IN_TAG = r"""(?:[^>"'=]++|=\s*+(?:"[^"]*+(?:"|\Z)|'[^']*+(?:'|\Z))?|["'])*+"""
+_TOKEN = re.compile(rf"""<!--(?P<comment>.*?)(?:-->|\Z)"""
+                    rf"""|<(?P<raw>script|style|title|textarea)\b(?P<rawattrs>{_IN_TAG})(?:>|\Z)(?P<content>.*?)(?:</(?P=raw)\s*>|\Z)"""
+                    rf"""|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>{_IN_TAG})(?:>|\Z)|<[!?][^>]*+(?:>|\Z)|(?P<text>[^<]++)|<""", re.S | re.I)
+_ATTR = re.compile(r"""([^\s<>/=]+)(?:\s*=\s*("[^"]*"?|'[^']*'?|[^\s>]+))?""")
+
+
+def _attrs(source: str) -> dict:
+    """Attributes of a tag; the first of a repeated name counts."""
+    out: dict = {}
+    for name, value in _ATTR.findall(source):
+        quote = value[:1]
+        if quote in ('"', "'"):
+            value = value[1:].removesuffix(quote)
+        out.setdefault(name.lower(), unescape(value) if "&" in value else value)
+    return out
 
 
 def parse(html: str) -> Node:
-    b = _Builder()
-    b.feed(html or "")
-    b.close()
-    return b.root
+    """Element tree of markup; the root knows its elements by tag, in document order."""
+    root = at = Node("#root")
+    root.index, count = {}, 0
+
+    def add(tag, attrs, up):
+        nonlocal count
+        count += 1
+        node = Node(tag, attrs, up, count)
+        up.kids.append(node)
+        root.index.setdefault(tag, []).append(node)
+        return node
+    for m in _TOKEN.finditer(html or ""):
+        kind = m.lastgroup
+        if kind == "text":
+            t = m["text"]
+            at.kids.append(unescape(t) if "&" in t else t)
+        elif m["tag"]:
+            tag = m["tag"].lower()
+            if m["end"]:
+                n = at
+                while n.up is not None and n.tag != tag:
+                    n = n.up
+                at = n.up if n.up is not None else at
+                continue
+            ends, n = CLOSES.get(tag, ()), at
+            while ends and n.up is not None and n.tag not in SCOPES - ends:
+                if n.tag in ends:
+                    at = n.up
+                    if tag not in ("tr", "td", "th"):
+                        break
+                n = n.up
+            node = add(tag, _attrs(m["attrs"]), at)
+            if tag not in VOID:
+                at = node
+        elif m["raw"]:
+            tag, content = m["raw"].lower(), m["content"]
+            add(tag, _attrs(m["rawattrs"]), at).kids.append(content if tag in ("script", "style") else unescape(content))
+        elif m["comment"] is not None:
+            add("#comment", None, at).kids.append(m["comment"])
+        elif m[0] == "<":
+            at.kids.append("<")
+    return root
 
 
 # --- selectors: tag, #id, .class, [attr], [attr=v], [attr*=v], [attr^=v], descendants, commas ------------
@@ -130,8 +154,15 @@ def _matches(n: Node, steps) -> bool:
 
 
 def select(root: Node, selector: str):
+    """Matching elements in document order; at the root only elements of the right tag are tried."""
     alts = _compiled(selector)
-    return (n for n in root.walk() if n.tag != "#comment" and any(_matches(n, s) for s in alts))
+    tags = [next((t[0] for t in steps[-1] if t[0] and t[0] != "*"), None) for steps in alts]
+    if root.index is not None and all(tags):
+        found = {n.no: n for tag in dict.fromkeys(tags) for n in root.index.get(tag, ())}
+        nodes = [found[k] for k in sorted(found)] if len(tags) > 1 else found.values()
+    else:
+        nodes = (n for n in root.walk() if n.tag != "#comment")
+    return (n for n in nodes if any(_matches(n, s) for s in alts))
 
 
 def first(root: Node, selector: str) -> Node | None:
@@ -144,19 +175,27 @@ def squeeze(s: str) -> str:
 
 # --- output --------------------------------------------------------------------------------------------
 
-def serialize(n) -> str:
-    if isinstance(n, str):
-        return n if n.startswith("<!") else n.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;")
-    if n.tag == "#comment":
-        return f"<!--{''.join(n.kids)}-->"
-    if n.tag in ("script", "style"):
-        inner = "".join(k for k in n.kids if isinstance(k, str))
-    else:
-        inner = "".join(serialize(k) for k in n.kids)
-    if n.tag == "#root":
-        return inner
-    attrs = "".join(' {}="{}"'.format(k, v.replace("&", "&amp;").replace('"', "&quot;")) for k, v in n.attrs.items())
-    return f"<{n.tag}{attrs}>" + ("" if n.tag in VOID else f"{inner}</{n.tag}>")
+def serialize(node) -> str:
+    """Markup of an element; an explicit stack, so depth does not matter."""
+    out, stack = [], [node]
+    while stack:
+        n = stack.pop()
+        if isinstance(n, tuple):                       # closing text of an element
+            out.append(n[0])
+        elif isinstance(n, str):
+            out.append(n.replace("&", "&amp;").replace("<", "&lt;").replace(">", "&gt;"))
+        elif n.tag == "#comment":
+            out.append(f"<!--{''.join(n.kids)}-->")
+        else:
+            if n.tag != "#root":
+                attrs = "".join(' {}="{}"'.format(k, v.replace("&", "&amp;").replace('"', "&quot;")) for k, v in n.attrs.items())
+                out.append(f"<{n.tag}{attrs}>")
+                if n.tag in VOID:
+                    continue
+                stack.append((f"</{n.tag}>",))
+            raw = n.tag in ("script", "style")
+            stack.extend((k,) if raw and isinstance(k, str) else k for k in reversed(n.kids))
+    return "".join(out)
 
 
 def inner_html(n: Node) -> str:
@@ -176,7 +215,12 @@ FORUM = dict(bullet="-", em="*", hr="* * *", compress=False, drop=HIDDEN)
 TOPIC = dict(bullet="*", em="_", hr="---", compress=False, drop=HIDDEN)
 
 
+_ANY_MARK = re.compile(r"[\\*`\[\]_]|^[-+=#~>]|^\d+\. ")
+
+
 def _escape(s: str) -> str:
+    if not _ANY_MARK.search(s):
+        return s
     for p, r in _ESCAPES:
         s = p.sub(r, s)
     return s

@@ -21,6 +21,8 @@ from ..functions import html as H
 cloudpickle.register_pickle_by_value(H)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+DEPTH = 200_000
+
 LINK = "struct<pos:int,href:string,text:string,blank:boolean>"
 FIELDS = (f"struct<title:string,h1:string,meta:map<string,string>,canonical:string,time:string,json_ld:array<string>,"
           f"links:array<{LINK}>,texts:map<string,string>,short_texts:array<string>,content_rank:int,content_html:string,"
@@ -29,12 +31,15 @@ FIELDS = (f"struct<title:string,h1:string,meta:map<string,string>,canonical:stri
 
 def _udf(returns: str, per_page):
     """Batch function applying ``per_page(html) -> value`` to a column of markup."""
+    # Trees may be nested deeper than the interpreter's default limit; its own frames live on the heap.
     if returns.startswith("struct"):
         def run(html: pd.Series) -> pd.DataFrame:
+            sys.setrecursionlimit(max(sys.getrecursionlimit(), DEPTH))
             return pd.DataFrame([per_page(h) for h in html])
         run.__annotations__ = {"html": pd.Series, "return": pd.DataFrame}
     else:
         def run(html: pd.Series) -> pd.Series:
+            sys.setrecursionlimit(max(sys.getrecursionlimit(), DEPTH))
             return pd.Series([per_page(h) for h in html], dtype=object)
         run.__annotations__ = {"html": pd.Series, "return": pd.Series}
     return F.pandas_udf(run, returns)

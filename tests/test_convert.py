@@ -126,3 +126,21 @@ def test_company_page(spark):
     assert r["x"]["company_name"] == "X Co" and r["x"]["industry"] == "정보 없음"
     md = {x["id"]: x["markdown"] for x in CO.company_markdown(CO.company_records(df)).collect()}
     assert 'company_size: "10-50 employees"' in md["acme"] and "* a\n* b" in md["acme"]
+
+
+def test_broken_markup_is_linear_and_whole():
+    import time
+    start = time.time()
+    for bad in ("<a title='x " * 20000, '<p a="' * 20000 + "<" * 50000, "<!--" * 50000, "<div>" * 3000 + "x", "<script>" * 20000, "<b" * 50000):
+        H.parse(bad)
+    assert time.time() - start < 20
+    text = lambda h: H.squeeze(H.parse(h).text())
+    assert text("a < b <p don't>c</p> 1<2") == "a < b c 1<2"
+    assert [n.attrs for n in H.parse("<a href=/x/ title=it's HREF=y>t</a>").walk()] == [{"href": "/x/", "title": "it's"}]
+    assert text("<title>A &amp; <b></title>x<textarea><p></textarea>") == "A & <b>x<p>"
+
+
+def test_deep_nesting(spark):
+    df = spark.createDataFrame([("<div>" * 20000 + "deep",)], "h string")
+    assert df.select(X.markdown()(F.col("h")).alias("m")).collect()[0]["m"] == "deep"
+    assert "deep" in df.select(X.minify()(F.col("h")).alias("m")).collect()[0]["m"]
