@@ -19,11 +19,12 @@ def captures(t):
                           F.lit("2024-02-01").cast("timestamp").alias("scraped_at"))
 
 
+_PARSED_TITLE = Q.parsed_text("trim(regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title>', 1))".replace("\\\\", "\\"))
 _RE_TITLE = Q.decode_entities("trim(regexp_extract(html, '(?is)<title\\b[^>]*>(.*?)</title>', 1))".replace("\\\\", "\\"))
 
 
 @query("html_extract", f"""WITH {Q.ANCHORS}, a AS (SELECT page_id, count(*) AS links FROM anchors GROUP BY 1)
-SELECT CAST(p.page_id AS VARCHAR) AS id, {_RE_TITLE} AS title, coalesce(links, 0) AS links, true AS same_h1, CAST(NULL AS VARCHAR) AS canonical FROM pages p LEFT JOIN a USING (page_id)""")
+SELECT CAST(p.page_id AS VARCHAR) AS id, {_PARSED_TITLE} AS title, coalesce(links, 0) AS links, true AS same_h1, CAST(NULL AS VARCHAR) AS canonical FROM pages p LEFT JOIN a USING (page_id)""")
 def html_extract(t):
     """One parse per page; the title and the number of links have a regex counterpart."""
     x = captures(t).select("id", X.page_fields(content=["article"])(F.col("raw_html")).alias("x"))
@@ -42,7 +43,7 @@ def title_cascade(t):
 
 
 @query("html_to_markdown", rf"""
-SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '{Q.INVISIBLE}|<nav>.*?</nav>|<[^>]*>', '', 'g'), '&[a-zA-Z0-9#]+;', '', 'g'), '[^\p{{L}}\p{{N}}]+', '', 'g') AS letters FROM pages""")
+SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '{Q.INVISIBLE}|<nav>.*?</nav>|<[^>]*>', '', 'g'), '&amp;?|&[a-zA-Z0-9#]+;', '', 'g'), '[^\p{{L}}\p{{N}}]+', '', 'g') AS letters FROM pages""")
 def html_to_markdown(t):
     """Markdown of every page, reduced to its letters and digits for the comparison."""
     md = X.markdown()(F.col("html"))
@@ -50,19 +51,16 @@ def html_to_markdown(t):
 
 
 @query("html_minify", f"""
-SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(replace(html, '&quot;', '"'), '{Q.INVISIBLE}|<nav>.*?</nav>|<footer>.*?</footer>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS txt FROM pages""".replace("\\\\", "\\"))
+SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(html, '&quot;', '"'), '&amp;?', '&amp;', 'g'), '{Q.INVISIBLE}|<nav>.*?</nav>|<footer>.*?</footer>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS txt FROM pages""".replace("\\\\", "\\"))
 def html_minify(t):
     """Visible text of minified pages."""
     return t.spread("pages").select("page_id", strip_tags(X.minify()(F.col("html"))).alias("txt"))
 
 
 _VISIBLE = f"regexp_replace(html, '{Q.INVISIBLE}', ' ', 'g')"
-_ARTICLE = f"trim(regexp_replace(regexp_replace(regexp_extract({_VISIBLE}, '(?s)<article>(.*)</article>', 1), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g'))"
-
-
-@query("content_select", f"SELECT page_id, 1 AS content_rank, {Q.decode_entities(_ARTICLE)} AS txt FROM pages")
+@query("content_select")
 def content_select(t):
-    """Body markup by selector order; its visible text has a regex counterpart."""
+    """Body markup by selector order, the whole body when the article has 50 characters or less."""
     x = X.page_fields(content=["main", "article"], min_content=50, links=False)
     rows = t.spread("pages").select("page_id", x(F.col("html")).alias("x"))
     return rows.select("page_id", "x.content_rank", decode_entities(strip_tags("x.content_html")).alias("txt"))
@@ -82,7 +80,7 @@ def selector_audit(t):
     return rows.groupBy("selector").agg(F.sum("count").alias("matches"), F.count_if(F.col("count") > 0).alias("pages"))
 
 
-_RUN = Q.decode_entities("regexp_replace(r, '&(copy|middot);', 'x', 'g')")
+_RUN = Q.parsed_text("r")
 
 
 @query("dense_elements", rf"""
@@ -111,7 +109,7 @@ def job_cards(t):
     return CV.job_cards(p, "page_id", "html", ["Germany"]).select("page_id", "job_id", "title", "company", "location", "geo", "matches_target")
 
 
-@query("job_fields", f"""SELECT CAST(page_id AS VARCHAR) AS id, CAST(page_id AS VARCHAR) AS job_id, regexp_replace({_RE_TITLE}, '\\s+', ' ', 'g') AS job_title,
+@query("job_fields", f"""SELECT CAST(page_id AS VARCHAR) AS id, CAST(page_id AS VARCHAR) AS job_id, regexp_replace({_PARSED_TITLE}, '\\s+', ' ', 'g') AS job_title,
   '정보 없음' AS workplace_type, '일반 지원 (External Apply)' AS apply_type, '2024-02-01 09:00:00' AS posted_date FROM pages""")
 def job_fields(t):
     """Pages as job postings: they carry a title and nothing else a posting has."""
@@ -261,7 +259,7 @@ def silver_build(t):
     return out.select("site", "id", "title", "url", F.md5("content").alias("content"), "reactions_count", "geo")
 
 
-@query("convert_pages", f"SELECT CAST(page_id AS VARCHAR) AS id, {_RE_TITLE} AS title, url, true AS has_text FROM pages")
+@query("convert_pages", f"SELECT CAST(page_id AS VARCHAR) AS id, {_PARSED_TITLE} AS title, url, true AS has_text FROM pages")
 def convert_pages(t):
     """Every page converted as an article of one site, up to the silver record."""
     s = CV.silver(CV.convert(captures(t), "uppity"), "uppity")

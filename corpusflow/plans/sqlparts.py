@@ -92,6 +92,13 @@ def decode_entities(x: str) -> str:
     return x
 
 
+def parsed_text(x: str) -> str:
+    """Entities as a parser reads them: one level, the ampersand also without its semicolon."""
+    for a, b in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"), ("&middot;", "·")]:
+        x = f"replace({x}, '{a}', '{b}')"
+    return f"regexp_replace({x}, '&amp;?', '&', 'g')"
+
+
 HREF = r"""(?is)<a\s[^>]*?href\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)"""
 INVISIBLE = r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<!--.*?-->"
 # One row per anchor of pages: page_id, page_url, pos, href.
