@@ -51,7 +51,7 @@ def html_to_markdown(t):
 
 
 @query("html_minify", f"""
-SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(html, '&quot;', '"'), '&amp;?', '&amp;', 'g'), '{Q.INVISIBLE}|<nav>.*?</nav>|<footer>.*?</footer>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS txt FROM pages""".replace("\\\\", "\\"))
+SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(html, '&quot;', '"'), '&(?:amp;?)?', '&amp;', 'g'), '{Q.INVISIBLE}|<nav>.*?</nav>|<footer>.*?</footer>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS txt FROM pages""".replace("\\\\", "\\"))
 def html_minify(t):
     """Visible text of minified pages."""
     return t.spread("pages").select("page_id", strip_tags(X.minify()(F.col("html"))).alias("txt"))
