@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusflow.llm import decontaminate, mixing, topk
-from corpusflow.llm.common import load, without
+from corpusflow.llm import decontaminate, mixing, pii, tokencount, topk, toxicity, urlfilter
+from corpusflow.llm.common import fold, load
 
 QUERIES, SQL = {}, {}
 
@@ -56,6 +56,40 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM dw LEFT JOIN hit USING (r) LEFT JOIN its USING (r)"""
 
 
+@query
+def op3_toxicity(spark: SparkSession, base: str) -> DataFrame:
+    docs = load(spark, base, "documents").select("doc_id", "text")
+    learn = load(spark, base, "labels").where(fold(F.col("doc_id")) != 0)
+    return (toxicity.classify(docs, toxicity.fit(docs, learn))
+            .select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted"))
+
+
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+@query
+def op4_token_counts(spark: SparkSession, base: str) -> DataFrame:
+    docs = load(spark, base, "documents").select("doc_id", "text")
+    return tokencount.count_tokens(docs, vocabulary("word_bpe_49k.json")).drop("text")
+
+
+RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
+
+
+@query
+def op7_url_filters(spark: SparkSession, base: str) -> DataFrame:
+    pages = load(spark, base, "pages")
+    return urlfilter.judge(pages.select("page_id", "url"), RULES, urlfilter.unigrams(pages)).drop("url")
+
+
+@query
+def op8_personal_data(spark: SparkSession, base: str) -> DataFrame:
+    docs = load(spark, base, "documents").select("doc_id", "text")
+    return pii.find_spans(docs, pii.train(docs)).drop("text")
+
+
 def with_quality(spark: SparkSession, docs: DataFrame, base: str) -> DataFrame:
     """Quality weights: labelled good 2, labelled bad 1/2 (their mean, if labelled twice), unlabelled 1."""
     q = (load(spark, base, "labels").where("doc_id IS NOT NULL AND quality IS NOT NULL")
