@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from corpusflow.llm.common import stored, without
+from corpusflow.llm.common import stored
 
 WORDS = r"[^\x20\x09-\x0D]+"
 RUN_ROWS = 4096          # rows of one run of the prefix sum
@@ -47,47 +49,60 @@ def uniform(doc_id: Column, seed: str = SEED) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(2**52))
 
 
+def quality(text: Column) -> Column:
+    """Quality weight from the text alone: the share of its characters that are letters, to the eighth power. Tables,
+    symbol noise and digit dumps fall off steeply against prose. 1 for null and empty texts."""
+    other = "".join(chr(c) for c in range(128) if not chr(c).isalpha())
+    return F.when(F.length(text) > 0, F.pow(F.length(F.translate(text, other, "")) / F.length(text), F.lit(8.0))).otherwise(1.0)
+
+
 def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", weight: str | None = None,
         weights=(3, 1, 2), share: float = 1.5, cap: int = 2, seed: str = SEED) -> DataFrame:
     """``docs`` plus size, source_size, target, taken.
 
-    Every document gets the key ``-ln(u) / weight`` (a small key is early; a larger weight makes it smaller). A source
-    takes as many complete epochs as its target holds; what is left of the target goes to the documents with the
-    smallest keys, as long as half of the next one still fits. A document is taken whole or not, so a source ends
-    within half a document of its target, and nothing is taken more than ``cap`` times when ``cap`` is a whole number.
-
-    Null text: size 0, taken 0. Null or non-positive weight: 1. Null source: its own, last source. Equal keys:
-    order by id, size and hash of the text. Rows with one id share a key. Columns named like a new one are replaced.
-    The prefix sum of a source is cut into runs of about ``RUN_ROWS`` documents by key, summed first, so the largest
-    source is spread over all tasks. Empty input: empty result."""
-    new = ["size", "source_size", "target", "taken"]
-    key = "_mix"
-    base = docs.withColumn(f"{key}_text", F.col(f"`{text}`")).withColumn(f"{key}_src", F.col(f"`{source}`").cast("string"))
-    wt = F.coalesce(F.col(f"`{weight}`").cast("double"), F.lit(1.0)) if weight else F.lit(1.0)
-    wt = F.when((wt > 0) & (wt < float("inf")), wt).otherwise(1.0)
-    base = (base.withColumn(f"{key}_key", -F.log(uniform(F.col(f"`{doc_id}`"), seed)) / wt)
-            .withColumn(f"{key}_id", F.col(f"`{doc_id}`")))
-    base = (without(base, new).withColumn("size", words(F.col(f"{key}_text")))
-            .withColumn(f"{key}_hash", F.xxhash64(f"{key}_text")).drop(f"{key}_text"))
-    sizes = base.groupBy(F.col(f"{key}_src").alias("source")).agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    Every document gets the key ``-ln(u) / weight`` (a small key is early; a larger weight makes it smaller); weight
+    is a column, by default the quality of the text. A source takes as many complete epochs as its target holds; what is
+    left of the target goes to the documents with the smallest keys, as long as half of the next one still fits. A
+    document is taken whole or not, so a source ends within half a document of its target, and nothing is taken more
+    than ``cap`` times when ``cap`` is a whole number.
+
+    Null text: size 0, taken 0. Null, non-positive or infinite weight: 1. Null source: its own, last source. Equal
+    keys: order by id, size and hash of the text; rows equal in all of these are taken together. Columns named
+    like a new one are replaced. Empty input: empty result.
+
+    The texts are read twice and never shuffled. The first pass keeps a narrow row a document; its prefix sums run over
+    pieces of about ``RUN_ROWS`` documents of a source by key, summed first, so the largest source is spread over all
+    tasks. They end in one row a source, the last key still taken, to which the second pass compares."""
+    def measured(df: DataFrame) -> DataFrame:
+        wt = F.col(f"`{weight}`").cast("double") if weight else quality(F.col(f"`{text}`"))
+        wt = F.when((wt > 0) & (wt < float("inf")), wt).otherwise(1.0)
+        return df.withColumns({"_src": F.col(f"`{source}`").cast("string"), "_size": words(F.col(f"`{text}`")), "_id": F.col(f"`{doc_id}`"),
+                               "_key": -F.log(uniform(F.col(f"`{doc_id}`"), seed)) / wt, "_hash": F.xxhash64(F.col(f"`{text}`"))})
+
+    rows = stored(measured(docs).select("_src", "_key", "_id", "_size", "_hash"), "mix-keys")
+    sizes = rows.groupBy(F.col("_src").alias("source")).agg(F.sum("_size").alias("source_size"), F.count("*").alias("n"))
     sizes = stored(sizes, "mix-sizes")
     plan = (source_targets(sizes.drop("n"), weights, share, cap).withColumnRenamed("source", "s2")
             .join(sizes.select(F.col("source").alias("s3"), "n"), F.col("s2").eqNullSafe(F.col("s3"))).drop("s3")
             .withColumn("epochs", F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(cap).cast("long"))).otherwise(0).cast("long"))
             .withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("epochs") * F.col("source_size")))
-            .withColumn("runs", F.ceil(F.col("n") / RUN_ROWS).cast("long")))
+            .withColumn("pieces", F.ceil(F.col("n") / RUN_ROWS).cast("long")))
     plan = stored(plan, "mix-plan")
-    # Runs by key: 1 - exp(-key) is uniform for weight 1, so the runs hold about as many rows each.
-    rows = (base.join(plan.drop("n"), F.col(f"{key}_src").eqNullSafe(F.col("s2"))).drop("s2")
-            .withColumn(f"{key}_run", F.least(F.col("runs") - 1, F.floor((1 - F.exp(-F.col(f"{key}_key"))) * F.col("runs"))).cast("long")).drop("runs"))
-    run_sum = rows.groupBy(f"{key}_src", f"{key}_run").agg(F.sum("size").alias("run_size"))
-    before_run = (run_sum.withColumn("run_before", F.sum("run_size").over(
-        Window.partitionBy(f"{key}_src").orderBy(f"{key}_run").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("run_size"))
-        .select(F.col(f"{key}_src").alias("s4"), F.col(f"{key}_run").alias("r4"), "run_before"))
-    run = Window.partitionBy(f"{key}_src", f"{key}_run").orderBy(f"{key}_key", f"{key}_id", "size", f"{key}_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = (rows.withColumn(f"{key}_in", F.sum("size").over(run) - F.col("size"))
-           .join(before_run, F.col(f"{key}_src").eqNullSafe(F.col("s4")) & (F.col(f"{key}_run") == F.col("r4"))))
-    more = (F.col("size") > 0) & (F.col("run_before") + F.col(f"{key}_in") + F.col("size") / 2 <= F.col("rest")) & (F.col("epochs") < cap)
-    out = out.withColumn("taken", F.col("size") * (F.col("epochs") + F.when(more, 1).otherwise(0)))
-    kept = [c for c in docs.columns if c.lower() not in new]
-    return out.select([F.col(f"`{c}`") for c in kept] + new)
+    # Pieces by key. Scaled by the mean weight, 1 - exp(-key) is near uniform, so the pieces hold about as many rows each.
+    rows = rows.join(plan.select("s2", "pieces", "rest"), F.col("_src").eqNullSafe(F.col("s2"))).drop("s2")
+    scale = F.lit(float(rows.agg(F.expr("percentile_approx(_key, 0.5)")).first()[0] or 1.0) or 1.0)
+    rows = rows.withColumn("_piece", F.least(F.col("pieces") - 1, F.floor((1 - F.exp(-F.lit(math.log(2)) * F.col("_key") / scale)) * F.col("pieces"))).cast("long"))
+    sums = rows.groupBy("_src", "_piece").agg(F.sum("_size").alias("s"))
+    before = sums.select(F.col("_src").alias("s4"), F.col("_piece").alias("p4"), (F.sum("s").over(
+        Window.partitionBy("_src").orderBy("_piece").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("s")).alias("before"))
+    piece = Window.partitionBy("_src", "_piece").orderBy("_key", "_id", "_size", "_hash").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = (rows.withColumn("inside", F.sum("_size").over(piece) - F.col("_size"))
+            .join(before, F.col("_src").eqNullSafe(F.col("s4")) & (F.col("_piece") == F.col("p4")))
+            .where(F.col("before") + F.col("inside") + F.col("_size") / 2 <= F.col("rest"))
+            .groupBy(F.col("_src").alias("s5")).agg(F.max(F.struct("_key", "_id", "_size", "_hash")).alias("last")))
+    plan = stored(plan.join(last, F.col("s2").eqNullSafe(F.col("s5")), "left").drop("s5", "n", "pieces", "rest"), "mix-cuts")
+    out = measured(docs).join(plan.withColumnsRenamed({"source_size": "_ss", "target": "_t"}), F.col("_src").eqNullSafe(F.col("s2")))
+    more = F.col("last").isNotNull() & (F.col("epochs") < cap) & (F.struct("_key", "_id", "_size", "_hash") <= F.col("last"))
+    new = {"size": F.col("_size"), "source_size": F.col("_ss"), "target": F.col("_t"),
+           "taken": F.col("_size") * (F.col("epochs") + F.when(more, 1).otherwise(0))}
+    return out.select([F.col(f"`{c}`") for c in docs.columns if c.lower() not in new] + [c.alias(n) for n, c in new.items()])

@@ -90,25 +90,18 @@ def op8_personal_data(spark: SparkSession, base: str) -> DataFrame:
     return pii.find_spans(docs, pii.train(docs)).drop("text")
 
 
-def with_quality(spark: SparkSession, docs: DataFrame, base: str) -> DataFrame:
-    """Quality weights: labelled good 2, labelled bad 1/2 (their mean, if labelled twice), unlabelled 1."""
-    q = (load(spark, base, "labels").where("doc_id IS NOT NULL AND quality IS NOT NULL")
-         .groupBy(F.col("doc_id").alias("_q_id")).agg(F.avg(F.when(F.col("quality") == 1, 2.0).otherwise(0.5)).alias("_q")))
-    return docs.join(q, F.col("doc_id") == F.col("_q_id"), "left").drop("_q_id")
-
-
 @query
 def op9_mixing_sources(spark: SparkSession, base: str) -> DataFrame:
-    docs = with_quality(spark, load(spark, base, "documents").select("doc_id", "text", "source"), base)
-    return mixing.mix(docs, weight="_q").select("doc_id", "size", "source_size", "target", "taken")
+    docs = load(spark, base, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
 SQL["op9_mixing_sources"] = r"""
-WITH q AS (SELECT doc_id, avg(CASE WHEN quality = 1 THEN 2.0::DOUBLE ELSE 0.5::DOUBLE END) AS wt FROM labels
-           WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+WITH q AS (SELECT *, CASE WHEN length(text) > 0 THEN power(length(regexp_replace(text, '[\x00-\x40\x5B-\x60\x7B-\x7F]', '', 'g'))::DOUBLE
+                               / length(text)::DOUBLE, 8.0::DOUBLE) ELSE 1.0::DOUBLE END AS w0 FROM documents),
 d AS (SELECT d.doc_id, d.source, md5(d.text) AS h, len(regexp_extract_all(coalesce(d.text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-             -ln((('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE) / coalesce(q.wt, 1.0::DOUBLE) AS key
-      FROM documents d LEFT JOIN q ON q.doc_id = d.doc_id),
+             -ln((('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE) / CASE WHEN d.w0 > 0 THEN d.w0 ELSE 1.0::DOUBLE END AS key
+      FROM q d),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 w AS (SELECT *, [3, 1, 2][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INTEGER]::BIGINT AS w FROM s),
 c AS (SELECT *, sum(source_size) OVER o - source_size AS size_to, sum(w) OVER o - w AS w_to,
