@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusflow.llm import decontaminate, mixing, pii, tokencount, topk, toxicity, urlfilter
+from corpusflow.llm import decontaminate, lmscore, mixing, ngramjoin, pii, substrings, tokencount, topk, toxicity, urlfilter
 from corpusflow.llm.common import fold, load
 
 QUERIES, SQL = {}, {}
@@ -75,6 +75,17 @@ def op4_token_counts(spark: SparkSession, base: str) -> DataFrame:
     return tokencount.count_tokens(docs, vocabulary("word_bpe_49k.json")).drop("text")
 
 
+@query
+def op5_ngram_jaccard_join(spark: SparkSession, base: str) -> DataFrame:
+    docs = load(spark, base, "documents").select("doc_id", "text")
+    return ngramjoin.classes(docs).select("doc_id", "n_shingles", "component_id")
+
+
+@query
+def op6_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
+    return substrings.repeated_passages(load(spark, base, "documents").select("doc_id", "text"))
+
+
 RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
 
 
@@ -117,3 +128,9 @@ x AS (SELECT d.*, e.source_size, e.target, e.epochs, greatest(0, e.target - e.ep
       FROM d JOIN e ON e.source IS NOT DISTINCT FROM d.source)
 SELECT doc_id, size, source_size, target,
        (size * (epochs + CASE WHEN size > 0 AND epochs < 2 AND before + size / 2 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM x"""
+
+
+@query
+def op10_lm_scoring(spark: SparkSession, base: str) -> DataFrame:
+    docs = load(spark, base, "documents").select("doc_id", "text")
+    return lmscore.score(docs, fold(F.col("doc_id")) == 1)
