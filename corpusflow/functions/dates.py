@@ -17,14 +17,15 @@ UNIT_DAYS = {"day": 1, "일": 1, "week": 7, "주": 7, "month": 30, "달": 30, "
 
 
 def days_ago(text) -> Column:
-    """Days of a relative age; sub-day units count 0; NULL when the text holds no age."""
+    """Days of a relative age; sub-day units count 0; NULL when the text holds no age, or a number of more
+    than five digits, which is none."""
     t = F.coalesce(col(text), F.lit(""))
     number = F.coalesce(*[match_group(t, p, 1) for p in RELATIVE_SHAPES])
     unit = F.lower(F.coalesce(*[match_group(t, p, 2) for p in RELATIVE_SHAPES]))
     factor = F.lit(0)
     for word, days in UNIT_DAYS.items():
         factor = F.when(unit == word, days).otherwise(factor)
-    return number.cast("int") * factor
+    return F.when(F.length(number) <= 5, number.try_cast("int")) * factor
 
 
 def relative_date(text, fallback, base, tz: str = KST) -> Column:
@@ -99,7 +100,7 @@ def published_fallback(run_ts, *candidates, body=None) -> Column:
         match_group(body, r'posted_date:\s*"([^"]+)"'),
         match_group(body, r"\*\*포스팅 날짜 \(Posted Date\):\*\*\s*([^\n]+)"),
         F.nullif(match_group(body, r"\*\*작성일:\*\*\s*([^\n]+)"), F.lit("정보 없음")))]
-    return F.coalesce(*[col(c).cast("timestamp") for c in candidates],
+    return F.coalesce(*[col(c).try_cast("timestamp") for c in candidates],
                       *[safe_timestamp(w) for w in written], col(run_ts).cast("timestamp"))
 
 

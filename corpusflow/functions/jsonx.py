@@ -33,8 +33,8 @@ def as_json_array(c) -> Column:
 
 
 def pairs_to_map(c) -> Column:
-    """Map of an ``array<struct<key,value>>``; the last duplicate key wins."""
-    a = col(c)
+    """Map of an ``array<struct<key,value>>``; the last duplicate key wins, entries without a key are left out."""
+    a = F.filter(col(c), lambda p: p["key"].isNotNull())
     # Explicit last-wins, so the result does not depend on a session setting.
     last = F.filter(a, lambda p, i: ~F.exists(F.slice(a, i + 2, F.size(a)), lambda q: q["key"] == p["key"]))
     return F.map_from_entries(last)

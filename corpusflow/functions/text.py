@@ -259,9 +259,9 @@ def replace_pairs(text, pairs) -> Column:
 
 
 def natural_key(c) -> Column:
-    """Sort key that orders digit runs by value."""
+    """Sort key that orders digit runs of any length by value: each is led by its number of digits."""
     runs = F.regexp_extract_all(col(c), F.lit(r"(\d+|\D+)"), F.lit(1))
-    return F.array_join(F.transform(runs, lambda r: F.when(r.rlike(r"^\d"), F.lpad(r, 20, "0")).otherwise(F.lower(r))), "")
+    return F.array_join(F.transform(runs, lambda r: F.when(r.rlike(r"^\d"), F.concat(F.lpad(F.length(F.ltrim(r, F.lit("0"))).cast("string"), 10, "0"), F.ltrim(r, F.lit("0")))).otherwise(F.lower(r))), "")
 
 
 def thousands(n) -> Column:

@@ -25,9 +25,10 @@ def orphans(index: DataFrame, base: DataFrame, key: str) -> DataFrame:
 
 def duplicate_groups(docs: DataFrame, key: str) -> DataFrame:
     """Every member of a group with more than one row, with the group size. Counts are partial
-    aggregates and members stay rows, so a huge group is never collected."""
+    aggregates and members stay rows, so a huge group is never collected. Rows without a key are a group."""
     sizes = docs.groupBy(key).agg(F.count("*").alias("group_size")).where("group_size > 1")
-    return docs.join(sizes, key)
+    sizes = sizes.withColumnRenamed(key, "_group")
+    return docs.join(sizes, docs[key].eqNullSafe(sizes["_group"])).select(key, *[c for c in docs.columns if c != key], "group_size")
 
 
 def duplicate_report(docs: DataFrame, key: str, expected_id: Column, layers: dict[str, DataFrame]) -> DataFrame:

@@ -165,7 +165,7 @@ def chapter_records(files: DataFrame, book: str, file: str) -> DataFrame:
     """Chapter rows of Markdown files: index from the name, id = md5 of ``book_title``."""
     title = F.regexp_replace(F.col(file), r"\.md\z", "")
     number = F.coalesce(match_group(file, r"(?i)chapter\s*(\d+)"), match_group(file, r"^(\d+)"))
-    return files.select("*", title.alias("title"), F.coalesce(number.cast("int"), F.lit(0)).alias("chapter_index"),
+    return files.select("*", title.alias("title"), F.coalesce(number.try_cast("int"), F.lit(0)).alias("chapter_index"),
                         F.md5(F.concat_ws("_", F.col(book), title)).alias("id"))
 
 

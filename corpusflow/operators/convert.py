@@ -180,7 +180,7 @@ def _aicasebook(x, id_, url):
     time = meta["article:published_time"]
     at = F.coalesce(D.epoch_ms_timestamp(time), D.safe_timestamp(time))
     away = first_filled(x["texts"]["source"], first_external_link(F.filter(x["links"], lambda a: a["blank"]), F.lit("aicasebook.dev")))
-    views = F.coalesce(match_group(x["body_text"], r"조회\s*(\d+)").cast("int"), F.lit(0))
+    views = F.coalesce(match_group(x["body_text"], r"조회\s*(\d+)").try_cast("int"), F.lit(0))
     series = trim_ws(match_group(x["body_text"], r"◆(.+)"))
     body, summary, author = F.when(x["content_rank"] == 0, x["content_md"]).otherwise(""), meta["description"], meta["article:author"]
     quote = F.when(F.coalesce(summary, F.lit("")) != "", F.concat(F.lit("> "), summary, F.lit("\n\n"))).otherwise("")

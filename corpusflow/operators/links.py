@@ -16,7 +16,8 @@ from ..sites import SiteSpec
 
 # Script, style and comment bodies hold no anchors.
 _INVISIBLE = r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->"
-_HREF = r"""(?is)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+# Attributes before href are passed whole, so that neither ``data-href`` nor a bracket in quotes counts.
+_HREF = r"""(?is)<a(?=\s)(?:[^"'>\s]+|\s(?!href\s*=)|"[^"]*"|'[^']*')*+\shref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
 
 def union_sources(*tables: DataFrame) -> DataFrame:

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.base import first_filled, let, match_group, trim_ws
 from ..functions.text import strip_ansi
 
-# Bracket words that are not site names; levels that are kept.
-NOT_SITES = ["scraper", "converter", "error", "warn", "info", "debug", "recursive"]
+# Bracket words that are levels or marks, not site names; levels that are kept.
+NOT_SITES = ["error", "warn", "info", "debug", "recursive"]
 LEVELS = ["INFO", "WARN", "ERROR"]
 _ERROR_TEXT = r"(?i)\berror\b|stderr|exception|TSError"
 _FAILURE_LINE = r"(?i)TSError|error TS|Error:|Exception|^\s*at "
@@ -32,9 +32,10 @@ def _record(c) -> Column:
     return let(F.from_json(c, RECORD), lambda r: F.when(r["_corrupt_record"].isNull(), r))
 
 
-def parse_logs(logs: DataFrame, run_ts: str, line: str = "line") -> DataFrame:
+def parse_logs(logs: DataFrame, run_ts: str, line: str = "line", reserved: list[str] = ()) -> DataFrame:
     """``service, idx, ts, level, message, site, url, stack`` of JSON and text lines. Stack lines and
-    other levels are dropped; a line without a time gets ``run_ts``."""
+    other levels are dropped; a line without a time gets ``run_ts``. ``reserved`` are the names of the
+    services themselves: in brackets they are no site."""
     unknown, none = F.lit("Unknown"), F.lit(None).cast("string")
 
     def row(ts, level, message, site, url, stack, keep):
@@ -49,7 +50,7 @@ def parse_logs(logs: DataFrame, run_ts: str, line: str = "line") -> DataFrame:
 
     def from_text(x):
         level = F.when(x.rlike(_ERROR_TEXT), "ERROR").when(x.rlike(r"(?i)\bwarn\b"), "WARN").otherwise("INFO")
-        site = let(match_group(x, r"\[([a-zA-Z0-9_-]+)\]"), lambda b: F.when(b.isNotNull() & ~F.lower(b).isin(NOT_SITES), b).otherwise(unknown))
+        site = let(match_group(x, r"\[([a-zA-Z0-9_-]+)\]"), lambda b: F.when(b.isNotNull() & ~F.lower(b).isin([*NOT_SITES, *(w.lower() for w in reserved)]), b).otherwise(unknown))
         return row(F.lit(run_ts), level, x, site, F.lit(""), none, (x != "") & ~x.rlike(r"(?i)^at "))
 
     def parsed(x):

@@ -34,13 +34,13 @@ def newest(rows: DataFrame, ts: str, tie: str) -> list[Column]:
 
 
 def find(rows: DataFrame, predicates: list[Column], fields: list[str] | None = None, order: list[Column] = (),
-         limit: int = 10, cap: int = 50) -> DataFrame:
-    """Ad-hoc look-up: predicates, projection, at most ``cap`` rows."""
+         limit: int | None = None) -> DataFrame:
+    """Ad-hoc look-up: predicates, projection, order; all rows, or the first ``limit`` the caller asks for."""
     for p in predicates:
         rows = rows.where(p)
     if order:
         rows = rows.orderBy(*order)
-    rows = rows.limit(min(limit, cap))
+    rows = rows if limit is None else rows.limit(limit)
     return rows.select(*fields) if fields else rows
 
 

@@ -40,8 +40,9 @@ def upsert(target: DataFrame, updates: DataFrame, key: list[str], set_fields: li
 
 
 def write_partitions(rows: DataFrame, path: str, by: list[str]) -> None:
-    """Replace only the partitions present in ``rows``; others stay as they are."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    """Replace only the partitions present in ``rows``; others stay as they are. Rows meet by partition before the
+    write; adaptive execution splits a large one into several files."""
+    rows.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def index_key(c) -> Column:

@@ -35,7 +35,7 @@ WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS id, {_TITLE} AS title, 'https://d.t
  g AS (SELECT title, count(*) AS group_size FROM d GROUP BY 1 HAVING count(*) > 1)
 SELECT d.id, d.title, d.url, group_size, d.id = substr(md5(d.url), 1, 10) AS id_match, true AS encoded_url, lower(hex(encode(d.url))) AS url_hex,
   d.id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels) AS in_urls, d.id IN (SELECT CAST(item_id AS VARCHAR) FROM benchmark) AS in_html
-FROM d JOIN g USING (title)""")
+FROM d JOIN g ON d.title IS NOT DISTINCT FROM g.title""")
 def dup_titles(t):
     url = F.concat(F.lit("https://d.test/"), "source", F.lit("/"), "lang", F.lit("%20"), "n_chars")
     d = t.documents.select(F.col("doc_id").cast("string").alias("id"), T.first_heading_or_line("text").alias("title"), url.alias("url"))

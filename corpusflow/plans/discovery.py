@@ -249,17 +249,16 @@ WITH x AS (SELECT o_orderkey AS id, CASE o_orderpriority WHEN '1-URGENT' THEN 'h
   CASE o_orderpriority WHEN '1-URGENT' THEN 2 ELSE 1 END AS attempt, o_orderstatus AS site, o_orderdate FROM orders)
 SELECT id, CASE priority WHEN 'high' THEN 0 WHEN 'medium' THEN 1 WHEN 'low' THEN 2 ELSE 3 END AS priority_rank,
   CASE WHEN priority = 'high' AND attempt > 1 THEN 0 ELSE 1 END AS retry_rank, md5(site || 'batch-1') AS site_shuffle FROM x
-ORDER BY 2, 3, 4, o_orderdate, id LIMIT 500""")
+""")
 def drain_order(t):
-    """First 500 tasks of a batch in drain order (a top-k report)."""
+    """All tasks of a batch with the keys of the drain order."""
     p = F.col("o_orderpriority")
     tasks = t.orders.select(
         F.col("o_orderkey").alias("id"), F.when(p.isin("1-URGENT", "2-HIGH"), "high").when(p == "3-MEDIUM", "medium")
         .when(p == "4-NOT SPECIFIED", "none").otherwise("low").alias("priority"),
         F.when(p == "1-URGENT", 2).otherwise(1).alias("attempt"), F.col("o_orderstatus").alias("site"),
         F.col("o_orderdate").alias("enqueued_at"))
-    ranked = FR.drain_order(tasks, "batch-1").orderBy(*FR.DRAIN_KEYS).limit(500)
-    return ranked.select("id", "priority_rank", "retry_rank", "site_shuffle")
+    return FR.drain_order(tasks, "batch-1").select("id", "priority_rank", "retry_rank", "site_shuffle")
 
 
 @query("index_doc_key", "SELECT page_id, regexp_replace(url, '[^a-zA-Z0-9_-]', '_', 'g') AS key FROM pages")

@@ -130,7 +130,6 @@ def newest(t):
     return LK.page_of(rows, LK.newest(rows, "o_orderdate", "o_orderkey")).select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"))
 
 
-@query("find_filter", """SELECT doc_id, source, lang FROM documents WHERE (lang IS NULL OR lang NOT IN ('fr', 'de')) AND n_chars >= 500 ORDER BY doc_id LIMIT 50""")
+@query("find_filter", """SELECT doc_id, source, lang FROM documents WHERE (lang IS NULL OR lang NOT IN ('fr', 'de')) AND n_chars >= 500""")
 def find_filter(t):
-    return LK.find(t.documents, [LK.missing_or_not_in("lang", ["fr", "de"]), F.col("n_chars") >= 500], ["doc_id", "source", "lang"],
-                   [F.col("doc_id")], limit=80)
+    return LK.find(t.documents, [LK.missing_or_not_in("lang", ["fr", "de"]), F.col("n_chars") >= 500], ["doc_id", "source", "lang"])

@@ -99,7 +99,7 @@ def parsed_text(x: str) -> str:
     return f"regexp_replace({x}, '&amp;?', '&', 'g')"
 
 
-HREF = r"""(?is)<a\s[^>]*?href\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)"""
+HREF = r"""(?is)<a(?:\s(?:[^"''>]|"[^"]*"|''[^'']*'')*?)??\shref\s*=\s*("[^"]*"|''[^'']*''|[^\s>"'']+)"""
 INVISIBLE = r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<!--.*?-->"
 # One row per anchor of pages: page_id, page_url, pos, href.
 ANCHORS = f"""

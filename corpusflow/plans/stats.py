@@ -142,7 +142,7 @@ def log_lines(t):
     view = F.concat(F.lit('{"time":"'), stamp, F.lit('","level":"'), F.when(F.col("value") < 20, "debug").otherwise("info"),
                     F.lit('","msg":"seen \\u001b[90mgrey"}'))
     click = F.concat(F.lit("  [site-"), "user_id", F.lit("] warn slow page "), e)
-    purchase = F.concat(F.lit("[scraper] TSError near line "), "user_id")
+    purchase = F.concat(F.lit("[fetcher] TSError near line "), "user_id")
     signup = F.when(F.col("value") < 20, F.lit("   at run (worker:1)")).otherwise(F.concat(F.lit("{broken "), e, F.lit("}")))
     line = (F.when(kind == "error", error).when(kind == "view", view).when(kind == "click", click)
             .when(kind == "purchase", purchase).otherwise(signup))
@@ -153,7 +153,7 @@ def log_lines(t):
 _LOGS = r"""lines AS (SELECT 'w' || substr(event_type, 1, 1) AS service, event_id AS idx, event_type, user_id, value, strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') AS stamp,
   CASE event_type WHEN 'error' THEN '{"timestamp":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%gZ') || '","level":"ERROR","error_name":"E' || user_id || '","message":"failed ' || user_id || ' on attempt ' || event_id || '","site":"s' || user_id || '"}'
    WHEN 'view' THEN '{"time":"..","level":"x"}' WHEN 'click' THEN '[site-' || user_id || '] warn slow page ' || event_id
-   WHEN 'purchase' THEN '[scraper] TSError near line ' || user_id
+   WHEN 'purchase' THEN '[fetcher] TSError near line ' || user_id
    ELSE CASE WHEN value < 20 THEN 'at run (worker:1)' ELSE '{broken ' || event_id || '}' END END AS line FROM events),
  parsed AS (SELECT service, idx, CASE WHEN event_type IN ('error', 'view') THEN stamp ELSE '2024-02-01T00:00:00.000Z' END AS ts,
   CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'click' THEN 'WARN' WHEN 'purchase' THEN 'ERROR' ELSE 'INFO' END AS level,
@@ -165,21 +165,21 @@ _RUN_TS = "2024-02-01T00:00:00.000Z"
 
 @query("log_parse", f"WITH {_LOGS} SELECT *, '' AS url FROM parsed")
 def log_parse(t):
-    return LG.parse_logs(log_lines(t), _RUN_TS).drop("stack")
+    return LG.parse_logs(log_lines(t), _RUN_TS, reserved=["fetcher"]).drop("stack")
 
 
 @query("log_facets", f"""WITH {_LOGS}, f AS (SELECT * FROM parsed WHERE level = 'WARN' AND contains(lower(message), 'page 1'))
 SELECT 'site' AS facet, site AS value, count(*) AS n FROM f GROUP BY 2
 UNION ALL SELECT 'service', service, count(*) FROM f GROUP BY 2""")
 def log_facets(t):
-    rows = LG.parse_logs(log_lines(t), _RUN_TS)
+    rows = LG.parse_logs(log_lines(t), _RUN_TS, reserved=["fetcher"])
     return LG.log_facets(LG.filter_logs(rows, "WARN", "PAGE 1"))
 
 
 @query("log_page", f"""WITH {_LOGS}, f AS (SELECT * FROM parsed WHERE level = 'ERROR' AND (contains(lower(message), 'failed 1') OR contains(lower(site), 'failed 1') OR contains(lower(service), 'failed 1')))
 SELECT service, idx, ts, level, message, site FROM f WHERE service = 'we' ORDER BY ts DESC, idx DESC LIMIT 30 OFFSET 30""")
 def log_page(t):
-    rows = LG.filter_logs(LG.parse_logs(log_lines(t), _RUN_TS), "ERROR", "FAILED 1")
+    rows = LG.filter_logs(LG.parse_logs(log_lines(t), _RUN_TS, reserved=["fetcher"]), "ERROR", "FAILED 1")
     return LG.log_page(rows, service="we", page=2).drop("url", "stack")
 
 

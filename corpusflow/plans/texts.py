@@ -238,14 +238,11 @@ def resource_links(t):
 
 @query("natural_sort", r"""
 WITH p AS (SELECT DISTINCT p_name || ' ' || p_size AS title FROM part)
-SELECT title, row_number() OVER (ORDER BY lower(regexp_replace(title, '[0-9].*$', '')), CAST(regexp_extract(title, '([0-9]+)$', 1) AS INTEGER)) AS rank FROM p
-ORDER BY rank LIMIT 400""")
+SELECT title, lower(regexp_replace(title, '[0-9].*$', '')) || lpad(length(regexp_extract(title, '([0-9]+)$', 1))::VARCHAR, 10, '0') || regexp_extract(title, '([0-9]+)$', 1) AS sort_key FROM p""")
 def natural_sort(t):
-    """Top of the chapter order: digits compare by value."""
+    """All titles with the key they sort by: digits compare by value."""
     p = t.part.select(S(F.col("p_name"), " ", C("p_size")).alias("title")).distinct()
-    top = p.orderBy(T.natural_key("title")).limit(400)
-    from pyspark.sql import Window
-    return top.select("title", F.row_number().over(Window.orderBy(T.natural_key("title"))).alias("rank"))
+    return p.select("title", T.natural_key("title").alias("sort_key"))
 
 
 _BODY = rf"regexp_replace(regexp_replace(regexp_extract(html, '(?is)<body\b[^>]*>(.*)', 1), '{Q.INVISIBLE}|</body\s*>.*$', '', 'g'), '<[^>]*>', '', 'g')"

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,10 +50,20 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan if scan.isStreaming or scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="corpusflow-")
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """New folder for an intermediate table. It lies in the shared directory the cluster names in
-    ``spark.checkpoint.dir``; only where that is unset (tests) under the SQL warehouse."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """New folder for an intermediate table, in the shared directory the cluster names in
+    ``spark.checkpoint.dir``. Where that is unset, a session in one process gets a temporary folder, and
+    a cluster an error: its executors share no local folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a directory that all executors share")
+        shared = _own_folder()
     return f"{shared.rstrip('/')}/_corpusflow/{name}-{uuid.uuid4().hex[:12]}"
 
 

@@ -34,8 +34,9 @@ def read_url_list(spark: SparkSession, path: str, http_only: bool = False) -> Da
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Line-wise JSON; malformed lines are dropped, not failed on."""
-    df = spark.read.schema(schema + ", _corrupt_record string").json(path, mode="PERMISSIVE")
-    return df.where("_corrupt_record IS NULL").drop("_corrupt_record")
+    record = F.from_json("value", schema + ", _corrupt_record string", {"mode": "PERMISSIVE"})
+    lines = spark.read.text(path).where("trim(value) <> ''").select(record.alias("r"))
+    return lines.where("r IS NOT NULL AND r._corrupt_record IS NULL").select("r.*").drop("_corrupt_record")
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, partition_column: str | None = None, bounds: tuple | None = None,

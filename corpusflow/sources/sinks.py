@@ -37,9 +37,8 @@ def upsert_table(spark: SparkSession, path: str, updates: DataFrame, key: list[s
     """Apply updates to a table partitioned by ``by`` (part of the key). Only the partitions the
     updates touch are read and rewritten; the merged rows are written elsewhere first, since a
     partition must not be overwritten while it is read."""
-    # Partition values are as many as there are sites.
-    touched = [r[0] for r in updates.select(by).distinct().collect()]
-    target = spark.read.parquet(path).where(F.col(by).isin(touched))
+    # The semi-join prunes the partitions of the target at run time.
+    target = spark.read.parquet(path).join(updates.select(by).distinct(), by, "left_semi")
     merged = upsert(target, updates, key, set_fields, set_on_insert)
     write_partitions(cut_lineage(merged, "upsert"), path, [by])
 

@@ -17,6 +17,7 @@ from ..operators import convert as CV
 from ..operators import logs as LG
 from ..operators import search as SE
 from ..operators.scan import prefix_scan
+from ..operators.upsert import latest_by_key
 from ..sources.sinks import append_batch, current, read_log
 
 MAX_ATTEMPTS = 3
@@ -58,8 +59,11 @@ def ingest_captures(captures: DataFrame, path: str) -> StreamingQuery:
 
 
 def convert_stream(bronze: DataFrame, site_key: str, path: str) -> StreamingQuery:
-    """Bronze rows of a site to its silver log and the status rows of the frontier."""
+    """Bronze rows of a site to its silver log and the status rows of the frontier; of several captures of
+    an id in a batch the newest counts."""
     def body(df, i):
+        if "scraped_at" in df.columns:
+            df = latest_by_key(df, ["id"], ["scraped_at"])
         meta = CV.convert(df, site_key)
         append_batch(CV.silver(meta, site_key), f"{path}/log", i)
         status = F.when(F.col("error").isNull(), "completed").otherwise("failed")
@@ -68,8 +72,9 @@ def convert_stream(bronze: DataFrame, site_key: str, path: str) -> StreamingQuer
 
 
 def index_stream(silver: DataFrame, path: str, run_ts: Column) -> StreamingQuery:
-    """Silver rows to the search-document log and the postings log."""
+    """Silver rows to the search-document log and the postings log, one version of a document per batch."""
     def body(df, i):
+        df = latest_by_key(df, ["id"], [c for c in ("updated_at", "published_at") if c in df.columns])
         docs = SE.search_documents(df, run_ts, F.coalesce("published_at", "updated_at"))
         append_batch(docs, f"{path}/log", i)
         append_batch(SE.postings(docs, "id"), f"{path}/postings", i)

@@ -156,10 +156,10 @@ def test_purge_of_queue_items(spark):
 
 def test_log_lines(spark):
     lines = ['{"level":"debug","msg":"x"}', '{"level":"warn","msg":"\\u001b[31mm","error_name":"E","stack":"s"}', "{bad}", "  at foo()",
-             "[scraper] stderr boom", "[geeknews] just info", "", '{"timestamp":"t"}']
+             "[fetcher] stderr boom", "[geeknews] just info", "", '{"timestamp":"t"}']
     df = spark.createDataFrame([("w", i, x) for i, x in enumerate(lines)], "service string, idx int, line string")
-    got = {r["idx"]: (r["level"], r["site"], r["message"], r["stack"]) for r in LG.parse_logs(df, "now").collect()}
-    assert got == {1: ("WARN", "Unknown", "E: m", "s"), 2: ("INFO", "Unknown", "{bad}", None), 4: ("ERROR", "Unknown", "[scraper] stderr boom", None),
+    got = {r["idx"]: (r["level"], r["site"], r["message"], r["stack"]) for r in LG.parse_logs(df, "now", reserved=["Fetcher"]).collect()}
+    assert got == {1: ("WARN", "Unknown", "E: m", "s"), 2: ("INFO", "Unknown", "{bad}", None), 4: ("ERROR", "Unknown", "[fetcher] stderr boom", None),
                    5: ("INFO", "geeknews", "[geeknews] just info", None), 7: ("INFO", "Unknown", "No message", None)}
 
 
