@@ -14,10 +14,12 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField
 
 from corpusflow.llm.common import append, texts
 
-WORDS, BYTES = 32, 512       # a window holds so many words, in so many bytes at most
+WORDS, BYTES = 8, 512        # a window holds so many words, in so many bytes at most
 LEVEL = 9
-ORDINARY_DICT, TOXIC_DICT = 32768, 2048
-MARKED_Z, MARKED_DOCS = 12.0, 5   # how surely, and in how many toxic texts, a word has to be over-represented
+ORDINARY_DICT, TOXIC_DICT = 131072, 8192   # bytes, of spelled text
+PIECE = 5                    # characters of a piece, blanks around a word included
+MARKED_Z, MARKED_RATIO, MARKED_DOCS = 12.0, 10, 5   # how surely, how much, and in how many toxic texts, a piece has to be over-represented
+GAIN = 4                     # bytes from which a window counts as gaining
 SAMPLE_ROWS = 8000           # labelled rows of a class that training looks at, at most
 SAMPLE_CHARS = 12_000_000    # and their characters
 
@@ -32,6 +34,15 @@ def windows(text: str) -> list[bytes]:
     return out
 
 
+def spelled(window: bytes) -> bytes:
+    """Every byte followed by its two next ones. A word comes to three times its length, a match costs the same, so
+    that one short word shows in the compressed length."""
+    n = len(window)
+    out = bytearray(3 * n)
+    out[0::3], out[1::3], out[2::3] = window, (window[1:] + b" ")[:n], (window[2:] + b"  ")[:n]
+    return bytes(out)
+
+
 def _compressor(content: bytes) -> zs.ZstdCompressor:
     params = zs.ZstdCompressionParameters.from_level(LEVEL, write_content_size=False, write_checksum=False,
                                                      write_dict_id=False, format=zs.FORMAT_ZSTD1_MAGICLESS)
@@ -60,24 +71,32 @@ def _distinct_texts(rows: list[str]) -> list[str]:
     return out
 
 
+def pieces(text: str) -> set[str]:
+    """The words of a text between blanks, and the runs of ``PIECE`` characters in them."""
+    own = {f" {w} " for w in text.lower().split()}
+    return own | {w[i:i + PIECE] for w in own for i in range(len(w) - PIECE + 1)}
+
+
 def marked_words(toxic: list[str], ordinary: list[str]) -> set[str]:
-    """Words in far more toxic texts than their rate in ordinary texts lets expect."""
+    """Words that hold a piece found in far more toxic texts than its rate in ordinary texts lets expect. Pieces make
+    words of a common stem count together, in however few texts each of them is."""
     a, b = Counter(), Counter()
     for t in toxic:
-        a.update(set(t.lower().split()))
+        a.update(pieces(t))
+    a = {p: n for p, n in a.items() if n >= MARKED_DOCS}
     for t in ordinary:
-        b.update(set(t.lower().split()))
-    out = set()
-    for w, n in a.items():
-        mean = len(toxic) * (b[w] + 1) / max(1, len(ordinary))
-        if n >= MARKED_DOCS and (n - mean) / mean ** 0.5 >= MARKED_Z:
-            out.add(w)
-    return out
+        b.update(pieces(t) & a.keys())
+    marks = set()
+    for p, n in a.items():
+        mean = len(toxic) * (b[p] + 1) / max(1, len(ordinary))
+        if n >= MARKED_RATIO * mean and (n - mean) / mean ** 0.5 >= MARKED_Z:
+            marks.add(p)
+    return {w for t in toxic for w in set(t.lower().split()) if pieces(w) & marks}
 
 
 class Model:
     """Two dictionaries and a calibration. The ordinary dictionary is trained on ordinary windows; the toxic one on
-    the over-represented words of toxic texts as they occur, and goes in front of the ordinary content, so that the two
+    the words of toxic texts that hold over-represented pieces, as they occur, and goes in front of the ordinary content, so that the two
     compressed lengths of a window differ only by what the toxic training adds."""
 
     def __init__(self, ordinary: bytes = b"", toxic: bytes = b"", weights=None, prior: float = 0.0):
@@ -96,10 +115,10 @@ class Model:
         ws = windows(text)
         if not ws:
             return [0.0] * 5
-        gain = np.array([len(a(w)) - len(b(w)) for w in ws], dtype=float)
+        gain = np.array([len(a(w)) - len(b(w)) for w in map(spelled, ws)], dtype=float)
         top = np.sort(gain)[::-1]
         share = (gain / np.maximum(60, [len(w) for w in ws])).max()
-        return [top[0], top[:3].sum() / 3, gain.mean(), 100 * share, float(np.log1p((gain >= 2).sum()))]
+        return [top[0], top[:3].sum() / 3, gain.mean(), 100 * share, float(np.log1p((gain >= GAIN).sum()))]
 
     def score(self, text: str) -> float:
         if self.weights is None:
@@ -132,9 +151,9 @@ def train(rows: list[tuple[str, int]], counts: dict[int, int]) -> Model:
         return Model(prior=prior)
     fit = {c: _distinct_texts([t for i, t in enumerate(part[c]) if i % 3]) for c in part}
     marked = marked_words(fit[1], fit[0])
-    seen = [(" " + w + " ").encode("utf-8", "replace") for t in fit[1] for w in t.lower().split() if w in marked]
+    seen = [spelled(f" {w} ".encode("utf-8", "replace")) for t in fit[1] for w in t.lower().split() if w in marked]
     samples = [b"".join(seen[i:i + 8]) for i in range(0, len(seen), 8)]
-    model = Model(_train(ORDINARY_DICT, [w for t in fit[0] for w in windows(t)]), _train(TOXIC_DICT, samples) if samples else b"", None, prior)
+    model = Model(_train(ORDINARY_DICT, [spelled(w) for t in fit[0] for w in windows(t)]), _train(TOXIC_DICT, samples) if samples else b"", None, prior)
     held = [(t, c) for c in part for i, t in enumerate(part[c]) if not i % 3]
     x, y = np.array([model.features(t) for t, _ in held]), np.array([c for _, c in held], dtype=float)
     mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
