@@ -94,12 +94,14 @@ def mail_uid(ts, sender) -> Column:
     return F.concat(F.coalesce(F.date_format(local, "yyyyMMdd_HHmmss"), F.lit("unknown")), F.lit("_"), h)
 
 
-def published_fallback(run_ts, *candidates, body=None) -> Column:
-    """First known date of a record, else one written in its body, else the run time."""
+def published_fallback(run_ts, *candidates, body=None, site=None) -> Column:
+    """First known date of a record, else one written in its body, else the run time. With ``site``, each way of
+    writing counts for its own site alone."""
+    of = lambda key, c: c if site is None else F.when(col(site) == key, c)
     written = [] if body is None else [F.coalesce(
-        match_group(body, r'posted_date:\s*"([^"]+)"'),
-        match_group(body, r"\*\*포스팅 날짜 \(Posted Date\):\*\*\s*([^\n]+)"),
-        F.nullif(match_group(body, r"\*\*작성일:\*\*\s*([^\n]+)"), F.lit("정보 없음")))]
+        of("linkedin", match_group(body, r'posted_date:\s*"([^"]+)"')),
+        of("linkedin", match_group(body, r"\*\*포스팅 날짜 \(Posted Date\):\*\*\s*([^\n]+)")),
+        of("geeknews", F.nullif(match_group(body, r"\*\*작성일:\*\*\s*([^\n]+)"), F.lit("정보 없음"))))]
     return F.coalesce(*[col(c).try_cast("timestamp") for c in candidates],
                       *[safe_timestamp(w) for w in written], col(run_ts).cast("timestamp"))
 

@@ -65,12 +65,12 @@ def industries(included: Column, company: Column) -> Column:
     return F.nullif(F.array_join(names, ", "), F.lit(""))
 
 
-def company_records(pages: DataFrame) -> DataFrame:
-    """Records of ``(id, url, raw_html)`` profile captures. The first block with a company counts;
-    each later stage is its own column, read several times by the next."""
+def company_records(pages: DataFrame, carry: list[str] = ()) -> DataFrame:
+    """Records of ``(id, url, raw_html)`` profile captures, with the columns of ``carry`` after them. The first
+    block with a company counts; each later stage is its own column, read several times by the next."""
     blocks = F.transform(data_blocks("raw_html"), lambda j: F.from_json(j, BLOCK)["included"])
     useful = F.filter(blocks, lambda b: F.exists(F.coalesce(b, F.array().cast(T.ArrayType(ENTITY))), lambda e: F.contains(e["$type"], F.lit("organization.Company"))))
-    rows = pages.select("id", "url", page_name("raw_html").alias("_name"), F.get(useful, F.lit(0)).alias("_inc"))
+    rows = pages.select("id", "url", *carry, page_name("raw_html").alias("_name"), F.get(useful, F.lit(0)).alias("_inc"))
     rows = rows.withColumn("c", pick_company(F.col("_inc"), F.col("id"), F.col("_name"))).withColumn("_industry", industries(F.col("_inc"), F.col("c")))
     none, a, r = F.lit(NO_INFO), F.col("c.headquarter.address"), F.col("c.employeeCountRange")
     size = F.when((r["start"] > 0) & (r["end"] > 0), F.concat(r["start"].cast("string"), F.lit("-"), r["end"].cast("string"), F.lit(" employees"))).when(
@@ -87,7 +87,7 @@ def company_records(pages: DataFrame) -> DataFrame:
         first_filled(place, none).alias("hq_location"), trim_ws(a["country"]).alias("hq_country"), squeeze(a["geographicArea"]).alias("hq_geographic_area"),
         squeeze(a["city"]).alias("hq_city"), trim_ws(a["postalCode"]).alias("hq_postal_code"), squeeze(a["line1"]).alias("hq_line1"),
         squeeze(a["line2"]).alias("hq_line2"), squeeze("c.headquarter.description").alias("hq_description"),
-        first_filled(F.regexp_replace(trim_ws("c.description"), r"\n {2,}", "\n"), none).alias("overview"))
+        first_filled(F.regexp_replace(trim_ws("c.description"), r"\n {2,}", "\n"), none).alias("overview"), *carry)
 
 
 # Terms of a profile's definition list and the record field they fill.

@@ -21,6 +21,7 @@ from ..functions.html import FORUM, TOPIC
 from ..functions.geo import country_of, geo_bucket
 from ..functions.url import job_id
 from ..sites import site
+from . import company as CO
 from . import extract as X
 from .links import first_by_id
 
@@ -315,12 +316,22 @@ CONVERTERS: dict[str, Converter] = {
 }
 
 
+def _companies(rows: DataFrame) -> DataFrame:
+    """Company records from the data blocks of the pages; what these lack comes from the definition list."""
+    pages = rows.select("id", "url", F.col("_payload").alias("raw_html"), "error", F.col("scraped_at").alias("updated_at"),
+                        X.definition_pairs()(F.col("_payload")).alias("_pairs"))
+    records = CO.company_records(pages, ["error", "updated_at", "_pairs"])
+    return CO.fill_missing(records, CO.definition_fields(F.col("_pairs"))).drop("_pairs")
+
+
 def convert(bronze: DataFrame, site_key: str) -> DataFrame:
     """Meta columns of one site's captures; link and escape clean-up applied to the Markdown. A
     capture without payload becomes a row with ``error`` instead of a failure."""
-    c = CONVERTERS[site_key]
     payload, error = raw_payload()
     rows = bronze.withColumn("_payload", payload).withColumn("error", error)
+    if site_key == "linkedin_company":
+        return _companies(rows)
+    c = CONVERTERS[site_key]
     if not c.from_json:
         rows = rows.withColumn("_x", X.page_fields(**c.fields)(F.col("_payload")))
         if site_key == "geeknews":

@@ -75,5 +75,20 @@ def write_index(docs: DataFrame, posts: DataFrame, path: str) -> None:
     posts.repartitionByRange(F.col("term"), F.col("doc_id")).sortWithinPartitions("term", "doc_id").write.mode("overwrite").parquet(f"{path}/postings")
 
 
+def update_index(spark: SparkSession, path: str, docs: DataFrame, posts: DataFrame) -> str:
+    """Add documents (one row per ``id``) and their postings to a stored index, or replace those it has, and return
+    the path of the new version. Postings of a replaced document go, also those of terms it no longer holds; readers
+    of ``path`` are not disturbed."""
+    fresh = docs.withColumn("id", index_key(F.col("id")))
+    old_docs = spark.read.parquet(f"{path}/docs")
+    # The document may have had another ``doc_id`` before: its old postings are found by that one.
+    replaced = old_docs.join(fresh.select("id").distinct(), "id", "left_semi").select("doc_id").unionByName(fresh.select("doc_id")).distinct()
+    rest = old_docs.join(fresh.select("id").distinct(), "id", "left_anti")
+    kept = spark.read.parquet(f"{path}/postings").join(replaced, "doc_id", "left_anti")
+    target = f"{path}/v-{uuid.uuid4().hex[:12]}"
+    write_index(rest.unionByName(fresh, allowMissingColumns=True), kept.unionByName(posts), target)
+    return target
+
+
 def write_json_dump(dump: DataFrame, path: str) -> None:
     dump.write.mode("overwrite").json(path)

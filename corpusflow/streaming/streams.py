@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..functions.jsonx import json_field
 from ..operators import convert as CV
@@ -147,6 +147,32 @@ def dead_letter_counts(letters: DataFrame) -> DataFrame:
     return letters.groupBy(F.coalesce(json_field("payload", "$.site"), F.lit("Unknown")).alias("site")).agg(F.count("*").alias("n"))
 
 
+class LateRows(StreamingQueryListener):
+    """Counts the rows that watermarks drop, by query name (or id): ``spark.streams.addListener(LateRows())``. In
+    front of an aggregation, late rows of one group and task are one. A micro-batch run again counts once."""
+
+    def __init__(self):
+        self._batches: dict[str, dict[int, int]] = {}
+
+    def count(self, query: str) -> int:
+        return sum(self._batches.get(query, {}).values())
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        late = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+        if late:
+            self._batches.setdefault(p.name or str(p.id), {})[p.batchId] = late
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
+
+
 def dedupe_in_flight(tasks: DataFrame, ts: str, keys: list[str], delay: str = "10 minutes") -> DataFrame:
     """First row per key within the watermark delay; later repeats are dropped."""
     return tasks.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)

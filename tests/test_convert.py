@@ -128,6 +128,17 @@ def test_company_page(spark):
     assert 'company_size: "10-50 employees"' in md["acme"] and "* a\n* b" in md["acme"]
 
 
+def test_company_site_converts(spark):
+    page = "<title>X Co | LinkedIn</title><dl><dt>Website</dt><dd>http://x</dd><dt>Industry:</dt><dd>Tools</dd></dl>"
+    df = spark.createDataFrame([("x", "https://l/c/x", page, None, "2024-01-01"), ("y", "https://l/c/y", None, None, "2024-01-01")],
+                               "id string, url string, raw_html string, raw_json string, scraped_at string")
+    meta = CV.convert(df, "linkedin_company")
+    r = {x["id"]: x for x in meta.collect()}
+    assert (r["x"]["website"], r["x"]["industry"], r["x"]["founded"], r["x"]["error"]) == ("http://x", "Tools", "정보 없음", None)
+    assert r["y"]["error"] is not None
+    assert [(x["site"], x["company_name"], x["category"]) for x in CV.silver(meta, "linkedin_company").collect()] == [("linkedin_company", "X Co", "Tools")]
+
+
 def test_broken_markup_is_linear_and_whole():
     import time
     start = time.time()

@@ -105,6 +105,24 @@ def test_stored_index_answers_searches(spark, tmp_path):
     assert "EqualTo(term,beta)" in plan
 
 
+def test_index_takes_and_replaces_documents(spark, tmp_path):
+    schema = "id string, site string, doc_id string, title string"
+    docs = spark.createDataFrame([("s 1", "s", "1", "alpha beta"), ("s_2", "s", "2", "beta")], schema)
+    SK.write_index(docs, SE.postings(docs), str(tmp_path))
+    more = spark.createDataFrame([("s_1", "s", "1b", "gamma"), ("s_3", "s", "3", "beta")], schema)
+    new = SK.update_index(spark, str(tmp_path), more, SE.postings(more))
+    assert {(r["id"], r["title"]) for r in spark.read.parquet(f"{new}/docs").collect()} == {("s_1", "gamma"), ("s_2", "beta"), ("s_3", "beta")}
+    assert {(r["term"], r["doc_id"]) for r in spark.read.parquet(f"{new}/postings").collect()} == {("gamma", "1b"), ("beta", "2"), ("beta", "3")}
+    assert spark.read.parquet(f"{tmp_path}/docs").count() == 2
+
+
+def test_written_date_counts_for_its_site(spark):
+    df = spark.createDataFrame([(s, b) for s in ("linkedin", "geeknews", "yozm") for b in ('posted_date: "2024-01-01"', "**작성일:** 2024-02-02")], "site string, body string")
+    rows = df.select("site", F.date_format(D.published_fallback(F.lit("2024-05-05"), F.lit(None).cast("string"), body=F.col("body"), site="site"), "MM-dd").alias("d"))
+    got = [tuple(r) for r in rows.collect()]
+    assert got == [("linkedin", "01-01"), ("linkedin", "05-05"), ("geeknews", "05-05"), ("geeknews", "02-02"), ("yozm", "05-05"), ("yozm", "05-05")]
+
+
 def test_translated_chapter_wins(spark):
     df = spark.createDataFrame([("b", x) for x in ("a.md", "A.en-ko.md", "c.md", "README.md", "index.md", "x.txt")], "book string, file string")
     assert sorted(r["file"] for r in LK.prefer_translation(df, "book", "file").collect()) == ["A.en-ko.md", "c.md"]

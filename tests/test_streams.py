@@ -90,6 +90,24 @@ def test_daily_view_counts_across_batches(spark, tmp_path):
     assert got == {("2024-01-01", 1), ("2024-01-02", 2)}
 
 
+def test_late_rows_are_counted(spark, tmp_path):
+    dt = __import__("datetime").datetime
+    stream = feed(spark, str(tmp_path / "in"), [*[[(dt(2024, 1, 9, h), "a")] for h in (1, 2, 3)], [(dt(2024, 1, 1, 1), "a"), (dt(2024, 1, 1, 2), "b")]], "ts timestamp, site string")
+    late = ST.LateRows()
+    spark.streams.addListener(late)
+    try:
+        out = str(tmp_path / "out")
+        q = ST.each_batch(ST.daily_view(stream, "ts", "site"), f"{out}/_checkpoint", lambda df, i: df.count(), "update", name="late_rows")
+        q.awaitTermination()
+        for _ in range(50):
+            if late.count("late_rows"):
+                break
+            __import__("time").sleep(0.2)
+        assert late.count("late_rows") == 2 and late.count("other") == 0
+    finally:
+        spark.streams.removeListener(late)
+
+
 def test_file_sources(spark, tmp_path):
     (tmp_path / "book one").mkdir()
     (tmp_path / "book one" / "Chapter 2.md").write_text("# hi\nthere", encoding="utf-8")
