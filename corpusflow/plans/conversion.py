@@ -220,6 +220,19 @@ def company_entity(t):
     return out.select(F.regexp_replace("id", "^s-", "").cast("bigint").alias("s_suppkey"), "company_name", "industry", "hq_location", "company_size")
 
 
+@query("company_silver", """
+SELECT s_suppkey, s_name AS company_name, 'http://w/' || s_suppkey AS source_link, n_name AS category FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey <> 0""")
+def company_silver(t):
+    """Suppliers as profile pages without a data block, whose definition list fills the record; those of the first
+    region are captures without payload."""
+    html = S("<title>", F.col("s_name"), ": About | LinkedIn</title><dl><dt>Industry</dt><dd>", F.col("n_name"), "</dd><dt>Website</dt><dd>http://w/", C("s_suppkey"), "</dd></dl>")
+    rows = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        C("s_suppkey").alias("id"), F.lit("u").alias("url"), F.when(F.col("n_regionkey") != 0, html).alias("raw_html"),
+        F.lit(None).cast("string").alias("raw_json"), F.lit("2024-01-02").alias("scraped_at"))
+    out = CV.silver(CV.convert(rows, "linkedin_company"), "linkedin_company")
+    return out.select(F.col("id").cast("bigint").alias("s_suppkey"), "company_name", "source_link", "category")
+
+
 @query("dl_pairs", "SELECT p_partkey, p_brand AS website, CAST(p_size AS VARCHAR) || ' staff' AS company_size, CAST(NULL AS VARCHAR) AS founded FROM part")
 def dl_pairs(t):
     html = S("<dl><dt>Website:</dt><dd> ", F.col("p_brand"), " </dd><dt>Company size</dt><dd>", C("p_size"), "\n staff</dd><dt>Founded</dt></dl>")

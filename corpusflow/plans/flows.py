@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import search as SE
 from ..operators.scan import ordinal_bucket
 from ..sources import readers as RD
 from ..session import work_path
@@ -201,3 +202,16 @@ def stream_logs(t):
         events = _events(t)
     out = _run(t, "logs", ST.parsed_logs(SQ.log_lines(Streamed), SQ._RUN_TS))
     return out.groupBy("level").agg(F.count("*").alias("n"))
+
+
+@query("index_update", """
+SELECT term, count(*) AS n FROM (SELECT CASE WHEN lang = 'fr' THEN 'renewed' ELSE lang END AS term FROM documents UNION ALL SELECT source FROM documents) GROUP BY 1""")
+def index_update(t):
+    """An index of languages and sources; the French documents come again with another word."""
+    def docs(rows, word):
+        return rows.select(C("doc_id").alias("id"), F.lit("d").alias("site"), C("doc_id").alias("doc_id"), S(word, " ", F.col("source")).alias("title"))
+    old, new = docs(t.documents, F.col("lang")), docs(t.documents.where("lang = 'fr'"), F.lit("renewed"))
+    path = work_path(t.spark, "index")
+    SK.write_index(old, SE.postings(old, fields=["title"]), path)
+    target = SK.update_index(t.spark, path, new, SE.postings(new, fields=["title"]))
+    return t.spark.read.parquet(f"{target}/postings").groupBy("term").agg(F.count("*").alias("n"))

@@ -339,6 +339,16 @@ def published_fallback(t):
     return j.select("l_orderkey", "l_linenumber", "l_partkey", F.date_format(p, "yyyy-MM-dd").alias("published"))
 
 
+@query("published_by_site", """
+SELECT o_orderkey, CASE WHEN (o_orderstatus = 'F') = (o_orderpriority <> '1-URGENT') AND o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '2024-02-01' END AS published FROM orders""")
+def published_by_site(t):
+    """Both ways of writing a date in the bodies of three sites; each counts for one site alone."""
+    status, day = F.col("o_orderstatus"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    site = F.when(status == "F", "linkedin").when(status == "O", "geeknews").otherwise("yozm")
+    body = F.when(F.col("o_orderpriority") != "1-URGENT", S('posted_date: "', day, '"')).otherwise(S("**작성일:** ", day))
+    return t.orders.select("o_orderkey", F.date_format(D.published_fallback(F.lit("2024-02-01"), body=body, site=site), "yyyy-MM-dd").alias("published"))
+
+
 # --- JSON --------------------------------------------------------------------------------------------------
 
 @query("src_json", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
