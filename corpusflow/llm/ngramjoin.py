@@ -49,9 +49,10 @@ def level_groups(level: int) -> tuple[int, int]:
 def keys(h: np.ndarray) -> np.ndarray:
     """Keys of a set, one of which every linked pair of different sets shares.
 
-    The elements are dealt into groups by hash. A linked pair differs in at most r elements, so in at most r groups: of
-    a set with more than r groups in use, one group is the same in both, and the key is that group's content. The few
-    sets with no more groups in use get one common key of their level. Sets below nine elements link to equals only."""
+    The elements are dealt into groups by hash. A linked pair differs in at most r elements, so in at most r groups: if
+    one side has more than r groups in use, one of these is the same in both, and the key is that group's content. Sets
+    with no more groups in use get one common key of their level besides, for pairs of two such sets. Sets below nine
+    elements link to equals only."""
     n, out = len(h), []
     if changed(n + 1) < 1:
         return np.zeros(0, dtype=np.int64)
@@ -66,8 +67,7 @@ def keys(h: np.ndarray) -> np.ndarray:
         np.add.at(total, g, mix(h ^ np.uint64(0x5851F42D4C957F2D)))
         used = np.flatnonzero(np.bincount(g, minlength=groups))
         salt = mix(np.array([level * 1_000_003 + 17], dtype=np.uint64))[0]
-        if len(used) > r:
-            out.append(mix(total[used] ^ salt ^ (used.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))))
+        out.append(mix(total[used] ^ salt ^ (used.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))))
         if len(used) <= r:
             out.append(mix(np.array([salt], dtype=np.uint64)))
     return np.unique(np.concatenate(out)).view(np.int64) if out else np.zeros(0, dtype=np.int64)

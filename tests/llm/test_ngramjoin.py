@@ -110,3 +110,19 @@ def test_a_long_text(spark):
     df = spark.createDataFrame([(1, t), (2, t + " end"), (3, "short")], "doc_id long, text string")
     assert {r["doc_id"]: r["component_id"] for r in N.classes(df).collect()} == {1: 1, 2: 1, 3: 3}
     assert N.classes(df.limit(0)).count() == 0
+
+
+def test_linked_sets_of_many_elements_share_a_key():
+    rng = np.random.default_rng(4)
+    mixed = 0
+    for n in (9000, 10000, 15000, 30000, 60000, 100000):
+        for share in (0.01, 0.05, 0.09):
+            for _ in range(12 if n <= 15000 else 3):
+                a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2))
+                k = int(share * len(a))
+                b = np.unique(np.concatenate([a[k // 2:], rng.integers(0, 2**63, k - k // 2, dtype=np.uint64)]))
+                both, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+                assert both * 100 >= 90 * union
+                assert len(np.intersect1d(N.keys(a), N.keys(b))), (n, share)
+                mixed += 1
+    assert mixed > 100
