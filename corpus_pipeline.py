@@ -1,7 +1,7 @@
 """Corpus pipeline: documents through five stages, each written as Parquet and read again.
 
 1. toxicity: documents classified as toxic go.
-2. near_duplicates: one document of each class of near copies (word triples, Jaccard 0.9) stays.
+2. near_duplicates: one document of each class of near copies (five-word shingles, Jaccard 0.8) stays.
 3. decontamination: documents with a passage of the benchmark go.
 4. personal_data: every span found is replaced by its kind in the text; ``n_chars`` follows.
 5. mixing: documents sampled to the sources' target weights, with the words taken of each.
@@ -31,7 +31,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return ngramjoin.representatives(docs)
+    return ngramjoin.representatives(docs, words=5, num=80, den=100)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,39 +29,39 @@ def shingles(text, n: int = NGRAM) -> np.ndarray:
     return np.unique(h)
 
 
-def changed(size: int) -> int:
-    """Most elements that differ between a set of ``size`` and a larger partner: a tenth of a union of at most
-    size / 0.9 elements."""
-    return size * (DEN - NUM) // NUM
+def changed(size: int, num: int = NUM, den: int = DEN) -> int:
+    """Most elements that differ between a set of ``size`` and a larger partner: of a union of at most
+    size * den / num elements the part that may differ, a tenth of size / 0.9 at 90 / 100."""
+    return size * (den - num) // num
 
 
 def level_of(size: int) -> int:
     return int(np.log(max(size, 1)) / np.log(GROWTH) + 1e-9)
 
 
-def level_groups(level: int) -> tuple[int, int]:
+def level_groups(level: int, num: int = NUM, den: int = DEN) -> tuple[int, int]:
     """(groups, most that a linked pair of this level can differ in). A pair belongs to the level of its smaller set."""
     top = int(np.ceil(GROWTH ** (level + 1)))
-    r = changed(top)
+    r = changed(top, num, den)
     return r + 1 + SPARE, r
 
 
-def keys(h: np.ndarray) -> np.ndarray:
+def keys(h: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
     """Keys of a set, one of which every linked pair of different sets shares.
 
     The elements are dealt into groups by hash. A linked pair differs in at most r elements, so in at most r groups: if
     one side has more than r groups in use, one of these is the same in both, and the key is that group's content. Sets
-    with no more groups in use get one common key of their level besides, for pairs of two such sets. Sets below nine
-    elements link to equals only."""
+    with no more groups in use get one common key of their level besides, for pairs of two such sets. Small sets,
+    below nine elements at 90 / 100, link to equals only."""
     n, out = len(h), []
-    if changed(n + 1) < 1:
+    if changed(n + 1, num, den) < 1:
         return np.zeros(0, dtype=np.int64)
-    low = -(-n * NUM // DEN)                        # the smallest partner
+    low = -(-n * num // den)                        # the smallest partner
     for level in range(level_of(max(low - 1, 1)), level_of(n + 1) + 1):
         lo, hi = GROWTH ** level, GROWTH ** (level + 1)
         if hi < low - 1 or lo > n + 1:
             continue
-        groups, r = level_groups(level)
+        groups, r = level_groups(level, num, den)
         g = ((h >> np.uint64(11)) % np.uint64(groups)).astype(np.int64)
         total = np.zeros(groups, dtype=np.uint64)
         np.add.at(total, g, mix(h ^ np.uint64(0x5851F42D4C957F2D)))
@@ -83,12 +83,12 @@ def fingerprint(h: np.ndarray) -> bytes:
 _SIG = [StructField("n_shingles", LongType()), StructField("_fp", BinaryType()), StructField("_keys", ArrayType(LongType()))]
 
 
-def _signatures(text: str):
+def _signatures(text: str, words: int, num: int, den: int):
     def run(batch: pa.RecordBatch):
         n, fp, ks = [], [], []
         for b in batch_bytes(batch, text):
-            h = shingles(b)
-            n.append(len(h)), fp.append(fingerprint(h) if len(h) else None), ks.append(keys(h))
+            h = shingles(b, words)
+            n.append(len(h)), fp.append(fingerprint(h) if len(h) else None), ks.append(keys(h, num, den))
         return [pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(ks, pa.list_(pa.int64()))]
     return run
 
@@ -115,7 +115,7 @@ class RTree:
         half = -(-len(idx) // 2 // LEAF) * LEAF
         return np.concatenate([self._tile(idx[:half], axes, depth + 1), self._tile(idx[half:], axes, depth + 1)])
 
-    def reach(self, q: np.ndarray, size: int) -> np.ndarray:
+    def reach(self, q: np.ndarray, size: int, num: int = NUM, den: int = DEN) -> np.ndarray:
         """Points that may link with ``q``: boxes, then points, whose summed coordinate minima with q reach the overlap
         that a link needs."""
         if not self.levels:
@@ -124,15 +124,15 @@ class RTree:
         for depth in range(len(self.levels) - 1, -1, -1):
             m, lo, hi = self.levels[depth]
             bound = np.minimum(m[alive], q).sum(axis=1)
-            alive = alive[(bound * (NUM + DEN) >= NUM * (size + lo[alive])) & (lo[alive] * NUM <= size * DEN) & (hi[alive] * DEN >= size * NUM)]
+            alive = alive[(bound * (num + den) >= num * (size + lo[alive])) & (lo[alive] * num <= size * den) & (hi[alive] * den >= size * num)]
             below = len(self.points) if depth == 0 else len(self.levels[depth - 1][1])
             alive = (alive[:, None] * LEAF + np.arange(LEAF)[None, :]).ravel()
             alive = alive[alive < below]
         at = self.order[alive]
-        return at[np.minimum(self.points[at], q).sum(axis=1) * (NUM + DEN) >= NUM * (size + self.sizes[at])]
+        return at[np.minimum(self.points[at], q).sum(axis=1) * (num + den) >= num * (size + self.sizes[at])]
 
 
-def join_sets(sets: list[np.ndarray], block: np.ndarray, other: int | None) -> list[tuple[int, int]]:
+def join_sets(sets: list[np.ndarray], block: np.ndarray, other: int | None, num: int = NUM, den: int = DEN) -> list[tuple[int, int]]:
     """Links between sets that make the same connected classes as all of their links: pairs already connected need no
     test. ``block`` names each set's block; with ``other`` only pairs across blocks are tested, else all.
 
@@ -150,7 +150,7 @@ def join_sets(sets: list[np.ndarray], block: np.ndarray, other: int | None) -> l
     mark = np.zeros(len(vocab), dtype=bool)
     links = []
     for i in range(n):
-        near = tree.reach(points[i], int(sizes[i]))
+        near = tree.reach(points[i], int(sizes[i]), num, den)
         near = near[(near > i) & (root[near] != root[i])]
         if other is not None:
             near = near[block[near] != block[i]]
@@ -162,7 +162,7 @@ def join_sets(sets: list[np.ndarray], block: np.ndarray, other: int | None) -> l
         pick = np.repeat(start[near] - np.concatenate([[0], np.cumsum(lens)[:-1]]), lens) + np.arange(lens.sum())
         inter = np.add.reduceat(mark[ids[pick]].astype(np.int64), np.concatenate([[0], np.cumsum(lens)[:-1]]))
         mark[ids[start[i]:start[i + 1]]] = False
-        for j in near[inter * DEN >= NUM * (sizes[i] + lens - inter)]:
+        for j in near[inter * den >= num * (sizes[i] + lens - inter)]:
             if root[j] != root[i]:
                 links.append((i, int(j)))
                 root[root == root[j]] = root[i]
@@ -172,20 +172,23 @@ def join_sets(sets: list[np.ndarray], block: np.ndarray, other: int | None) -> l
 _LINKS = StructType([StructField("u", BinaryType()), StructField("v", BinaryType())])
 
 
-def _join_cell(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    a, b = key[1].as_py(), key[2].as_py()
-    fp = table.column("_fp").to_pylist()
-    sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("_set").to_pylist()]
-    block = table.column("_block").to_numpy()
-    links = join_sets(sets, block, b if a != b else None)
-    return pa.table({"u": pa.array([fp[i] for i, _ in links], pa.binary()), "v": pa.array([fp[j] for _, j in links], pa.binary())})
+def _join_cell(num: int, den: int):
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        a, b = key[1].as_py(), key[2].as_py()
+        fp = table.column("_fp").to_pylist()
+        sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("_set").to_pylist()]
+        block = table.column("_block").to_numpy()
+        links = join_sets(sets, block, b if a != b else None, num, den)
+        return pa.table({"u": pa.array([fp[i] for i, _ in links], pa.binary()), "v": pa.array([fp[j] for _, j in links], pa.binary())})
+    return run
 
 
-def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = NGRAM, num: int = NUM, den: int = DEN) -> DataFrame:
     """(doc_id, n_shingles, component_id, set_fp, class_fp), a row a document: the size of its set, the smallest doc_id
     reachable over links, and fingerprints of its set and of its class (null for an empty set).
 
-    A document's set holds the hashes of its distinct word shingles (64 bits). Null, empty and blank texts have an
+    A document's set holds the hashes of its distinct shingles of ``words`` words (64 bits); sets link from a Jaccard
+    similarity of ``num`` / ``den`` on. Null, empty and blank texts have an
     empty set and are linked with nothing, so component_id is their own id. Rows with equal sets are one class without
     any comparison. A null id is never the smallest; a class of null ids only has null. Rows that share an id but not
     the text are separate nodes. Other columns are not looked at. Empty input: empty result.
@@ -199,7 +202,7 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     4. The connected classes of the found links are the result."""
     d = F.col(f"`{doc_id}`")
     narrow = docs.select(d.alias("_id"), F.col(f"`{text}`").alias("_text"))
-    sig = stored(without(append(narrow, _SIG, _signatures("_text")), ["_text"]), "ngram-signatures")
+    sig = stored(without(append(narrow, _SIG, _signatures("_text", words, num, den)), ["_text"]), "ngram-signatures")
     reps = stored(sig.where("n_shingles > 0").groupBy("_fp").agg(F.min("_id").alias("_min"), F.max("n_shingles").alias("_n"), F.first("_keys").alias("_keys")), "ngram-sets")
     pairs = reps.select("_fp", F.explode("_keys").alias("_key"))
     hub = pairs.groupBy("_key").agg(F.min("_fp").alias("u"), F.max("_fp").alias("_last")).where("u <> _last").drop("_last")
@@ -216,7 +219,7 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     def sets(batch: pa.RecordBatch):
         fp, hs = [], []
         for b in batch_bytes(batch, "_text"):
-            h = shingles(b)
+            h = shingles(b, words)
             fp.append(fingerprint(h) if len(h) else None), hs.append(h.tobytes())
         return [pa.array(fp, pa.binary()), pa.array(hs, pa.binary())]
 
@@ -226,7 +229,7 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     cells = (members.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
              .select("root", F.least("_block", "_o").alias("_a"), F.greatest("_block", "_o").alias("_b"), "_fp", "_set", "_block"))
     cells = cells.dropDuplicates(["root", "_a", "_b", "_fp"])
-    links = cells.groupBy("root", "_a", "_b").applyInArrow(_join_cell, _LINKS)
+    links = cells.groupBy("root", "_a", "_b").applyInArrow(_join_cell(num, den), _LINKS)
     linked = components(links, "ngram-links")
     lowest = linked.join(reps.select(F.col("_fp").alias("node"), "_min"), "node").groupBy("root").agg(F.min("_min").alias("_low"))
     linked = linked.join(lowest, "root").select(F.col("node").alias("_nfp"), "root", "_low")
@@ -237,18 +240,18 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
                       F.col("_fp").alias("set_fp"), "class_fp")
 
 
-def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = NGRAM, num: int = NUM, den: int = DEN) -> DataFrame:
     """The rows of ``docs`` without near copies: of each class the row with the smallest id (null last), of equal ids
     that with the smallest fingerprint, of rows equal in both any one. Documents with an empty set all stay. The
     columns are those of ``docs``."""
-    c = classes(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))).where("set_fp IS NOT NULL")
+    c = classes(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text")), words=words, num=num, den=den).where("set_fp IS NOT NULL")
     pick = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("i"), F.col("set_fp").alias("f"))).alias("p")
     rows = c.groupBy("set_fp", "doc_id", "class_fp").agg(F.count("*").alias("_kn"))
     best = rows.groupBy("class_fp").agg(pick).select("p.i", "p.f")
     keep = stored(best.join(rows, (best["f"] == rows["set_fp"]) & best["i"].eqNullSafe(rows["doc_id"])).select(F.col("i").alias("_ki"), F.col("f").alias("_kf"), "_kn"), "ngram-kept")
 
     def fps(batch: pa.RecordBatch):
-        hs = [shingles(b) for b in batch_bytes(batch, text)]
+        hs = [shingles(b, words) for b in batch_bytes(batch, text)]
         return [pa.array([fingerprint(h) if len(h) else None for h in hs], pa.binary())]
 
     marked = append(docs, [StructField("_fp", BinaryType())], fps)

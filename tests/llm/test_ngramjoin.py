@@ -126,3 +126,36 @@ def test_linked_sets_of_many_elements_share_a_key():
                 assert len(np.intersect1d(N.keys(a), N.keys(b))), (n, share)
                 mixed += 1
     assert mixed > 100
+
+
+def test_five_words_and_four_fifths_as_in_the_pipeline(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(8)
+    docs = []
+    for _ in range(25):
+        base = [rnd.choice("abcdefghij") + str(rnd.randrange(200)) for _ in range(rnd.choice([3, 8, 30, 60, 100, 300]))]
+        for _ in range(rnd.choice([1, 3, 6])):
+            w = list(base)
+            for _ in range(rnd.randrange(0, 5)):
+                w[rnd.randrange(len(w))] = "x" + str(rnd.randrange(9))
+            docs.append((len(docs) + 1, " ".join(w)))
+    pair = [f"w{i}" for i in range(100)]                       # 86 / 106 on five words, 92 / 104 on triples
+    docs += [(900, " ".join(pair)), (901, " ".join("y" if i in (30, 70) else x for i, x in enumerate(pair)))]
+
+    def grams5(t):
+        w = t.split()
+        m = min(5, len(w))
+        return frozenset(tuple(w[i:i + m]) for i in range(len(w) - m + 1))
+
+    sets, root = [grams5(t) for _, t in docs], list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                old = root[j]
+                root = [root[i] if x == old else x for x in root]
+    want = sorted((d, min(e for (e, _), y in zip(docs, root) if y == x)) for (d, _), x in zip(docs, root))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted((r["doc_id"], r["component_id"]) for r in N.classes(df, words=5, num=80, den=100).collect()) == want
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()) == sorted({c for _, c in want})
+    assert (901, 900) in want and (901, 901) in [(r["doc_id"], r["component_id"]) for r in N.classes(df).collect()]
