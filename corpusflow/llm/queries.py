@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusflow.llm import decontaminate, lmscore, mixing, ngramjoin, pii, substrings, tokencount, topk, toxicity, urlfilter
+from corpusflow.llm import decontaminate, lmscore, merkle, mixing, ngramjoin, pii, substrings, tokencount, topk, toxicity, urlfilter
 from corpusflow.llm.common import fold, load
 
 QUERIES, SQL = {}, {}
@@ -134,3 +134,59 @@ SELECT doc_id, size, source_size, target,
 def op10_lm_scoring(spark: SparkSession, base: str) -> DataFrame:
     docs = load(spark, base, "documents").select("doc_id", "text")
     return lmscore.score(docs, fold(F.col("doc_id")) == 1)
+
+
+def even_crc(ident):
+    return F.crc32(ident.cast("string").cast("binary")) % 2 == 0
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, base: str) -> DataFrame:
+    docs = load(spark, base, "documents")
+    tampered = F.when(even_crc(F.col("doc_id")), F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    proofs = merkle.verify(merkle.manifest(docs, {"text": tampered}))
+    proof = F.sha2(F.array_join(merkle.siblings(F.col("path")), "").cast("binary"), 256)
+    return proofs.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", "verified")
+
+
+def crc32_sql(number: str) -> str:
+    """Unsigned CRC-32 of a decimal number: eight steps of its rule per digit."""
+    step = "list_reduce(range(8), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(c, b))"
+    digits = f"list_transform(string_split({number}::VARCHAR, ''), lambda d: ascii(d)::BIGINT)"
+    return f"xor(4294967295, list_reduce({digits}, lambda c, b: {step}, 4294967295::BIGINT))"
+
+
+SQL["op11_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, *, CASE WHEN {crc32_sql('doc_id')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS tampered FROM documents),
+e AS (SELECT r, doc_id, source, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+             || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+             coalesce(strlen(text) || ':' || text, '-') AS body, coalesce(strlen(tampered) || ':' || tampered, '-') AS other FROM d),
+lf AS (SELECT r, doc_id, sha256(head || body) AS leaf, sha256(head || other) AS claim, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+              row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, sha256(head || body)) - 1 AS idx FROM e),
+up(tree, lvl, idx, h, n) AS (
+  SELECT tree, 0, idx, leaf, count(*) OVER (PARTITION BY tree) FROM lf
+  UNION ALL
+  SELECT tree, lvl + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM up WHERE n > 1 GROUP BY tree, lvl, idx // 3, n),
+sub AS (SELECT tree, lvl, h FROM up WHERE n = 1),
+top(lvl, idx, h, n) AS (
+  SELECT 0, tree, h, count(*) OVER () FROM sub
+  UNION ALL
+  SELECT lvl + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)), (n + 2) // 3 FROM top WHERE n > 1 GROUP BY lvl, idx // 3, n),
+runs AS (SELECT tree, lvl, idx // 3 AS up, list(h ORDER BY idx) AS hs FROM up WHERE n > 1 GROUP BY ALL),
+truns AS (SELECT lvl, idx // 3 AS up, list(h ORDER BY idx) AS hs FROM top WHERE n > 1 GROUP BY ALL),
+fold(r, tree, lvl, idx, proof, acc) AS (
+  SELECT r, tree, 0::BIGINT, idx, '', claim FROM lf
+  UNION ALL
+  SELECT f.r, f.tree, f.lvl + 1, f.idx // 3, f.proof || array_to_string(list_concat(g.hs[:f.idx % 3], g.hs[f.idx % 3 + 2:]), ''),
+         sha256(array_to_string(g.hs[:f.idx % 3], '') || f.acc || array_to_string(g.hs[f.idx % 3 + 2:], ''))
+  FROM fold f JOIN runs g ON g.tree = f.tree AND g.lvl = f.lvl AND g.up = f.idx // 3),
+low AS (SELECT r, tree, proof, acc FROM fold QUALIFY row_number() OVER (PARTITION BY r ORDER BY lvl DESC) = 1),
+tfold(r, lvl, idx, proof, acc) AS (
+  SELECT r, 0::BIGINT, tree, proof, acc FROM low
+  UNION ALL
+  SELECT f.r, f.lvl + 1, f.idx // 3, f.proof || array_to_string(list_concat(g.hs[:f.idx % 3], g.hs[f.idx % 3 + 2:]), ''),
+         sha256(array_to_string(g.hs[:f.idx % 3], '') || f.acc || array_to_string(g.hs[f.idx % 3 + 2:], ''))
+  FROM tfold f JOIN truns g ON g.lvl = f.lvl AND g.up = f.idx // 3),
+done AS (SELECT r, proof, acc FROM tfold QUALIFY row_number() OVER (PARTITION BY r ORDER BY lvl DESC) = 1)
+SELECT doc_id, leaf, sub.h AS subroot, top.h AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = top.h AS verified
+FROM lf JOIN done USING (r) JOIN sub ON sub.tree = lf.tree, top WHERE top.n = 1"""
