@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from corpusflow.llm import decontaminate, lmscore, merkle, mixing, ngramjoin, pii, substrings, tokencount, topk, toxicity, urlfilter
-from corpusflow.llm.common import fold, load
+from corpusflow.llm import convtrie, decontaminate, lmscore, merkle, mixing, ngramjoin, packing, pii, substrings, tokencount, topk, toxicity, urlfilter
+from corpusflow.llm.common import fold, load, stored
 
 QUERIES, SQL = {}, {}
 
@@ -190,3 +190,50 @@ tfold(r, lvl, idx, proof, acc) AS (
 done AS (SELECT r, proof, acc FROM tfold QUALIFY row_number() OVER (PARTITION BY r ORDER BY lvl DESC) = 1)
 SELECT doc_id, leaf, sub.h AS subroot, top.h AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = top.h AS verified
 FROM lf JOIN done USING (r) JOIN sub ON sub.tree = lf.tree, top WHERE top.n = 1"""
+
+
+def rebuilt(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns and conversations of the trie query: the first turns of each conversation are those of the one its block of
+    five ids starts with."""
+    turns, pieces = convtrie.ordered(conversations)
+    sizes = pieces.groupBy("conv_id").agg(F.max("n").alias("n"))
+    keep = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    convs = sizes.select("conv_id", "n", keep.alias("keep"), (F.col("conv_id") - F.col("conv_id") % 5).alias("base"))
+    convs = convs.join(sizes.select(F.col("conv_id").alias("base"), F.col("n").alias("_n")), "base", "left")
+    lead = F.least("keep", F.coalesce("_n", F.lit(0)))
+    convs = stored(convs.select("conv_id", "base", "keep", lead.alias("lead"), (lead + F.greatest(F.col("n") - F.col("keep"), F.lit(0))).alias("length")), "trie-convs")
+    turns = stored(turns.join(pieces.join(convs, "conv_id").drop("n"), ["conv_id", "piece"]), "trie-own")
+    heads = turns.where("conv_id = base AND pos < 8").select("base", "pos", "digest", "bytes")
+    lent = convs.join(heads, "base").where("pos < keep").select("conv_id", "pos", "digest", "bytes", "length")
+    own = turns.where("pos >= keep").select("conv_id", (F.col("pos") - F.col("keep") + F.col("lead")).alias("pos"), "digest", "bytes", "length")
+    return lent.unionByName(own), convs.select("conv_id", "length")
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, base: str) -> DataFrame:
+    return convtrie.prefix_trie(*rebuilt(load(spark, base, "conversations")))
+
+
+SQL["op12_conversation_trie"] = f"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS pos,
+             sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS h, strlen(coalesce(text, ''))::BIGINT AS b FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, count(*) AS n, {crc32_sql('conv_id')} % 9 AS keep, conv_id - conv_id % 5 AS base FROM t GROUP BY conv_id),
+r AS (SELECT c.conv_id, t.pos, h, b FROM c JOIN t ON t.conv_id = c.base AND t.pos < c.keep
+      UNION ALL
+      SELECT c.conv_id, 100000000 + t.pos, h, b FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos >= c.keep),
+l AS (SELECT conv_id, list(h ORDER BY pos) FILTER (h IS NOT NULL) AS hs, list(b ORDER BY pos) FILTER (h IS NOT NULL) AS bs FROM (SELECT conv_id FROM c) LEFT JOIN r USING (conv_id) GROUP BY conv_id),
+k AS (SELECT conv_id, coalesce(hs, []) AS hs, coalesce(bs, []) AS bs, unnest(range(coalesce(len(hs), 0) + 1)) AS depth FROM l),
+p AS (SELECT conv_id, depth, len(hs) AS length, CASE WHEN depth = 0 THEN 0 ELSE bs[depth] END AS b, sha256(array_to_string(hs[:depth], ',')) AS node,
+             CASE WHEN depth > 0 THEN sha256(array_to_string(hs[:depth - 1], ',')) END AS parent FROM k),
+n AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, min(parent) AS parent, (count(*) - 1) * max(b) AS saved, max(length) = depth AS leaf,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (length = depth), '')) AS ends_sha256 FROM p GROUP BY node, depth),
+a AS (SELECT x.node, n.leaf, n.saved FROM n JOIN p x ON x.conv_id = n.conv_id AND x.depth <= n.depth),
+s AS (SELECT node, sum(leaf::INTEGER)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM a GROUP BY node),
+kids AS (SELECT parent, count(*) AS n_children FROM n GROUP BY parent)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+FROM n JOIN s USING (node) LEFT JOIN n u ON u.node = n.parent LEFT JOIN kids ON kids.parent = n.node"""
+
+
+@query
+def op13_best_fit_packing(spark: SparkSession, base: str) -> DataFrame:
+    return packing.pack(packing.cut(load(spark, base, "documents"), vocabulary("byte_bpe_50k.json")))
