@@ -60,16 +60,24 @@ def pair_results(steps: DataFrame) -> DataFrame:
     return calls.join(results, ["session_id", "line_no", "call_no"], "left")
 
 
-def attach_tasks(calls: DataFrame, steps: DataFrame) -> DataFrame:
-    """Results of background commands replaced by what their finish message reports: the last finish
-    message of the task named in the result, if it comes after the call."""
+def finish_messages(steps: DataFrame) -> DataFrame:
+    """Finish messages of background tasks: ``session_id, done_line, task_id, report``."""
     done = steps.withColumn("kind", step_kind()).where("kind = 'system'").select(
         "session_id", F.col("line_no").alias("done_line"), match_group("content", TASK_ID).alias("task_id"),
         match_group("content", r"finished with result:([\s\S]*)").alias("report"))
-    done = done.where("task_id IS NOT NULL AND report IS NOT NULL").groupBy("session_id", "task_id").agg(
-        F.max(F.struct("done_line", "report")).alias("d"))
-    task = F.when(F.col("name") == "run_command", match_group("result", TASK_ID))
-    joined = calls.withColumn("task_id", task).join(done, ["session_id", "task_id"], "left")
+    return done.where("task_id IS NOT NULL AND report IS NOT NULL")
+
+
+def waiting_task() -> Column:
+    """Background task that a call's result names."""
+    return F.when(F.col("name") == "run_command", match_group("result", TASK_ID))
+
+
+def attach_tasks(calls: DataFrame, steps: DataFrame) -> DataFrame:
+    """Results of background commands replaced by what their finish message reports: the last finish
+    message of the task named in the result, if it comes after the call."""
+    done = finish_messages(steps).groupBy("session_id", "task_id").agg(F.max(F.struct("done_line", "report")).alias("d"))
+    joined = calls.withColumn("task_id", waiting_task()).join(done, ["session_id", "task_id"], "left")
     finished = F.concat(F.lit("[Background Task "), "task_id", F.lit(" finished]\n"), trim_ws("d.report"))
     result = F.when(F.col("d.done_line") > F.col("line_no"), finished).otherwise(F.col("result"))
     return joined.select(*[c for c in calls.columns if c != "result"], "task_id", result.alias("result"))

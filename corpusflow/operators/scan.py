@@ -60,6 +60,28 @@ def prefix_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column
     return scanned.where("_row = 1").drop("_row")
 
 
+def max_plus_scan(df: DataFrame, keys: list[str], order: list[str], bucket: Column, value: Column, step: Column, name: str) -> DataFrame:
+    """Add ``name``: the running value x_i = max(value_i, x_(i-1) + step) in key groups along ``order``, ``step`` the same
+    within a key, both whole numbers. Rows without a key or bucket are left out.
+
+    Unrolled, x_i = i * step + max over j up to i of (value_j - j * step), i the place in the group. A piece of (key, bucket)
+    counts its places from 1 and keeps the running maximum; the pieces before it add the places they hold and their
+    maximum, both from one row per piece. So rows are shuffled once, and the join meets its piece where it already is."""
+    piece = [*keys, "_bucket"]
+    base = df.withColumn("_bucket", bucket).withColumn("_v", value.cast("long")).withColumn("_step", step.cast("long"))
+    inside = Window.partitionBy(*piece).orderBy(*order)
+    local = base.withColumn("_i", F.row_number().over(inside).cast("long"))
+    own = F.col("_v") - F.col("_i") * F.col("_step")
+    local = local.withColumn("_m", F.max(own).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = local.groupBy(*piece).agg(F.count("*").alias("_n"), F.max(own).alias("_a"), F.max("_step").alias("_s"))
+    totals = totals.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    totals = totals.withColumn("_c", F.max(F.col("_a") - F.col("_off") * F.col("_s")).over(before)).select(*piece, "_off", "_c")
+    best = F.greatest(F.col("_m") - F.col("_off") * F.col("_step"), F.col("_c"))
+    out = local.join(totals, piece).withColumn(name, best + (F.col("_off") + F.col("_i")) * F.col("_step"))
+    return out.select(*[c for c in df.columns if c != name], name)
+
+
 def ordinal_bucket(c: str, size: int = 4096) -> Column:
     return F.floor(F.col(c) / size)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..functions.jsonx import is_json_object, json_field
-from .scan import prefix_scan, time_bucket
+from .scan import max_plus_scan, prefix_scan, time_bucket
 
 
 def daily_counts(docs: DataFrame, start: str, end: str, ts: str, site: str = "site") -> DataFrame:
@@ -120,6 +120,17 @@ def rate_violations(fetches: DataFrame, key: str, ts: str, tie: str, slack: Colu
     return _gaps(fetches, key, ts, tie, unit).where(F.col("gap_s") < slack)
 
 
+def rate_schedule(requests: DataFrame, key: str, ts: str, tie: str, slack: Column, unit: str = "hour") -> DataFrame:
+    """Earliest time at which each request of a site may run, ``allowed_at`` with ``wait_s`` after the request, when they run in
+    the order of their requests and at least ``slack`` seconds (one value per site) apart; none or a negative slack lets
+    all run at once. Requests without site or time are left out."""
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    gap = F.greatest(F.coalesce(slack, F.lit(0)), F.lit(0)) * 1000000
+    out = max_plus_scan(requests, [key], [ts, tie], time_bucket(ts, unit), t, gap, "_allowed")
+    return (out.withColumn("allowed_at", F.timestamp_micros("_allowed"))
+            .withColumn("wait_s", (F.col("_allowed") - t) / 1000000.0).drop("_allowed"))
+
+
 def heartbeat_gaps(beats: DataFrame, worker: str, ts: str, tie: str, minutes: float = 3, unit: str = "day") -> DataFrame:
     """Silences of a worker longer than the limit."""
     return _gaps(beats, worker, ts, tie, unit).where(F.col("gap_s") > minutes * 60)

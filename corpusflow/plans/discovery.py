@@ -120,19 +120,27 @@ def select_work(t):
     return runs[0].union(runs[1]).union(runs[2]).select("mode", "id", "url")
 
 
-@query("upsert_merge", """
+UPSERT_SQL = """
 WITH u AS (SELECT o_custkey AS c_custkey, 'seen ' || count(*) AS c_name, round(sum(o_totalprice), 2) AS c_acctbal FROM orders WHERE o_orderstatus = 'P' GROUP BY 1
   UNION ALL SELECT s_suppkey + 10000000, s_name, s_acctbal FROM supplier)
 SELECT coalesce(c.c_custkey, u.c_custkey) AS c_custkey, coalesce(u.c_name, c.c_name) AS c_name,
        CASE WHEN c.c_custkey IS NOT NULL THEN c.c_acctbal ELSE u.c_acctbal END AS c_acctbal, c.c_mktsegment
-FROM customer c FULL JOIN u ON c.c_custkey = u.c_custkey""")
-def upsert_merge(t):
-    """Names overwritten, balances only set on insert, segments untouched."""
+FROM customer c FULL JOIN u ON c.c_custkey = u.c_custkey"""
+
+
+def upsert_rows(t):
+    """Customers as a keyed table and updates to it."""
     seen = (t.orders.where("o_orderstatus = 'P'").groupBy(F.col("o_custkey").alias("c_custkey"))
             .agg(F.concat(F.lit("seen "), F.count("*")).alias("c_name"), F.round(F.sum("o_totalprice"), 2).alias("c_acctbal")))
     extra = t.supplier.select((F.col("s_suppkey") + 10000000).alias("c_custkey"), F.col("s_name").alias("c_name"), F.col("s_acctbal").alias("c_acctbal"))
-    target = t.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
-    return UP.upsert(target, seen.unionByName(extra), ["c_custkey"], ["c_name"], ["c_acctbal"])
+    return t.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment"), seen.unionByName(extra)
+
+
+@query("upsert_merge", UPSERT_SQL)
+def upsert_merge(t):
+    """Names overwritten, balances only set on insert, segments untouched."""
+    target, updates = upsert_rows(t)
+    return UP.upsert(target, updates, ["c_custkey"], ["c_name"], ["c_acctbal"])
 
 
 @query("frontier_upsert", """

@@ -367,8 +367,11 @@ def tool_pairing(t):
     return CV.pair_results(cut_lineage(steps(t), "steps")).drop("args")
 
 
-@query("task_attach", f"""WITH {_STEPS}, dn AS (SELECT session_id, max(line_no) AS d FROM st WHERE kind = 'system' GROUP BY 1)
-SELECT pr.session_id, line_no, call_no, CASE WHEN name = 'run_command' AND contains(result, 'task-') AND d > line_no THEN '[Background Task task-' || pr.session_id || ' finished]' || chr(10) || 'r' || d ELSE result END AS result FROM pr LEFT JOIN dn USING (session_id)""")
+TASK_ATTACH_SQL = f"""WITH {_STEPS}, dn AS (SELECT session_id, max(line_no) AS d FROM st WHERE kind = 'system' GROUP BY 1)
+SELECT pr.session_id, line_no, call_no, CASE WHEN name = 'run_command' AND contains(result, 'task-') AND d > line_no THEN '[Background Task task-' || pr.session_id || ' finished]' || chr(10) || 'r' || d ELSE result END AS result FROM pr LEFT JOIN dn USING (session_id)"""
+
+
+@query("task_attach", TASK_ATTACH_SQL)
 def task_attach(t):
     st = cut_lineage(steps(t), "steps")
     return CV.attach_tasks(CV.pair_results(st), st).select("session_id", "line_no", "call_no", "result")

@@ -5,12 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import convo as CO
 from ..operators import search as SE
 from ..operators.scan import ordinal_bucket
 from ..sources import readers as RD
-from ..session import work_path
+from ..session import cut_lineage, work_path
 from ..sources import sinks as SK
+from ..streaming import stateful as SF
 from ..streaming import streams as ST
+from . import domains as DM
 from . import stats as SQ
 from .registry import query
 from .texts import NL, S, C
@@ -168,13 +171,74 @@ def retry_state(t):
     return ST.retry_states(attempts(t.events), ordinal_bucket("ord")).select("ord", "id", "attempt", "outcome")
 
 
+def arriving(t, rows, order, closing=None, parts=3):
+    """A table as a stream of several micro-batches along ``order``, one file each; ``closing`` is a last row of its own."""
+    path = work_path(t.spark, "arriving")
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    step = (high - low) / parts if high is not None else None
+    for i in range(parts):
+        part = rows if step is None else rows.where((F.col(order) >= F.lit(low + i * step)) & ((F.col(order) < F.lit(low + (i + 1) * step)) if i < parts - 1 else F.lit(True)))
+        part.coalesce(1).write.parquet(f"{path}/{i}")
+        if step is None:
+            break
+    if closing is not None:
+        closing.select([F.col(c.name).cast(c.dataType).alias(c.name) for c in rows.schema]).coalesce(1).write.parquet(f"{path}/{parts}")
+    return ST.file_stream(t.spark, path, rows.schema, files_per_batch=1)
+
+
 @query("stream_retry", f"WITH {_RETRY} SELECT * FROM states")
 def stream_retry(t):
     path = work_path(t.spark, "retry")
-    ST.retry_stream(attempts(_events(t)), path, ordinal_bucket("ord")).awaitTermination()
+    SF.retry_stream(arriving(t, attempts(t.events), "ord"), path).awaitTermination()
     return ST.read_result(t.spark, path).select("ord", "id", "attempt", "outcome")
 
 
+@query("stream_dead_letters", f"WITH {_RETRY} SELECT ord, id, outcome FROM states WHERE outcome LIKE 'failed%'")
+def stream_dead_letters(t):
+    """The second output of the retry stream."""
+    path = work_path(t.spark, "retry")
+    SF.retry_stream(arriving(t, attempts(t.events), "ord"), path).awaitTermination()
+    return SK.read_log(t.spark, f"{path}/dead").select("ord", "id", "outcome")
+
+
+_SILENT = """
+WITH b AS (SELECT user_id AS worker, epoch_us(ts) AS us, lead(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS nx FROM events)
+SELECT worker, us AS silent_since_us FROM b, (SELECT max(us) // 1000 * 1000 - 60000000 AS wm FROM b)
+WHERE us + 180000000 <= wm AND (nx IS NULL OR nx - us > 180000000)"""
+
+
+def _beats(t):
+    return t.events.select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+
+
+@query("silent_workers", _SILENT)
+def silent_workers(t):
+    """Events are beats of their user; also a worker that never comes back is found."""
+    return SF.silences(_beats(t), "user_id", "ts")
+
+
+@query("stream_heartbeat", _SILENT)
+def stream_heartbeat(t):
+    """The same alarms raised by timers, the beats arriving in several micro-batches."""
+    beats = arriving(t, _beats(t).withColumn("us", F.unix_micros("ts")), "us")
+    return _run(t, "heartbeat", SF.silent_workers(beats, "user_id", "ts"))
+
+
+@query("stream_task_attach", DM.TASK_ATTACH_SQL)
+def stream_task_attach(t):
+    """Calls and finish messages as two streams, a line a second; a closing row on both sides ends the wait."""
+    st = cut_lineage(DM.steps(t), "steps")
+    at = lambda c: F.timestamp_seconds(F.col(c))
+    calls = CO.pair_results(st).drop("args").withColumn("task_id", CO.waiting_task()).withColumn("ts", at("line_no"))
+    done = CO.finish_messages(st).withColumn("ts", at("done_line"))
+    # No nulls in the closing row, and no filter on it in the stream: either would be applied before the watermark sees it.
+    end = t.spark.range(1).select(*[F.lit(-1).alias(c) for c in ("session_id", "line_no", "call_no", "done_line")], *[F.lit("").alias(c) for c in ("name", "result", "task_id", "report")],
+                                  F.lit("2200-01-01").cast("timestamp").alias("ts"))
+    calls, done = arriving(t, cut_lineage(calls, "calls"), "line_no", end), arriving(t, cut_lineage(done, "done"), "done_line", end)
+    out = _run(t, "attach", SF.attach_tasks_stream(calls, done, "60 days")).where("session_id >= 0")
+    return SF.final_results(out).select("session_id", "line_no", "call_no", "result")
+
+
 @query("stream_dlq", f"WITH {SQ._ITEMS} SELECT CASE WHEN queue IN ('error', 'view') THEN 'Unknown' ELSE 's' || user_id END AS site, count(*) AS n FROM items GROUP BY 1")
 def stream_dlq(t):
     class Streamed:
@@ -204,13 +268,21 @@ def stream_logs(t):
     return out.groupBy("level").agg(F.count("*").alias("n"))
 
 
-@query("index_update", """
-SELECT term, count(*) AS n FROM (SELECT CASE WHEN lang = 'fr' THEN 'renewed' ELSE lang END AS term FROM documents UNION ALL SELECT source FROM documents) GROUP BY 1""")
-def index_update(t):
-    """An index of languages and sources; the French documents come again with another word."""
+INDEX_SQL = """
+SELECT term, count(*) AS n FROM (SELECT CASE WHEN lang = 'fr' THEN 'renewed' ELSE lang END AS term FROM documents UNION ALL SELECT source FROM documents) GROUP BY 1"""
+
+
+def changed_documents(t):
+    """Documents of languages and sources, and the French ones again with another word."""
     def docs(rows, word):
         return rows.select(C("doc_id").alias("id"), F.lit("d").alias("site"), C("doc_id").alias("doc_id"), S(word, " ", F.col("source")).alias("title"))
-    old, new = docs(t.documents, F.col("lang")), docs(t.documents.where("lang = 'fr'"), F.lit("renewed"))
+    return docs(t.documents, F.col("lang")), docs(t.documents.where("lang = 'fr'"), F.lit("renewed"))
+
+
+@query("index_update", INDEX_SQL)
+def index_update(t):
+    """An index of languages and sources; the French documents come again with another word."""
+    old, new = changed_documents(t)
     path = work_path(t.spark, "index")
     SK.write_index(old, SE.postings(old, fields=["title"]), path)
     target = SK.update_index(t.spark, path, new, SE.postings(new, fields=["title"]))

@@ -77,18 +77,27 @@ def stats_summary(t):
     return each[0].union(each[1]).union(each[2])
 
 
-@query("site_funnel", """
+FUNNEL_SQL = """
 WITH l AS (SELECT source AS site, 'urls' AS layer FROM documents
  UNION ALL SELECT d.source, 'html' FROM documents d JOIN labels USING (doc_id)
  UNION ALL SELECT d.source, 'silver' FROM documents d JOIN labels l USING (doc_id) WHERE l.quality = 1
  UNION ALL SELECT d.source, 'indexed' FROM documents d JOIN benchmark b ON d.doc_id = b.item_id)
 SELECT site, count(*) FILTER (layer = 'urls') AS urls, count(*) FILTER (layer = 'html') AS html,
-       count(*) FILTER (layer = 'silver') AS silver, count(*) FILTER (layer = 'indexed') AS indexed FROM l GROUP BY site""")
-def site_funnel(t):
+       count(*) FILTER (layer = 'silver') AS silver, count(*) FILTER (layer = 'indexed') AS indexed FROM l GROUP BY site"""
+
+
+def funnel_layers(t, *columns):
+    """Documents, those with a label, those of good quality and those of the benchmark as layers of a site."""
     d = t.documents.select("doc_id", F.col("source").alias("site"))
     labelled = d.join(t.labels, "doc_id")
-    return ST.site_funnel({"urls": d, "html": labelled, "silver": labelled.where("quality = 1"),
-                           "indexed": d.join(t.benchmark.select(F.col("item_id").alias("doc_id")), "doc_id")})
+    layers = {"urls": d, "html": labelled, "silver": labelled.where("quality = 1"),
+              "indexed": d.join(t.benchmark.select(F.col("item_id").alias("doc_id")), "doc_id")}
+    return {k: v.select("site", *columns) for k, v in layers.items()}
+
+
+@query("site_funnel", FUNNEL_SQL)
+def site_funnel(t):
+    return ST.site_funnel(funnel_layers(t))
 
 
 def queue_items(t):
@@ -247,8 +256,11 @@ def capture_change(t):
     return ST.capture_changes(rows, "user_id", ["event_id"], "size", ordinal_bucket("event_id"))
 
 
-@query("ingest_counts", """
-SELECT count(*) AS original, (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)) AS new FROM orders""")
+INGEST_SQL = """
+SELECT count(*) AS original, (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)) AS new FROM orders"""
+
+
+@query("ingest_counts", INGEST_SQL)
 def ingest_counts(t):
     kept = t.orders.join(t.customer.where("c_acctbal < 0").select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_anti")
     return ST.ingest_counts(t.orders, kept)

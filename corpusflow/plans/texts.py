@@ -115,7 +115,10 @@ def places(t):
     return j.select("c_custkey", F.concat(city, F.when(F.col("c_acctbal") < 0, S(" ", F.col("n_name"))).otherwise("")).alias("loc"))
 
 
-@query("geo_standardize", f"WITH {_LOC} SELECT c_custkey, {_STD} AS country FROM l")
+GEO_SQL = f"WITH {_LOC} SELECT c_custkey, {_STD} AS country FROM l"
+
+
+@query("geo_standardize", GEO_SQL)
 def geo_standardize(t):
     return places(t).select("c_custkey", G.standardize_location("loc").alias("country"))
 

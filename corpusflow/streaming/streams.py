@@ -91,23 +91,18 @@ def current_postings(spark: SparkSession, path: str) -> DataFrame:
 
 # --- retries -----------------------------------------------------------------------------------------------
 
-def retry_states(attempts: DataFrame, bucket: Column, carry: DataFrame | None = None) -> DataFrame:
+def retry_states(attempts: DataFrame, bucket: Column) -> DataFrame:
     """Outcome of each attempt of a task (``site, id, ord, ok, error``): ``done``, ``retry`` while
     fewer than three attempts failed, else ``failed``; a permanent error fails at once. The attempt
-    counter starts anew after a success or a dead letter. ``carry(site, id, fails)`` holds the
-    counters of earlier batches. Works for a task with any number of attempts."""
+    counter starts anew after a success or a dead letter. Works for a task with any number of attempts;
+    the stream of it is ``stateful.retry_stream``."""
     rows = attempts.withColumn("permanent", ~F.col("ok") & F.contains(F.coalesce("error", F.lit("")), F.lit(PERMANENT)))
-    rows = rows.withColumn("_w", F.when(F.col("ok"), 0).otherwise(1)).withColumn("_old", F.lit(False))
-    rows = rows.withColumn("_b", bucket)
-    if carry is not None:
-        lead = carry.join(rows.groupBy("site", "id").agg(F.min("ord").alias("ord"), F.min("_b").alias("_b")), ["site", "id"])
-        lead = lead.withColumn("ord", F.col("ord") - 1).withColumn("_w", F.col("fails").cast("int")).withColumn("_old", F.lit(True))
-        rows = rows.unionByName(lead.drop("fails"), allowMissingColumns=True)
+    rows = rows.withColumn("_w", F.when(F.col("ok"), 0).otherwise(1)).withColumn("_b", bucket)
     keys = ["site", "id"]
     n = prefix_scan(rows, keys, ["ord"], F.col("_b"), {"_n": ("sum", F.col("_w"))})
     # Failures counted up to and with the last boundary before this row.
     edge = F.when(F.col("ok") | F.col("permanent"), F.col("_n"))
-    n = prefix_scan(n, keys, ["ord"], F.col("_b"), {"_e": ("last", edge)}, inclusive=False).where("NOT _old")
+    n = prefix_scan(n, keys, ["ord"], F.col("_b"), {"_e": ("last", edge)}, inclusive=False)
     run = F.col("_n") - F.coalesce("_e", F.lit(0))
     attempt = F.when(F.col("ok"), F.lit(0)).otherwise(F.pmod(run - 1, F.lit(MAX_ATTEMPTS)) + 1)
     out = n.withColumn("attempt", attempt.cast("int"))
@@ -116,26 +111,6 @@ def retry_states(attempts: DataFrame, bucket: Column, carry: DataFrame | None =
     return out.withColumn("outcome", outcome).select(*attempts.columns, "attempt", "outcome")
 
 
-def open_counters(states: DataFrame) -> DataFrame:
-    """Failure counter per task after its last attempt."""
-    last = states.groupBy("site", "id").agg(F.max(F.struct("ord", "attempt", "outcome")).alias("s"))
-    return last.select("site", "id", F.when(F.col("s.outcome") == "retry", F.col("s.attempt")).otherwise(0).alias("fails"))
-
-
-def retry_stream(attempts: DataFrame, path: str, bucket: Column) -> StreamingQuery:
-    """Attempt outcomes as a log; counters carry over between micro-batches through a log of their own."""
-    def body(df, i):
-        spark = df.sparkSession
-        carry = None
-        if i > 0:
-            # Only earlier batches count, so a replayed batch sees the same counters.
-            carry = current(read_log(spark, f"{path}/counters").where(F.col("batch_id") < i), ["site", "id"], []).drop("batch_id")
-        states = retry_states(df, bucket, carry)
-        append_batch(states, f"{path}/log", i)
-        append_batch(open_counters(spark.read.parquet(f"{path}/log/batch_id={i}")), f"{path}/counters", i)
-    return each_batch(attempts, f"{path}/_checkpoint", body)
-
-
 def dead_letters(states: DataFrame) -> DataFrame:
     return states.where(F.col("outcome").isin("failed", "failed_permanent"))
 

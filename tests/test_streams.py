@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from corpusflow.operators.scan import ordinal_bucket
 from corpusflow.sources import readers as RD
 from corpusflow.sources import sinks as SK
+from corpusflow.streaming import stateful as SF
 from corpusflow.streaming import streams as ST
 
 
@@ -56,7 +57,7 @@ def test_retry_stream_does_not_depend_on_batches(spark, tmp_path, cuts):
     a, b = cuts
     parts = [[r for r in rows if r[2] < a], [r for r in rows if a <= r[2] < b], [r for r in rows if r[2] >= b]]
     stream = feed(spark, str(tmp_path / "in"), [p for p in parts if p], ATTEMPTS)
-    ST.retry_stream(stream, str(tmp_path / "out"), ordinal_bucket("ord", 8)).awaitTermination()
+    SF.retry_stream(stream, str(tmp_path / "out")).awaitTermination()
     assert _states(ST.read_result(spark, str(tmp_path / "out"))) == _expected(rows)
 
 
