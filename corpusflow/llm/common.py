@@ -24,6 +24,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return cut_lineage(df, name)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete the files of a table that ``stored`` wrote, once nothing reads it any more."""
+    spark = table.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fold(doc_id: Column, buckets: int = 5) -> Column:
     """crc32 of the id as text, modulo ``buckets``; 0 for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % buckets, F.lit(0)).cast("int")
@@ -162,7 +170,10 @@ def components(edges: DataFrame, name: str = "cc") -> DataFrame:
 
     before = mark(cur)
     while before[0]:
-        cur = stored(star(stored(star(cur, True), name), False), name)
+        large = stored(star(cur, True), name)
+        small = stored(star(large, False), name)
+        discard(large), discard(cur)
+        cur = small
         after = mark(cur)
         if after == before:
             break

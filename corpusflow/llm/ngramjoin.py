@@ -13,8 +13,7 @@ NGRAM, NUM, DEN = 3, 90, 100      # words of a shingle; links from NUM * union <
 DIMS = 64                         # groups of a count vector
 LEAF = 32                         # points of a leaf of the tree
 BLOCK_SHINGLES = 1 << 20          # shingles of one block of a candidate class
-GROWTH = 1.5                      # size of a level over the one before
-SPARE = 3                         # groups beyond those that a partner can change
+BUCKETS, BUCKET_BLOCK = 1 << 20, 1 << 10      # counters of the frequency table, and those of one of its rows
 
 
 def shingles(text, n: int = NGRAM) -> np.ndarray:
@@ -35,42 +34,70 @@ def changed(size: int, num: int = NUM, den: int = DEN) -> int:
     return size * (den - num) // num
 
 
-def level_of(size: int) -> int:
-    return int(np.log(max(size, 1)) / np.log(GROWTH) + 1e-9)
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return (mix(h ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(BUCKETS)).astype(np.int64)
 
 
-def level_groups(level: int, num: int = NUM, den: int = DEN) -> tuple[int, int]:
-    """(groups, most that a linked pair of this level can differ in). A pair belongs to the level of its smaller set."""
-    top = int(np.ceil(GROWTH ** (level + 1)))
-    r = changed(top, num, den)
-    return r + 1 + SPARE, r
+def keys(h: np.ndarray, num: int = NUM, den: int = DEN, weight: np.ndarray | None = None) -> np.ndarray:
+    """Keys of a set, one of which every linked pair of sets shares.
 
-
-def keys(h: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
-    """Keys of a set, one of which every linked pair of different sets shares.
-
-    The elements are dealt into groups by hash. A linked pair differs in at most r elements, so in at most r groups: if
-    one side has more than r groups in use, one of these is the same in both, and the key is that group's content. Sets
-    with no more groups in use get one common key of their level besides, for pairs of two such sets. Small sets,
-    below nine elements at 90 / 100, link to equals only."""
-    n, out = len(h), []
-    if changed(n + 1, num, den) < 1:
+    A linked pair of sets has at least ceil(size * num / den) elements in common, whichever size is meant. So among the
+    first size - ceil(size * num / den) + 1 elements of each set, in an order that is the same for all sets, one is in both
+    (prefix filter). The order is by ``weight`` of the element's bucket, then by the element itself: any order is right,
+    and the one by rising frequency leaves what many texts share to the end, where it is no key of a text that has
+    enough of its own. The second part of a key is a size level (powers of two) that the pair's smaller set can have."""
+    n = len(h)
+    if not n:
         return np.zeros(0, dtype=np.int64)
-    low = -(-n * num // den)                        # the smallest partner
-    for level in range(level_of(max(low - 1, 1)), level_of(n + 1) + 1):
-        lo, hi = GROWTH ** level, GROWTH ** (level + 1)
-        if hi < low - 1 or lo > n + 1:
-            continue
-        groups, r = level_groups(level, num, den)
-        g = ((h >> np.uint64(11)) % np.uint64(groups)).astype(np.int64)
-        total = np.zeros(groups, dtype=np.uint64)
-        np.add.at(total, g, mix(h ^ np.uint64(0x5851F42D4C957F2D)))
-        used = np.flatnonzero(np.bincount(g, minlength=groups))
-        salt = mix(np.array([level * 1_000_003 + 17], dtype=np.uint64))[0]
-        out.append(mix(total[used] ^ salt ^ (used.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))))
-        if len(used) <= r:
-            out.append(mix(np.array([salt], dtype=np.uint64)))
-    return np.unique(np.concatenate(out)).view(np.int64) if out else np.zeros(0, dtype=np.int64)
+    common = -(-n * num // den)
+    first = h if weight is None else h[np.lexsort((h, weight[_bucket(h)]))]
+    first = mix(first[:n - common + 1])
+    levels = mix(np.arange(common.bit_length(), n.bit_length() + 1, dtype=np.uint64) + np.uint64(17))
+    return np.unique(mix(first[None, :] ^ levels[:, None])).view(np.int64)
+
+
+_COUNTS = "block int, at binary, n binary"
+
+
+def frequency_weights(docs: DataFrame, text: str, words: int) -> np.ndarray:
+    """How often the elements of each of ``BUCKETS`` hash buckets occur in the sets of all texts, as logarithms in steps of
+    an eighth of a doubling: one byte a bucket, whatever the size of the corpus. Tasks count in a table of their own and
+    pass on what isn't zero; the sums are made in two rounds, each table row as a stream."""
+    def count(batches):
+        total = np.zeros(BUCKETS, dtype=np.int64)
+        for batch in batches:
+            for b in batch_bytes(batch, text):
+                np.add.at(total, _bucket(shingles(b, words)), 1)
+        yield from rows(range(BUCKETS // BUCKET_BLOCK), total.reshape(-1, BUCKET_BLOCK))
+
+    def rows(blocks, tables):
+        out = []
+        for block, table in zip(blocks, tables):
+            at = np.flatnonzero(table)
+            if len(at):
+                out.append((block, at.astype("<u2").tobytes(), table[at].astype("<i8").tobytes()))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.binary(), pa.binary()))], names=["block", "at", "n"])
+
+    def add(batches):
+        block, table = None, None
+        for batch in batches:
+            for k, at, n in zip(*[c.to_pylist() for c in batch.columns]):
+                if k != block:
+                    if block is not None:
+                        yield from rows([block], [table])
+                    block, table = k, np.zeros(BUCKET_BLOCK, dtype=np.int64)
+                table[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<i8")
+        if block is not None:
+            yield from rows([block], [table])
+
+    parts = docs.mapInArrow(count, _COUNTS).withColumn("_salt", F.spark_partition_id() % 32)
+    parts = parts.repartition("block", "_salt").sortWithinPartitions("_salt", "block").select("block", "at", "n").mapInArrow(add, _COUNTS)
+    sums = parts.repartition("block").sortWithinPartitions("block").mapInArrow(add, _COUNTS)
+    total = np.zeros((BUCKETS // BUCKET_BLOCK, BUCKET_BLOCK), dtype=np.int64)
+    for r in sums.collect():
+        total[r["block"], np.frombuffer(r["at"], "<u2")] += np.frombuffer(r["n"], "<i8")
+    return np.minimum(np.log2(1.0 + total.ravel()) * 8, 255).astype(np.uint8)
 
 
 def fingerprint(h: np.ndarray) -> bytes:
@@ -83,12 +110,12 @@ def fingerprint(h: np.ndarray) -> bytes:
 _SIG = [StructField("n_shingles", LongType()), StructField("_fp", BinaryType()), StructField("_keys", ArrayType(LongType()))]
 
 
-def _signatures(text: str, words: int, num: int, den: int):
+def _signatures(text: str, words: int, num: int, den: int, weight: np.ndarray):
     def run(batch: pa.RecordBatch):
         n, fp, ks = [], [], []
         for b in batch_bytes(batch, text):
             h = shingles(b, words)
-            n.append(len(h)), fp.append(fingerprint(h) if len(h) else None), ks.append(keys(h, num, den))
+            n.append(len(h)), fp.append(fingerprint(h) if len(h) else None), ks.append(keys(h, num, den, weight))
         return [pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(ks, pa.list_(pa.int64()))]
     return run
 
@@ -193,7 +220,8 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words:
     any comparison. A null id is never the smallest; a class of null ids only has null. Rows that share an id but not
     the text are separate nodes. Other columns are not looked at. Empty input: empty result.
 
-    1. Each text gives the size, a fingerprint and the keys of its set (see ``keys``); texts are not moved.
+    1. A first pass counts how often elements occur (``frequency_weights``). A second one gives the size, a fingerprint and
+       the keys of each text's set (see ``keys``); texts are not moved.
     2. Equal sets become one row. Sets that share a key are candidates: each is tied to the smallest of its key, and
        the connected classes of these ties hold every linked pair. A key is one sum and one join, however many share it.
     3. Only sets in a candidate class of two or more are fetched, each once, and compared within its class: blocks of
@@ -202,7 +230,8 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words:
     4. The connected classes of the found links are the result."""
     d = F.col(f"`{doc_id}`")
     narrow = docs.select(d.alias("_id"), F.col(f"`{text}`").alias("_text"))
-    sig = stored(without(append(narrow, _SIG, _signatures("_text", words, num, den)), ["_text"]), "ngram-signatures")
+    weight = frequency_weights(narrow.select("_text"), "_text", words)
+    sig = stored(without(append(narrow, _SIG, _signatures("_text", words, num, den, weight)), ["_text"]), "ngram-signatures")
     reps = stored(sig.where("n_shingles > 0").groupBy("_fp").agg(F.min("_id").alias("_min"), F.max("n_shingles").alias("_n"), F.first("_keys").alias("_keys")), "ngram-sets")
     pairs = reps.select("_fp", F.explode("_keys").alias("_key"))
     hub = pairs.groupBy("_key").agg(F.min("_fp").alias("u"), F.max("_fp").alias("_last")).where("u <> _last").drop("_last")
