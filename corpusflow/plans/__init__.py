@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["urls", "discovery", "stats", "audit", "texts", "search", "domains", "conversion", "flows", "keyed"]
+MODULES = ["urls", "discovery", "stats", "audit", "texts", "search", "domains", "conversion", "flows", "keyed", "nested"]
 
 
 def all_queries():

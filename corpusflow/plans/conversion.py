@@ -159,23 +159,32 @@ def jsonld_blocks(t):
     return rows.select("event_id", "i", F.get_json_object("j", "$['@type']").alias("kind"), F.get_json_object("j", "$.k").cast("int").alias("k"))
 
 
+def comment_trees(t):
+    """Conversations as comment trees, each turn the reply to the turn before."""
+    nest = t.conversations.withColumn("j", F.to_json(F.struct(F.col("text"), S("https://x?id=", C("turn"), "&z=1").alias("url"))))
+    g = nest.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "j"))).alias("a"))
+    opening = F.array_join(F.transform("a", lambda x: F.regexp_replace(x["j"], r"\}\z", ', "comment": [')), "")
+    tree = S('{"comment": ', opening, F.repeat(F.lit("]}"), F.size("a")), "}")
+    return g.select("conv_id", tree.alias("tree"))
+
+
 @query("comment_flatten", """
 WITH c AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos FROM conversations)
 SELECT conv_id, pos, CAST(turn AS VARCHAR) AS comment_id, text AS content FROM c WHERE text <> ''""")
 def comment_flatten(t):
     """Each turn is the reply to the turn before: nested comment objects, flattened again."""
-    nest = t.conversations.withColumn("j", F.to_json(F.struct(F.col("text"), S("https://x?id=", C("turn"), "&z=1").alias("url"))))
-    g = nest.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "j"))).alias("a"))
-    opening = F.array_join(F.transform("a", lambda x: F.regexp_replace(x["j"], r"\}\z", ', "comment": [')), "")
-    tree = S('{"comment": ', opening, F.repeat(F.lit("]}"), F.size("a")), "}")
-    rows = g.select("conv_id", F.posexplode(X.flatten_comments(tree)).alias("pos", "c"))
+    g = comment_trees(t)
+    rows = g.select("conv_id", F.posexplode(X.flatten_comments(F.col("tree"))).alias("pos", "c"))
     return rows.select("conv_id", "pos", "c.comment_id", "c.content")
 
 
-@query("json_post", f"""
+POST_SQL = f"""
 SELECT doc_id, {TITLE} AS title, CASE lang WHEN 'fr' THEN 'Ann' WHEN 'de' THEN 'Bob' ELSE 'Unknown' END AS author, CASE WHEN lang = 'en' THEN 'short "q"' ELSE 'long' || {NL} || source END AS summary,
-  CASE WHEN lang = 'es' THEN 7 ELSE 0 END AS reactions_count, '2024-01-02' AS published, 'https://www.gpters.org/news/post/s-' || doc_id AS url FROM documents""")
-def json_post(t):
+  CASE WHEN lang = 'es' THEN 7 ELSE 0 END AS reactions_count, '2024-01-02' AS published, 'https://www.gpters.org/news/post/s-' || doc_id AS url FROM documents"""
+
+
+def post_payloads(t):
+    """Documents as captured posts: ``doc_id, raw_json``."""
     q = F.to_json(F.struct(first_heading_or_line("text").alias("title")))
     lang = F.col("lang")
     who = F.when(lang == "fr", ', "author": {"name": "Ann"}').when(lang == "de", ', "createdBy": {"member": {"name": "Bob"}}').otherwise("")
@@ -183,8 +192,13 @@ def json_post(t):
         S(', "fields": [{"key": "content", "value": "old"}, {"key": "content", "value": "long\\\\n', F.col("source"), '"}]'))
     likes = F.when(lang == "es", ', "reactionsCount": 7').otherwise("")
     payload = S(F.regexp_replace(q, r"\}\z", ""), who, body, likes, ', "slug": "s", "createdAt": "2024-01-02T03:04:05.000Z"}')
-    b = t.documents.select(F.col("doc_id"), C("doc_id").alias("id"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("raw_html"),
-                           payload.alias("raw_json"), F.lit("2024-02-01").cast("timestamp").alias("scraped_at"))
+    return t.documents.select("doc_id", payload.alias("raw_json"))
+
+
+@query("json_post", POST_SQL)
+def json_post(t):
+    none = F.lit(None).cast("string")
+    b = post_payloads(t).select("doc_id", C("doc_id").alias("id"), none.alias("url"), none.alias("raw_html"), "raw_json", F.lit("2024-02-01").cast("timestamp").alias("scraped_at"))
     m = CV.convert(b, "gpters")
     return m.select(F.col("id").cast("bigint").alias("doc_id"), "title", "author", "summary", "reactions_count",
                     F.date_format("published_at", "yyyy-MM-dd").alias("published"), "url")

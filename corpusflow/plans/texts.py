@@ -359,14 +359,22 @@ def src_json(t):
     return t.events.select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
 
 
-@query("json_tolerant", """
+TOLERANT_SQL = """
 SELECT event_id, CASE WHEN event_type = 'error' THEN 'Unknown' ELSE 's' || CAST(json_extract(props, '$.k') AS VARCHAR) END AS site,
-  CASE WHEN event_type = 'error' THEN 'oops ' || event_id ELSE 'u' END AS url, CASE WHEN event_type = 'error' THEN 1 ELSE 2 END AS attempt FROM events""")
-def json_tolerant(t):
+  CASE WHEN event_type = 'error' THEN 'oops ' || event_id ELSE 'u' END AS url, CASE WHEN event_type = 'error' THEN 1 ELSE 2 END AS attempt FROM events"""
+
+
+def queue_payloads(t):
+    """Events as queue items, a broken text for some: ``event_id, p``."""
     bad = F.col("event_type") == "error"
     payload = F.when(bad, S("oops ", C("event_id"))).otherwise(
         S('{"site": "s', F.get_json_object("props", "$.k"), '", "url": "u", "attempt": 2}'))
-    rows = t.events.select("event_id", payload.alias("p"))
+    return t.events.select("event_id", payload.alias("p"))
+
+
+@query("json_tolerant", TOLERANT_SQL)
+def json_tolerant(t):
+    rows = queue_payloads(t)
     task = J.tolerant_struct("p", "site string, url string, attempt int", site=F.lit("Unknown"), url=F.col("p"), attempt=F.lit(1))
     return rows.select("event_id", task["site"].alias("site"), task["url"].alias("url"), task["attempt"].alias("attempt"))
 
