@@ -13,7 +13,10 @@ NGRAM, NUM, DEN = 3, 90, 100      # words of a shingle; links from NUM * union <
 DIMS = 64                         # groups of a count vector
 LEAF = 32                         # points of a leaf of the tree
 BLOCK_SHINGLES = 1 << 20          # shingles of one block of a candidate class
-BUCKETS, BUCKET_BLOCK = 1 << 20, 1 << 10      # counters of the frequency table, and those of one of its rows
+BUCKETS, BUCKET_BLOCK = 1 << 23, 1 << 12      # counters of the frequency table, and those of one of its rows
+TASKS = 64                        # tables of tasks that are added up first
+STEPS = 12                        # steps of a weight in a doubling of the frequency
+SEEN = 1 << 16                    # sets a task remembers
 
 
 def shingles(text, n: int = NGRAM) -> np.ndarray:
@@ -45,14 +48,14 @@ def keys(h: np.ndarray, num: int = NUM, den: int = DEN, weight: np.ndarray | Non
     first size - ceil(size * num / den) + 1 elements of each set, in an order that is the same for all sets, one is in both
     (prefix filter). The order is by ``weight`` of the element's bucket, then by the element itself: any order is right,
     and the one by rising frequency leaves what many texts share to the end, where it is no key of a text that has
-    enough of its own. The second part of a key is a size level (powers of two) that the pair's smaller set can have."""
+    enough of its own. The second part of a key is a size level (powers of four) that the pair's smaller set can have."""
     n = len(h)
     if not n:
         return np.zeros(0, dtype=np.int64)
     common = -(-n * num // den)
     first = h if weight is None else h[np.lexsort((h, weight[_bucket(h)]))]
     first = mix(first[:n - common + 1])
-    levels = mix(np.arange(common.bit_length(), n.bit_length() + 1, dtype=np.uint64) + np.uint64(17))
+    levels = mix(np.arange((common.bit_length() + 1) // 2, (n.bit_length() + 1) // 2 + 1, dtype=np.uint64) + np.uint64(17))
     return np.unique(mix(first[None, :] ^ levels[:, None])).view(np.int64)
 
 
@@ -61,10 +64,10 @@ _COUNTS = "block int, at binary, n binary"
 
 def frequency_weights(docs: DataFrame, text: str, words: int) -> np.ndarray:
     """How often the elements of each of ``BUCKETS`` hash buckets occur in the sets of all texts, as logarithms in steps of
-    an eighth of a doubling: one byte a bucket, whatever the size of the corpus. Tasks count in a table of their own and
-    pass on what isn't zero; the sums are made in two rounds, each table row as a stream."""
+    ``STEPS`` a doubling: one byte a bucket, whatever the size of the corpus. Tasks count in a table of their own and
+    pass on what isn't zero; the sums are made in two rounds, ``TASKS`` tables first, each table row as a stream."""
     def count(batches):
-        total = np.zeros(BUCKETS, dtype=np.int64)
+        total = np.zeros(BUCKETS, dtype=np.uint32)
         for batch in batches:
             for b in batch_bytes(batch, text):
                 np.add.at(total, _bucket(shingles(b, words)), 1)
@@ -75,10 +78,15 @@ def frequency_weights(docs: DataFrame, text: str, words: int) -> np.ndarray:
         for block, table in zip(blocks, tables):
             at = np.flatnonzero(table)
             if len(at):
-                out.append((block, at.astype("<u2").tobytes(), table[at].astype("<i8").tobytes()))
+                n = table[at].astype("<i8")
+                out.append((block, at.astype("<u2").tobytes(), (n.astype("<u1") if n.max() < 256 else n).tobytes()))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.binary(), pa.binary()))], names=["block", "at", "n"])
 
+    def numbers(at, n):
+        # Counts below 256 take a byte each.
+        return np.frombuffer(n, "<u1" if 2 * len(n) == len(at) else "<i8").astype(np.int64)
+
     def add(batches):
         block, table = None, None
         for batch in batches:
@@ -87,17 +95,17 @@ def frequency_weights(docs: DataFrame, text: str, words: int) -> np.ndarray:
                     if block is not None:
                         yield from rows([block], [table])
                     block, table = k, np.zeros(BUCKET_BLOCK, dtype=np.int64)
-                table[np.frombuffer(at, "<u2")] += np.frombuffer(n, "<i8")
+                table[np.frombuffer(at, "<u2")] += numbers(at, n)
         if block is not None:
             yield from rows([block], [table])
 
-    parts = docs.mapInArrow(count, _COUNTS).withColumn("_salt", F.spark_partition_id() % 32)
+    parts = docs.mapInArrow(count, _COUNTS).withColumn("_salt", F.floor(F.spark_partition_id() / TASKS))
     parts = parts.repartition("block", "_salt").sortWithinPartitions("_salt", "block").select("block", "at", "n").mapInArrow(add, _COUNTS)
     sums = parts.repartition("block").sortWithinPartitions("block").mapInArrow(add, _COUNTS)
     total = np.zeros((BUCKETS // BUCKET_BLOCK, BUCKET_BLOCK), dtype=np.int64)
     for r in sums.collect():
-        total[r["block"], np.frombuffer(r["at"], "<u2")] += np.frombuffer(r["n"], "<i8")
-    return np.minimum(np.log2(1.0 + total.ravel()) * 8, 255).astype(np.uint8)
+        total[r["block"], np.frombuffer(r["at"], "<u2")] += numbers(r["at"], r["n"])
+    return np.minimum(np.log2(1.0 + total.ravel()) * STEPS, 255).astype(np.uint8)
 
 
 def fingerprint(h: np.ndarray) -> bytes:
@@ -107,16 +115,26 @@ def fingerprint(h: np.ndarray) -> bytes:
     return int(a).to_bytes(8, "big") + int(b).to_bytes(8, "big")
 
 
-_SIG = [StructField("n_shingles", LongType()), StructField("_fp", BinaryType()), StructField("_keys", ArrayType(LongType()))]
+_SIG = [StructField("n_shingles", LongType()), StructField("_fp", BinaryType()), StructField("_r", LongType()), StructField("_keys", ArrayType(LongType()))]
 
 
 def _signatures(text: str, words: int, num: int, den: int, weight: np.ndarray):
+    seen: set[bytes] = set()
+
     def run(batch: pa.RecordBatch):
-        n, fp, ks = [], [], []
+        n, fp, short, ks = [], [], [], []
         for b in batch_bytes(batch, text):
             h = shingles(b, words)
-            n.append(len(h)), fp.append(fingerprint(h) if len(h) else None), ks.append(keys(h, num, den, weight))
-        return [pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(ks, pa.list_(pa.int64()))]
+            f = fingerprint(h) if len(h) else None
+            # A copy of a set whose keys this task has given needs none.
+            again = f is None or f in seen
+            n.append(len(h)), fp.append(f), short.append(int.from_bytes(f[:8], "big", signed=True) if f else None)
+            ks.append(np.zeros(0, dtype=np.int64) if again else keys(h, num, den, weight))
+            if not again:
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(f)
+        return [pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(short, pa.int64()), pa.array(ks, pa.list_(pa.int64()))]
     return run
 
 
@@ -232,16 +250,17 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words:
     narrow = docs.select(d.alias("_id"), F.col(f"`{text}`").alias("_text"))
     weight = frequency_weights(narrow.select("_text"), "_text", words)
     sig = stored(without(append(narrow, _SIG, _signatures("_text", words, num, den, weight)), ["_text"]), "ngram-signatures")
-    reps = stored(sig.where("n_shingles > 0").groupBy("_fp").agg(F.min("_id").alias("_min"), F.max("n_shingles").alias("_n"), F.first("_keys").alias("_keys")), "ngram-sets")
-    pairs = reps.select("_fp", F.explode("_keys").alias("_key"))
-    hub = pairs.groupBy("_key").agg(F.min("_fp").alias("u"), F.max("_fp").alias("_last")).where("u <> _last").drop("_last")
-    ties = pairs.join(hub, "_key").where("_fp <> u").select("u", F.col("_fp").alias("v"))
-    cand = components(ties, "ngram-candidates")
+    reps = stored(sig.where("n_shingles > 0").groupBy("_fp").agg(F.min("_id").alias("_min"), F.max("n_shingles").alias("_n"), F.max("_r").alias("_r")), "ngram-sets")
+    # Candidates are tied by half of the fingerprint: two sets that share it are at worst compared in vain.
+    pairs = sig.select("_r", F.explode("_keys").alias("_key"))
+    hub = pairs.groupBy("_key").agg(F.min("_r").alias("u"), F.max("_r").alias("_last")).where("u <> _last").drop("_last")
+    ties = pairs.join(hub, "_key").where("_r <> u").select("u", F.col("_r").alias("v"))
+    cand = components(ties, "ngram-candidates").withColumnRenamed("node", "_r")
     # Blocks of a class by its elements; a class of one block is one cell.
-    cand = cand.join(reps.select(F.col("_fp").alias("node"), "_min", "_n"), "node")
+    cand = cand.join(reps, "_r")
     big = cand.groupBy("root").agg(F.sum("_n").alias("_all"), F.count("*").alias("_members")).withColumn("_blocks", F.ceil(F.col("_all") / BLOCK_SHINGLES).cast("int"))
-    cand = stored(cand.join(big.where("_members > 1"), "root").withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
-                  .select("node", "root", "_min", "_block", "_blocks"), "ngram-members")
+    cand = stored(cand.join(big.where("_members > 1"), "root").withColumn("_block", F.pmod(F.xxhash64("_fp"), F.col("_blocks")).cast("int"))
+                  .select(F.col("_fp").alias("node"), "root", "_min", "_block", "_blocks"), "ngram-members")
     # The texts of the members, found by id and told apart by fingerprint.
     texts = narrow.join(cand.select("_min").distinct(), narrow["_id"].eqNullSafe(cand["_min"]), "left_semi")
 

@@ -128,9 +128,9 @@ def test_weights_follow_how_often_elements_occur(spark, monkeypatch):
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(40)
     weight = N.frequency_weights(df.select("text"), "text", 3)
     frequent = weight[N._bucket(N.shingles(line.encode(), 3))]
-    assert len(weight) == N.BUCKETS and frequent.min() >= int(np.log2(401) * 8) and np.median(weight[weight > 0]) <= 8
+    assert len(weight) == N.BUCKETS and frequent.min() >= int(np.log2(401) * N.STEPS) and np.median(weight[weight > 0]) <= N.STEPS
     total = sum(len(grams(t)) for _, t in docs)
-    assert total * 0.8 <= np.round(2 ** (weight / 8.0) - 1).sum() <= total * 1.05
+    assert total * 0.8 <= np.round(2 ** (weight / N.STEPS) - 1).sum() <= total * 1.05
     assert not N.frequency_weights(df.select("text").limit(0), "text", 3).any()
 
 
