@@ -10,6 +10,7 @@ from ..operators import frontier as FR
 from ..operators import links as L
 from ..operators import upsert as UP
 from ..operators.scan import ordinal_bucket
+from ..session import cut_lineage
 from ..sites import SiteSpec
 from . import sqlparts as Q
 from .registry import query
@@ -50,7 +51,8 @@ WITH {Q.LINKS}, {_KNOWN}
 SELECT dst_id, arg_min(url, (page_id, pos)) AS url FROM links WHERE outcome = 'ok'
   AND dst_id NOT IN (SELECT dst_id FROM known WHERE dst_id IS NOT NULL) GROUP BY dst_id""")
 def discover_new(t):
-    links = page_links(t)
+    # Read twice, for the known ids as well: the outcomes are worked out once and stored.
+    links = cut_lineage(page_links(t), "links")
     return L.discover_new(links, known(t, links), ["page_id", "pos"])
 
 
@@ -65,7 +67,7 @@ SELECT count(*) FILTER (outcome <> 'empty') AS total_anchors, count(*) FILTER (o
  count(*) FILTER (outcome = 'ok') - count(DISTINCT dst_id) FILTER (fresh) AS dedup_skipped,
  count(DISTINCT dst_id) FILTER (fresh) AS new_urls FROM f""")
 def link_funnel(t):
-    links = page_links(t)
+    links = cut_lineage(page_links(t), "links")
     return L.link_funnel(links, known(t, links))
 
 

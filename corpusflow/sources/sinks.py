@@ -69,6 +69,34 @@ def compact(spark: SparkSession, path: str, key: list[str], order: list[str]) ->
     return target
 
 
+# Reading a log from its start gets longer with every batch. A compacted part holds the current rows up to a batch; readers
+# take the newest complete one and the batches after it.
+
+def compacted_upto(spark: SparkSession, path: str, part: str = "compact") -> int | None:
+    """Last batch of the newest complete compacted part of the log under ``path``."""
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}/upto=*/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks)
+    return max((int(f.getPath().getParent().getName().split("=")[1]) for f in found or ()), default=None)
+
+
+def log_tail(spark: SparkSession, path: str, log: str = "log", part: str = "compact") -> DataFrame:
+    """Rows of the newest compacted part and of the batches after it, with their ``batch_id``."""
+    upto, rows = compacted_upto(spark, path, part), read_log(spark, f"{path}/{log}")
+    if upto is None:
+        return rows
+    base = spark.read.parquet(f"{path}/{part}/upto={upto}")
+    return base.unionByName(rows.where(F.col("batch_id") > upto), allowMissingColumns=True)
+
+
+def current_log(spark: SparkSession, path: str, key: list[str], order: list[str]) -> DataFrame:
+    """``current`` of the log under ``path/log``, read from its newest compacted part on."""
+    return current(log_tail(spark, path), key, order)
+
+
+def write_compacted(rows: DataFrame, path: str, upto: int, part: str = "compact") -> None:
+    rows.write.mode("overwrite").parquet(f"{path}/{part}/upto={upto}")
+
+
 def write_index(docs: DataFrame, posts: DataFrame, path: str) -> None:
     """Search documents by key, and postings clustered by term so that a query reads few files."""
     docs.withColumn("id", index_key(F.col("id"))).write.mode("overwrite").parquet(f"{path}/docs")

@@ -18,7 +18,7 @@ from ..operators import logs as LG
 from ..operators import search as SE
 from ..operators.scan import prefix_scan
 from ..operators.upsert import latest_by_key
-from ..sources.sinks import append_batch, current, read_log
+from ..sources.sinks import append_batch, current, current_log, log_tail, read_log, write_compacted
 
 MAX_ATTEMPTS = 3
 PERMANENT = "HTTP status 404"
@@ -43,18 +43,25 @@ def log_of(stream: DataFrame, path: str, mode: str = "append") -> StreamingQuery
 
 
 def read_result(spark: SparkSession, path: str, key: list[str] | None = None, order: list[str] = ()) -> DataFrame:
-    log = read_log(spark, f"{path}/log")
-    return log.drop("batch_id") if key is None else current(log, key, list(order)).drop("batch_id")
+    if key is None:
+        return read_log(spark, f"{path}/log").drop("batch_id")
+    return current_log(spark, path, key, list(order)).drop("batch_id")
+
+
+def _due(batch: int, every: int | None) -> bool:
+    return bool(every) and (batch + 1) % every == 0
 
 
 # --- pipeline ------------------------------------------------------------------------------------------------
 
-def ingest_captures(captures: DataFrame, path: str) -> StreamingQuery:
-    """Raw captures to the bronze log, last capture per (site, id) and batch."""
+def ingest_captures(captures: DataFrame, path: str, compact_every: int | None = None) -> StreamingQuery:
+    """Raw captures to the bronze log, last capture per (site, id) and batch; every so many batches the log is compacted."""
     def body(df, i):
         rest = [c for c in df.columns if c not in ("site", "id", "scraped_at")]
         last = df.groupBy("site", "id").agg(F.max(F.struct("scraped_at", *rest)).alias("m"))
         append_batch(last.select("site", "id", "m.*"), f"{path}/log", i)
+        if _due(i, compact_every):
+            write_compacted(current_log(df.sparkSession, path, ["site", "id"], ["scraped_at"]), path, i)
     return each_batch(captures, f"{path}/_checkpoint", body)
 
 
@@ -71,22 +78,31 @@ def convert_stream(bronze: DataFrame, site_key: str, path: str) -> StreamingQuer
     return each_batch(bronze, f"{path}/_checkpoint", body)
 
 
-def index_stream(silver: DataFrame, path: str, run_ts: Column) -> StreamingQuery:
-    """Silver rows to the search-document log and the postings log, one version of a document per batch."""
+def index_stream(silver: DataFrame, path: str, run_ts: Column, compact_every: int | None = None) -> StreamingQuery:
+    """Silver rows to the search-document log and the postings log, one version of a document per batch; every so many
+    batches both are compacted."""
     def body(df, i):
         df = latest_by_key(df, ["id"], [c for c in ("updated_at", "published_at") if c in df.columns])
         docs = SE.search_documents(df, run_ts, F.coalesce("published_at", "updated_at"))
         append_batch(docs, f"{path}/log", i)
         append_batch(SE.postings(docs, "id"), f"{path}/postings", i)
+        if _due(i, compact_every):
+            spark = df.sparkSession
+            live = _live_postings(spark, path)
+            write_compacted(live, path, i, "compact-postings")
+            write_compacted(current_log(spark, path, ["id"], []), path, i)
     return each_batch(silver, f"{path}/_checkpoint", body)
 
 
+def _live_postings(spark: SparkSession, path: str) -> DataFrame:
+    latest = log_tail(spark, path).groupBy("id").agg(F.max("batch_id").alias("batch_id"))
+    return log_tail(spark, path, "postings", "compact-postings").join(latest.withColumnRenamed("id", "doc_id"), ["doc_id", "batch_id"], "left_semi")
+
+
 def current_postings(spark: SparkSession, path: str) -> DataFrame:
     """Postings of the latest version of each document. A new version replaces all old postings of
     its document, also the terms it no longer holds."""
-    latest = read_log(spark, f"{path}/log").groupBy("id").agg(F.max("batch_id").alias("batch_id"))
-    posts = read_log(spark, f"{path}/postings").withColumnRenamed("doc_id", "id")
-    return posts.join(latest, ["id", "batch_id"], "left_semi").drop("batch_id").withColumnRenamed("id", "doc_id")
+    return _live_postings(spark, path).drop("batch_id")
 
 
 # --- retries -----------------------------------------------------------------------------------------------

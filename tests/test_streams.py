@@ -82,6 +82,27 @@ def test_index_drops_postings_of_old_versions(spark, tmp_path):
     assert posts == {("s_1", "new"), ("s_1", "words"), ("s_2", "old")}
 
 
+def test_compacted_logs_read_alike(spark, tmp_path):
+    """The same stream with and without compaction; readers of the compacted one leave the old batches alone."""
+    ts = lambda d: __import__("datetime").datetime(2024, 1, d)
+    schema = "site string, id string, raw_html string, scraped_at timestamp"
+    parts = [[("s", str(k % 3), f"v{b}{k}", ts(b + 1)) for k in range(b, b + 3)] for b in range(5)]
+    docs = "site string, id string, title string, content string, published_at string, updated_at string"
+    texts = [[("s", str(k % 3), "t", f"word{b} w{k}", None, str(b)) for k in range(b, b + 2)] for b in range(5)]
+    got, posts = [], []
+    for name, every in (("plain", None), ("compacted", 2)):
+        out = str(tmp_path / name)
+        ST.ingest_captures(feed(spark, str(tmp_path / f"in-{name}"), parts, schema), out, every).awaitTermination()
+        got.append(sorted(map(tuple, ST.read_result(spark, out, ["site", "id"], ["scraped_at"]).select("site", "id", "raw_html").collect())))
+        index = str(tmp_path / f"index-{name}")
+        ST.index_stream(feed(spark, str(tmp_path / f"docs-{name}"), texts, docs), index, F.lit("now"), every).awaitTermination()
+        posts.append(sorted(map(tuple, ST.current_postings(spark, index).select("doc_id", "term", "tf").collect())))
+    assert got[0] == got[1] and len(got[0]) == 3 and posts[0] == posts[1] and len(posts[0]) == 12
+    assert SK.compacted_upto(spark, str(tmp_path / "plain")) is None and SK.compacted_upto(spark, str(tmp_path / "compacted")) == 3
+    files = SK.log_tail(spark, str(tmp_path / "compacted")).inputFiles()
+    assert any("upto=3" in f for f in files) and not any(f"batch_id={i}" in f for f in files for i in range(4))
+
+
 def test_daily_view_counts_across_batches(spark, tmp_path):
     dt = __import__("datetime").datetime
     stream = feed(spark, str(tmp_path / "in"), [[(dt(2024, 1, 1, 14), "a"), (dt(2024, 1, 1, 16), "a")], [(dt(2024, 1, 1, 17), "a")]], "ts timestamp, site string")
