@@ -81,6 +81,17 @@ def op5_ngram_jaccard_join(spark: SparkSession, base: str) -> DataFrame:
     return ngramjoin.classes(docs).select("doc_id", "n_shingles", "component_id")
 
 
+SQL["op5_ngram_jaccard_join"] = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS sh FROM d),
+e AS (SELECT r, len(sh) AS n, unnest(sh) AS g FROM s),
+p AS (SELECT a.r AS x, b.r AS y FROM e a JOIN e b ON a.g = b.g AND a.r < b.r GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+l AS (SELECT x, y FROM p UNION ALL SELECT y, x FROM p),
+c(r, t) AS (SELECT r, r FROM s UNION SELECT c.r, l.y FROM c JOIN l ON l.x = c.t)
+SELECT s.doc_id, len(s.sh)::BIGINT AS n_shingles, (SELECT min(o.doc_id) FROM c JOIN s o ON o.r = c.t WHERE c.r = s.r) AS component_id FROM s"""
+
+
 @query
 def op6_substring_dedup(spark: SparkSession, base: str) -> DataFrame:
     return substrings.repeated_passages(load(spark, base, "documents").select("doc_id", "text"))
