@@ -21,7 +21,7 @@ PIECE = 5                    # characters of a piece, blanks around a word inclu
 MARKED_Z, MARKED_RATIO, MARKED_DOCS = 12.0, 10, 5   # how surely, how much, and in how many toxic texts, a piece has to be over-represented
 GAIN = 4                     # bytes from which a window counts as gaining
 SAMPLE_ROWS = 8000           # labelled rows of a class that training looks at, at most
-SAMPLE_CHARS = 12_000_000    # and their characters
+SAMPLE_CHARS = 12_000_000    # and their characters; a text of over a hundredth of them takes no part in training
 
 
 def windows(text: str) -> list[bytes]:
@@ -165,17 +165,21 @@ def train(rows: list[tuple[str, int]], counts: dict[int, int]) -> Model:
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic",
         rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS) -> Model:
     """Model from the labelled rows of ``labels`` (doc_id, label). Training looks at a bounded sample: of each class
-    the first ``rows`` ids in hash order, as far as their texts together stay within ``chars`` characters. Ids with null
-    labels or none take no part; an id labelled twice is toxic if one label says so."""
+    the first ``rows`` ids in hash order, as far as their texts together stay within ``chars`` characters. Texts of over
+    ``chars`` / 100 characters are left out of it, so that none can use up the bound of its class. Ids with null labels or
+    none take no part; an id labelled twice is toxic if one label says so; of several texts with one id the longest
+    counts, of equally long ones the first. Without enough rows, an empty table included, the model is its prior."""
     y = (labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(doc_id).alias("_id"))
          .agg(F.max((F.col(label) == 1).cast("int")).alias("y")))
     counts = {r["y"]: r["count"] for r in y.groupBy("y").count().collect()}
     order = Window.partitionBy("y").orderBy("_h", "_id")
-    first = y.withColumn("_h", F.xxhash64("_id")).withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= rows)
+    hashed = y.withColumn("_h", F.xxhash64("_id"))
+    # The first ids of a class come from the sorted tops of all tasks.
+    first = hashed.where("y = 0").orderBy("_h", "_id").limit(rows).unionByName(hashed.where("y = 1").orderBy("_h", "_id").limit(rows))
     docs = docs.select(F.col(f"`{doc_id}`").alias("d"), F.col(f"`{text}`").alias("t")).where("t IS NOT NULL")
     # At most 2 * rows ids: small enough to send to every task.
     sized = (docs.join(F.broadcast(first), F.col("d") == F.col("_id")).groupBy("_id", "y", "_h").agg(F.max(F.length("t")).alias("n"))
-             .withColumn("upto", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("upto") <= chars))
+             .where(F.col("n") <= chars // 100).withColumn("upto", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("upto") <= chars))
     found = (docs.join(F.broadcast(sized.select("_id", "y", "_h", "n")), F.col("d") == F.col("_id")).where(F.length("t") == F.col("n"))
              .groupBy("_id", "y", "_h").agg(F.min("t").alias("t")).collect())
     return train([(r["t"], r["y"]) for r in sorted(found, key=lambda r: (r["_h"], r["_id"]))], counts)
@@ -188,7 +192,8 @@ _held: dict[str, Model] = {}
 def classify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` plus score (0 to 1) and predicted (1 from 0.5). Whole texts are scored, window by window; only the text
     is looked at. Null and empty texts get the score of a text without any gain; a model without enough labelled
-    rows of both classes gives every text the share of toxic rows, below 0.5. Columns of these names are replaced."""
+    rows of both classes gives every text the share of toxic rows, below 0.5. Repeated rows get the same score, a text of
+    any length one of all its windows, an empty table no rows. Columns of these names are replaced."""
     shared, token = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batch: pa.RecordBatch):
