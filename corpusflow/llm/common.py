@@ -32,6 +32,12 @@ def discard(table: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished jobs: Spark deletes them once the driver's garbage collector has found
+    their jobs gone, which a job that keeps its driver idle can put off for long."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def fold(doc_id: Column, buckets: int = 5) -> Column:
     """crc32 of the id as text, modulo ``buckets``; 0 for a null id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % buckets, F.lit(0)).cast("int")

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from corpusflow.llm.common import append, batch_bytes, components, mix, stored, without, word_hashes
+from corpusflow.llm.common import append, batch_bytes, components, mix, release, stored, without, word_hashes
 
 NGRAM, NUM, DEN = 3, 90, 100      # words of a shingle; links from NUM * union <= DEN * intersection on
 DIMS = 64                         # groups of a count vector
@@ -248,19 +248,23 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words:
     4. The connected classes of the found links are the result."""
     d = F.col(f"`{doc_id}`")
     narrow = docs.select(d.alias("_id"), F.col(f"`{text}`").alias("_text"))
+    spark = docs.sparkSession
     weight = frequency_weights(narrow.select("_text"), "_text", words)
     sig = stored(without(append(narrow, _SIG, _signatures("_text", words, num, den, weight)), ["_text"]), "ngram-signatures")
-    reps = stored(sig.where("n_shingles > 0").groupBy("_fp").agg(F.min("_id").alias("_min"), F.max("n_shingles").alias("_n"), F.max("_r").alias("_r")), "ngram-sets")
+    same = sig.where("n_shingles > 0").groupBy("_fp", "_id").agg(F.count("*").alias("_c"), F.max("n_shingles").alias("_n"), F.max("_r").alias("_r"))
+    reps = stored(same.groupBy("_fp").agg(F.min("_id").alias("_min"), F.max("_n").alias("_n"), F.max("_r").alias("_r"), (F.max("_c") > 1).alias("_repeated")), "ngram-sets")
+    release(spark)
     # Candidates are tied by half of the fingerprint: two sets that share it are at worst compared in vain.
     pairs = sig.select("_r", F.explode("_keys").alias("_key"))
     hub = pairs.groupBy("_key").agg(F.min("_r").alias("u"), F.max("_r").alias("_last")).where("u <> _last").drop("_last")
     ties = pairs.join(hub, "_key").where("_r <> u").select("u", F.col("_r").alias("v"))
     cand = components(ties, "ngram-candidates").withColumnRenamed("node", "_r")
+    release(spark)
     # Blocks of a class by its elements; a class of one block is one cell.
     cand = cand.join(reps, "_r")
     big = cand.groupBy("root").agg(F.sum("_n").alias("_all"), F.count("*").alias("_members")).withColumn("_blocks", F.ceil(F.col("_all") / BLOCK_SHINGLES).cast("int"))
     cand = stored(cand.join(big.where("_members > 1"), "root").withColumn("_block", F.pmod(F.xxhash64("_fp"), F.col("_blocks")).cast("int"))
-                  .select(F.col("_fp").alias("node"), "root", "_min", "_block", "_blocks"), "ngram-members")
+                  .select(F.col("_fp").alias("node"), "root", "_min", "_block", "_blocks", "_repeated"), "ngram-members")
     # The texts of the members, found by id and told apart by fingerprint.
     texts = narrow.join(cand.select("_min").distinct(), narrow["_id"].eqNullSafe(cand["_min"]), "left_semi")
 
@@ -273,12 +277,14 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words:
 
     found = without(append(texts, [StructField("_fp", BinaryType()), StructField("_set", BinaryType())], sets), ["_text"])
     members = (found.join(cand, (found["_fp"] == cand["node"]) & found["_id"].eqNullSafe(cand["_min"]))
-               .select("root", "_fp", "_set", "_block", "_blocks"))
+               .select("root", "_fp", "_set", "_block", "_blocks", "_repeated"))
+    # Only of a row that occurs twice a set comes twice.
+    members = members.where("NOT _repeated").unionByName(members.where("_repeated").dropDuplicates(["root", "_fp"]))
     cells = (members.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
              .select("root", F.least("_block", "_o").alias("_a"), F.greatest("_block", "_o").alias("_b"), "_fp", "_set", "_block"))
-    cells = cells.dropDuplicates(["root", "_a", "_b", "_fp"])
     links = cells.groupBy("root", "_a", "_b").applyInArrow(_join_cell(num, den), _LINKS)
     linked = components(links, "ngram-links")
+    release(spark)
     lowest = linked.join(reps.select(F.col("_fp").alias("node"), "_min"), "node").groupBy("root").agg(F.min("_min").alias("_low"))
     linked = linked.join(lowest, "root").select(F.col("node").alias("_nfp"), "root", "_low")
     of_set = reps.select("_fp", "_min").join(linked, F.col("_fp") == F.col("_nfp"), "left").select(
