@@ -12,7 +12,7 @@ from corpusflow.llm.common import append, batch_bytes, components, mix, release,
 NGRAM, NUM, DEN = 3, 90, 100      # words of a shingle; links from NUM * union <= DEN * intersection on
 DIMS = 64                         # groups of a count vector
 LEAF = 32                         # points of a leaf of the tree
-BLOCK_SHINGLES = 1 << 20          # shingles of one block of a candidate class
+BLOCK_SHINGLES = 1 << 21          # shingles of one block of a candidate class
 BUCKETS, BUCKET_BLOCK = 1 << 23, 1 << 12      # counters of the frequency table, and those of one of its rows
 TASKS = 64                        # tables of tasks that are added up first
 STEPS = 12                        # steps of a weight in a doubling of the frequency
