@@ -13,7 +13,7 @@ NGRAM, NUM, DEN = 3, 90, 100      # words of a shingle; links from NUM * union <
 DIMS = 64                         # groups of a count vector
 LEAF = 32                         # points of a leaf of the tree
 BLOCK_SHINGLES = 1 << 21          # shingles of one block of a candidate class
-BUCKETS, BUCKET_BLOCK = 1 << 23, 1 << 12      # counters of the frequency table, and those of one of its rows
+BUCKETS, BUCKET_BLOCK = 1 << 22, 1 << 12      # counters of the frequency table, and those of one of its rows
 TASKS = 64                        # tables of tasks that are added up first
 STEPS = 12                        # steps of a weight in a doubling of the frequency
 SEEN = 1 << 16                    # sets a task remembers
@@ -87,25 +87,35 @@ def frequency_weights(docs: DataFrame, text: str, words: int) -> np.ndarray:
         # Counts below 256 take a byte each.
         return np.frombuffer(n, "<u1" if 2 * len(n) == len(at) else "<i8").astype(np.int64)
 
-    def add(batches):
+    def tables(batches):
         block, table = None, None
         for batch in batches:
             for k, at, n in zip(*[c.to_pylist() for c in batch.columns]):
                 if k != block:
                     if block is not None:
-                        yield from rows([block], [table])
+                        yield block, table
                     block, table = k, np.zeros(BUCKET_BLOCK, dtype=np.int64)
                 table[np.frombuffer(at, "<u2")] += numbers(at, n)
         if block is not None:
+            yield block, table
+
+    def add(batches):
+        for block, table in tables(batches):
             yield from rows([block], [table])
 
+    def weigh(batches):
+        # Only a byte a bucket comes to the driver.
+        for block, table in tables(batches):
+            w = np.minimum(np.log2(1.0 + table) * STEPS, 255).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([w.tobytes()], pa.binary())], names=["block", "weight"])
+
     parts = docs.mapInArrow(count, _COUNTS).withColumn("_salt", F.floor(F.spark_partition_id() / TASKS))
     parts = parts.repartition("block", "_salt").sortWithinPartitions("_salt", "block").select("block", "at", "n").mapInArrow(add, _COUNTS)
-    sums = parts.repartition("block").sortWithinPartitions("block").mapInArrow(add, _COUNTS)
-    total = np.zeros((BUCKETS // BUCKET_BLOCK, BUCKET_BLOCK), dtype=np.int64)
+    sums = parts.repartition("block").sortWithinPartitions("block").mapInArrow(weigh, "block int, weight binary")
+    total = np.zeros((BUCKETS // BUCKET_BLOCK, BUCKET_BLOCK), dtype=np.uint8)
     for r in sums.collect():
-        total[r["block"], np.frombuffer(r["at"], "<u2")] += numbers(r["at"], r["n"])
-    return np.minimum(np.log2(1.0 + total.ravel()) * STEPS, 255).astype(np.uint8)
+        total[r["block"]] = np.frombuffer(r["weight"], np.uint8)
+    return total.ravel()
 
 
 def fingerprint(h: np.ndarray) -> bytes:
