@@ -97,8 +97,10 @@ def write_by_date(t):
 # --- streams -----------------------------------------------------------------------------------------------
 
 def stream_table(t, name):
-    """A table of the directory as a file stream; event times become instants."""
-    schema = getattr(t, name).schema
+    """A table of the directory as a file stream, whether it is one file or a folder of files; event times become instants."""
+    schema, path = getattr(t, name).schema, f"{t.base}/{name}.parquet"
+    if RD.is_folder(t.spark, path):
+        return ST.file_stream(t.spark, path, schema, "*")
     return ST.file_stream(t.spark, t.base, schema, f"{name}.parquet")
 
 

@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from ..functions.base import col, trim_ws
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Is this path of any file system Spark reads a folder?"""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
 def read_layer(spark: SparkSession, root: str, layer: str, kind: str, site: str | None = None,
                schema=None) -> DataFrame:
     """Table ``<root>/<layer>/<kind>``; the ``site`` filter prunes partitions."""

@@ -79,13 +79,23 @@ def compacted_upto(spark: SparkSession, path: str, part: str = "compact") -> int
     return max((int(f.getPath().getParent().getName().split("=")[1]) for f in found or ()), default=None)
 
 
+def _batches(spark: SparkSession, path: str, after: int) -> list[str]:
+    """Folders of the log under ``path`` of the batches after one."""
+    folders = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=*")
+    found = folders.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folders)
+    return sorted(f.getPath().toString() for f in found or () if int(f.getPath().getName().split("=")[1]) > after)
+
+
 def log_tail(spark: SparkSession, path: str, log: str = "log", part: str = "compact") -> DataFrame:
     """Rows of the newest compacted part and of the batches after it, with their ``batch_id``."""
-    upto, rows = compacted_upto(spark, path, part), read_log(spark, f"{path}/{log}")
+    upto = compacted_upto(spark, path, part)
     if upto is None:
-        return rows
-    base = spark.read.parquet(f"{path}/{part}/upto={upto}")
-    return base.unionByName(rows.where(F.col("batch_id") > upto), allowMissingColumns=True)
+        return read_log(spark, f"{path}/{log}")
+    base, later = spark.read.parquet(f"{path}/{part}/upto={upto}"), _batches(spark, f"{path}/{log}", upto)
+    if not later:
+        return base
+    rows = spark.read.option("basePath", f"{path}/{log}").parquet(*later)
+    return base.unionByName(rows, allowMissingColumns=True)
 
 
 def current_log(spark: SparkSession, path: str, key: list[str], order: list[str]) -> DataFrame:

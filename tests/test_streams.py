@@ -103,6 +103,20 @@ def test_compacted_logs_read_alike(spark, tmp_path):
     assert any("upto=3" in f for f in files) and not any(f"batch_id={i}" in f for f in files for i in range(4))
 
 
+def test_a_table_in_several_files_streams_whole(spark, tmp_path):
+    """Tables may be one file or a folder of files, whatever these are called."""
+    from corpusflow.plans import all_queries
+    pages = spark.createDataFrame([(i, f"https://a.test/{i}", f"<title>t{i}</title><p>x</p>") for i in range(6)], "page_id bigint, url string, html string")
+    docs = spark.createDataFrame([(i, f"one two{i}", "en", "src", 8) for i in range(6)], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    base = str(tmp_path / "tables")
+    pages.repartition(3).write.parquet(f"{base}/pages.parquet")
+    docs.repartition(3).write.parquet(f"{base}/documents.parquet")
+    queries = all_queries()[0]
+    assert {(r["id"], r["url"]) for r in queries["stream_bronze"](spark, base).collect()} == {(str(i), f"https://a.test/{i}") for i in range(6)}
+    assert {(r["id"], r["status"]) for r in queries["stream_convert"](spark, base).collect()} == {(str(i), "completed") for i in range(6)}
+    assert {r["kind"]: r["n"] for r in queries["stream_index"](spark, base).collect()} == {"docs": 6, "terms": 7}
+
+
 def test_daily_view_counts_across_batches(spark, tmp_path):
     dt = __import__("datetime").datetime
     stream = feed(spark, str(tmp_path / "in"), [[(dt(2024, 1, 1, 14), "a"), (dt(2024, 1, 1, 16), "a")], [(dt(2024, 1, 1, 17), "a")]], "ts timestamp, site string")
