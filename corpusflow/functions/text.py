@@ -27,14 +27,15 @@ def _rewrite_links(text: Column, pattern: str, build) -> Column:
     return F.array_join(F.transform(F.split(marked, _A), piece), "")
 
 
-_LINK = r"\[" + WS + r"*([\s\S]*?)" + WS + r"*\]\(([^)]+)\)"
+# Blanks around a title are part of it here and trimmed later: a pattern of their own would be tried again at every place.
+_LINK = r"\[([\s\S]*?)\]\(([^)]+)\)"
 
 
 def clean_markdown_links(md) -> Column:
     """Drop ``javascript:`` links, pull image links and titles onto one line, remove spaces in
     targets, undo bracket and emphasis escapes."""
     t = F.regexp_replace(F.coalesce(col(md), F.lit("")),
-                         r"(?i)\[\s*[\s\S]*?\s*\]\(javascript\s*:\s*.*?\)", "")
+                         r"(?i)\[[\s\S]*?\]\(javascript\s*:\s*.*?\)", "")
     t = _rewrite_links(t, r"\[\s*(!\[[\s\S]*?\]\([^)]+\))\s*\]\(([^)]+)\)",
                        lambda image, url: F.concat(F.lit("["), image, F.lit("]("), trim_ws(url), F.lit(")")))
     t = _rewrite_links(t, _LINK, lambda title, url: F.concat(
@@ -325,13 +326,17 @@ def jd_split(md, company) -> Column:
                      F.lit(r"|회사\s*소개|"), name, F.lit(r"\s*소개)" + _WORD_END))
     has_company = F.coalesce(col(company), F.lit("")) != ""
 
-    def cut(t):
-        intro = F.when(has_company, F.nullif(F.call_function(
-            "regexp_extract", t, F.concat(F.lit("("), about, F.lit(r"[\s\S]*)")), F.lit(1)), F.lit("")))
-        after = trim_ws(match_group(intro, f"({after_about}[\\s\\S]*)"))
-        wanted = trim_ws(match_group(t, f"({plain}[\\s\\S]*)"))
+    # An empty match and none are the same; each pattern is bound, so that it runs once over a text.
+    found = lambda c, body: let(F.coalesce(c, F.lit("")), body)
+
+    def at_heading(t):
         before = F.length(trim_ws(F.regexp_replace(t, plain + r"[\s\S]*\z", "")))
-        return F.when(after.isNotNull(), after).when(wanted.isNotNull() & (before >= 20), wanted).otherwise(t)
+        return found(F.regexp_extract(t, f"({plain}[\\s\\S]*)", 1), lambda w: F.when(w == "", t).when(before >= 20, trim_ws(w)).otherwise(t))
+
+    def cut(t):
+        intro = F.when(has_company, F.call_function("regexp_extract", t, F.concat(F.lit("("), about, F.lit(r"[\s\S]*)")), F.lit(1)))
+        return found(intro, lambda i: found(F.when(i != "", F.regexp_extract(i, f"({after_about}[\\s\\S]*)", 1)), lambda a:
+                     F.when(a != "", trim_ws(a)).otherwise(at_heading(t))))
     text = F.regexp_replace(F.replace(col(md), F.lit("\r"), F.lit("")), r"\n{3,}", "\n\n")
     return let(trim_ws(text), cut)
 

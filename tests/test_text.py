@@ -130,3 +130,17 @@ def test_json(ev):
     assert ev(J.as_json_array, '{"a":1}') == ['{"a":1}'] and ev(J.as_json_array, '[{"a":1},{"b":2}]') == ['{"a":1}', '{"b":2}']
     assert ev(lambda c: J.json_field(c, "$.x", "$.y"), '{"x":"","y":"z"}') == "z" and ev(lambda c: J.json_field(c, "$.x"), "broken") is None
     assert ev(J.unescape, 'a\\nb\\"c\\\\n') == 'a\nb"c\\n'
+
+
+def test_link_rules_pass_over_blanks_once(ev):
+    """Runs of blanks after an open bracket are not tried at every length."""
+    blanks = " " * 3000
+    assert ev(T.clean_markdown_links, "a [" + blanks + "x") == "a [" + blanks + "x"
+
+
+def test_job_description_patterns_run_once(spark):
+    """Each of the four patterns of the rule stands in the plan once."""
+    df = spark.createDataFrame([("long enough opening text\nRequirements\nx", "Src")], "md string, company string")
+    out = df.select(T.jd_split("md", F.col("company")).alias("jd"))
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") <= 3
+    assert out.first()["jd"] == "Requirements\nx"
