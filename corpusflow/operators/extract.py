@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import sys
+from typing import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -22,6 +23,7 @@ cloudpickle.register_pickle_by_value(H)
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DEPTH = 200_000
+PAGES = 64        # pages whose results are held at a time
 
 LINK = "struct<pos:int,href:string,text:string,blank:boolean>"
 FIELDS = (f"struct<title:string,h1:string,meta:map<string,string>,canonical:string,time:string,json_ld:array<string>,"
@@ -30,18 +32,18 @@ FIELDS = (f"struct<title:string,h1:string,meta:map<string,string>,canonical:stri
 
 
 def _udf(returns: str, per_page):
-    """Batch function applying ``per_page(html) -> value`` to a column of markup."""
-    # Trees may be nested deeper than the interpreter's default limit; its own frames live on the heap.
-    if returns.startswith("struct"):
-        def run(html: pd.Series) -> pd.DataFrame:
-            sys.setrecursionlimit(max(sys.getrecursionlimit(), DEPTH))
-            return pd.DataFrame([per_page(h) for h in html])
-        run.__annotations__ = {"html": pd.Series, "return": pd.DataFrame}
-    else:
-        def run(html: pd.Series) -> pd.Series:
-            sys.setrecursionlimit(max(sys.getrecursionlimit(), DEPTH))
-            return pd.Series([per_page(h) for h in html], dtype=object)
-        run.__annotations__ = {"html": pd.Series, "return": pd.Series}
+    """Batch function applying ``per_page(html) -> value`` to a column of markup. The results of an Arrow batch leave in
+    pieces of few pages: what Python holds does not grow with the batch."""
+    out = pd.DataFrame if returns.startswith("struct") else pd.Series
+
+    def run(batches):
+        # Trees may be nested deeper than the interpreter's default limit; its own frames live on the heap.
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), DEPTH))
+        for html in batches:
+            for at in range(0, len(html), PAGES):
+                values = [per_page(h) for h in html.iloc[at:at + PAGES]]
+                yield pd.DataFrame(values) if out is pd.DataFrame else pd.Series(values, dtype=object)
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[out]}
     return F.pandas_udf(run, returns)
 
 

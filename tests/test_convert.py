@@ -155,3 +155,13 @@ def test_deep_nesting(spark):
     df = spark.createDataFrame([("<div>" * 20000 + "deep",)], "h string")
     assert df.select(X.markdown()(F.col("h")).alias("m")).collect()[0]["m"] == "deep"
     assert "deep" in df.select(X.minify()(F.col("h")).alias("m")).collect()[0]["m"]
+
+
+def test_results_leave_in_pieces(spark):
+    """What Python holds is bounded by some pages, not by the Arrow batch: a batch of results is small whatever came in."""
+    import pandas as pd
+    from corpusflow.operators import extract as X
+    for fn, of in ((X.minify(), pd.Series), (X.page_fields(), pd.DataFrame)):
+        html = pd.Series([f"<title>t{i}</title>" for i in range(3 * X.PAGES + 1)])
+        parts = list(fn.func(iter([html, html[:0]])))
+        assert all(isinstance(p, of) for p in parts) and [len(p) for p in parts] == [X.PAGES] * 3 + [1]
