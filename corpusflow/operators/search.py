@@ -22,6 +22,7 @@ FILTERABLE = ["site", "geo", "location"]
 SORTABLE = ["published_at", "updated_at"]
 # Word lengths from which one and two typos are forgiven.
 ONE_TYPO, TWO_TYPOS = 5, 9
+POSTINGS_BYTES = 8 << 20       # bytes of text whose words a task counts at a time
 
 _TOKEN = r"([\p{L}\p{N}]+)"
 
@@ -48,10 +49,13 @@ def postings(docs: DataFrame, doc_id: str = "doc_id", fields: list[str] | None =
 
     The texts are partitioned by document first. The count per (document, field, term) then needs no
     further shuffle, and a text is smaller than the token rows it becomes. No task ever gathers a
-    term, so a word that is in every document does no harm.
+    term, so a word that is in every document does no harm. The number of partitions follows the bytes of the
+    texts, since the words counted by a task fill many times the bytes that arrive.
     """
     fields = [f for f in (fields or SEARCHABLE) if f in docs.columns]
-    texts = docs.select(F.col(doc_id).alias("doc_id"), *[F.col(f).cast("string").alias(f) for f in fields]).repartition("doc_id")
+    texts = docs.select(F.col(doc_id).alias("doc_id"), *[F.col(f).cast("string").alias(f) for f in fields])
+    size = texts.agg(F.sum(sum((F.coalesce(F.octet_length(f), F.lit(0)).cast("bigint") for f in fields), F.lit(0)))).first()[0] or 0
+    texts = texts.repartition(max(docs.sparkSession.sparkContext.defaultParallelism, -(-size // POSTINGS_BYTES)), "doc_id")
     one = F.array(*[F.struct(F.lit(i).alias("field"), F.col(f).alias("text")) for i, f in enumerate(fields)])
     rows = texts.select("doc_id", F.explode(one).alias("f")).where("f.text IS NOT NULL")
     words = rows.select("doc_id", F.col("f.field").alias("field"), F.posexplode(tokens("f.text")).alias("pos", "term"))
@@ -72,25 +76,30 @@ def expand_query(vocab: DataFrame, words: list[str], typos: bool = True) -> Data
     within the typo budget of its length: ``word, term, typos, exact``."""
     parts = []
     for i, w in enumerate(words):
-        budget = typo_budget(w) if typos else 0
-        prefix = F.startswith("term", F.lit(w))
-        near = F.lit(False)
-        if budget:
-            distance = F.levenshtein(F.col("term"), F.lit(w), budget)
-            near = (F.abs(F.length("term") - len(w)) <= budget) & (distance >= 0)
-            typo = F.when(prefix, 0).otherwise(distance)
-        else:
-            typo = F.lit(0)
-        parts.append(vocab.where(prefix | near).select(
+        answers, typo = _answers(w, typos)
+        parts.append(vocab.where(answers).select(
             F.lit(i).alias("word"), "term", typo.alias("typos"), (F.col("term") == w).cast("int").alias("exact")))
     return reduce(DataFrame.union, parts)
 
 
+def _answers(word: str, typos: bool) -> tuple[Column, Column]:
+    """Does ``term`` answer a query word, and with how many typos?"""
+    budget = typo_budget(word) if typos else 0
+    prefix = F.startswith("term", F.lit(word))
+    if not budget:
+        return prefix, F.lit(0)
+    distance = F.levenshtein(F.col("term"), F.lit(word), budget)
+    near = (F.abs(F.length("term") - len(word)) <= budget) & (distance >= 0)
+    return prefix | near, F.when(prefix, 0).otherwise(distance)
+
+
 def match_documents(posts: DataFrame, vocab: DataFrame, query: str, typos: bool = True) -> DataFrame:
     """Documents that hold every query word, with the ranking values: ``doc_id, words, typos,
     proximity, best_field, exact``."""
     words = list(dict.fromkeys(query.lower().split()))
-    hits = posts.join(expand_query(vocab, words, typos), "term")
+    # Only postings of terms that answer a word are moved; the others find no partner in the join.
+    asked = posts.where(reduce(Column.__or__, [_answers(w, typos)[0] for w in words]))
+    hits = asked.join(expand_query(vocab, words, typos), "term")
     per_word = hits.groupBy("doc_id", "word").agg(
         F.min("typos").alias("typos"), F.min("field").alias("field"), F.max("exact").alias("exact"),
         F.min(F.struct("field", "first_pos"))["first_pos"].alias("pos"))

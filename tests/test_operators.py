@@ -229,3 +229,23 @@ def test_undeclared_fields_are_refused(spark):
         SE.search(d, p, v, "x", filters={"title": "a"})
     with pytest.raises(ValueError):
         SE.search(d, p, v, "x", sort="title")
+
+
+def test_postings_partitions_follow_the_bytes(spark, monkeypatch):
+    """A task counts the words of a bounded number of bytes, and rows of one document still meet."""
+    from corpusflow.operators import search as SE
+    docs = spark.createDataFrame([(i // 2, f"w{i} the") for i in range(400)], "doc_id int, content string")
+    monkeypatch.setattr(SE, "POSTINGS_BYTES", 100)
+    posts = SE.postings(docs)
+    assert "hashpartitioning(doc_id" in posts._jdf.queryExecution().executedPlan().toString()
+    assert posts.rdd.getNumPartitions() == sum(len(f"w{i} the") for i in range(400)) // 100 + 1
+    assert posts.where("term = 'the' AND tf = 2").count() == 200 and posts.count() == 600
+
+
+def test_search_moves_only_asked_postings(spark):
+    """Terms that answer no word are left out before the join with the vocabulary."""
+    from corpusflow.operators import search as SE
+    posts = spark.createDataFrame([("the", 1, 4, 1, 0), ("then", 2, 4, 1, 0), ("other", 1, 4, 1, 1)], "term string, doc_id int, field int, tf int, first_pos int")
+    hits = SE.match_documents(posts, SE.vocabulary(posts), "the")
+    assert "StartsWith(term" in hits._jdf.queryExecution().optimizedPlan().toString().split("Join")[1].replace("startswith(", "StartsWith(")
+    assert {r["doc_id"] for r in hits.collect()} == {1, 2}
