@@ -23,6 +23,7 @@ SORTABLE = ["published_at", "updated_at"]
 # Word lengths from which one and two typos are forgiven.
 ONE_TYPO, TWO_TYPOS = 5, 9
 POSTINGS_BYTES = 8 << 20       # bytes of text whose words a task counts at a time
+TERM_ROWS = 250_000            # postings that a task takes when they meet query terms
 
 _TOKEN = r"([\p{L}\p{N}]+)"
 
@@ -93,13 +94,30 @@ def _answers(word: str, typos: bool) -> tuple[Column, Column]:
     return prefix | near, F.when(prefix, 0).otherwise(distance)
 
 
+def with_terms(posts: DataFrame, terms: DataFrame) -> DataFrame:
+    """Postings joined with query terms, in partitions of about ``TERM_ROWS`` postings by document. All postings of a term
+    would meet in one task, so those of a term with more go in parts by document, and the term to each part. The driver
+    sees only such terms, at most one per ``TERM_ROWS`` postings."""
+    each = posts.where("term IS NOT NULL").groupBy("term").agg(F.count("*").alias("n"))
+    size, many = each.agg(F.sum("n"), F.collect_list(F.when(F.col("n") > TERM_ROWS, F.struct("term", "n")))).first()
+    tasks = max(posts.sparkSession.sparkContext.defaultParallelism, -(-(size or 0) // TERM_ROWS))
+    keys = ["term"]
+    if many:
+        parts = -(-max(r["n"] for r in many) // TERM_ROWS)
+        often = F.col("term").isin([r["term"] for r in many])
+        posts = posts.withColumn("_part", F.when(often, F.pmod(F.xxhash64("doc_id"), F.lit(parts))).otherwise(0))
+        terms = terms.withColumn("_part", F.explode(F.when(often, F.expr(f"sequence(0L, {parts - 1}L)")).otherwise(F.expr("array(0L)"))))
+        keys = ["term", "_part"]
+    return posts.repartition(tasks, *keys).join(terms, keys).drop("_part").repartition(tasks, "doc_id")
+
+
 def match_documents(posts: DataFrame, vocab: DataFrame, query: str, typos: bool = True) -> DataFrame:
     """Documents that hold every query word, with the ranking values: ``doc_id, words, typos,
     proximity, best_field, exact``."""
     words = list(dict.fromkeys(query.lower().split()))
     # Only postings of terms that answer a word are moved; the others find no partner in the join.
     asked = posts.where(reduce(Column.__or__, [_answers(w, typos)[0] for w in words]))
-    hits = asked.join(expand_query(vocab, words, typos), "term")
+    hits = with_terms(asked, expand_query(vocab, words, typos))
     per_word = hits.groupBy("doc_id", "word").agg(
         F.min("typos").alias("typos"), F.min("field").alias("field"), F.max("exact").alias("exact"),
         F.min(F.struct("field", "first_pos"))["first_pos"].alias("pos"))

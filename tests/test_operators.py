@@ -249,3 +249,29 @@ def test_search_moves_only_asked_postings(spark):
     hits = SE.match_documents(posts, SE.vocabulary(posts), "the")
     assert "StartsWith(term" in hits._jdf.queryExecution().optimizedPlan().toString().split("Join")[1].replace("startswith(", "StartsWith(")
     assert {r["doc_id"] for r in hits.collect()} == {1, 2}
+
+
+def _unsplit(spark, fn):
+    """Row counts of the tasks of what ``fn`` gives, with no help from run-time splits or broadcasts."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        return [r["count"] for r in fn().groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_a_term_of_all_documents_meets_its_word_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(SE, "TERM_ROWS", 100)
+    words = [(w, i, 4, 1, 0) for i in range(4000) for w in ("the", f"the{i}")] + [("other", 1, 4, 1, 1), ("the", None, 4, 1, 0), (None, 1, 4, 1, 0)]
+    posts = spark.createDataFrame(words, "term string, doc_id int, field int, tf int, first_pos int")
+    terms = SE.expand_query(SE.vocabulary(posts), ["the"], False)
+    plan = SE.with_terms(posts, terms)._jdf.queryExecution().executedPlan().toString()
+    assert all("_part" in x for x in plan.split("hashpartitioning(term")[1:3])
+    each = _unsplit(spark, lambda: SE.with_terms(posts, terms))
+    assert sum(each) == 8001 and max(each) < 400
+    got = SE.match_documents(posts, SE.vocabulary(posts), "the")
+    assert got.where("words = 1 AND exact = 1 AND best_field = 4").count() == 4001 == got.count()
