@@ -12,6 +12,7 @@ from .scan import prefix_scan
 from .upsert import latest_by_key, upsert
 
 FAILED = ["failed", "failed_permanent"]
+ITEM_ROWS = 250_000            # items of issues that a task takes at a time
 
 
 def status_open(status="status") -> Column:
@@ -105,12 +106,16 @@ def exhausted_listings(pages: DataFrame, key: list[str], page: str, items: str,
 
 def expand_issues(issues: DataFrame, topics: DataFrame, done: DataFrame) -> DataFrame:
     """Items of issue pages: each topic, then the issue itself, without what is completed.
-    ``issues(issue_id)``, ``topics(issue_id, topic_id)``."""
-    open_issues = issues.select("issue_id").distinct().join(
+    ``issues(issue_id)``, ``topics(issue_id, topic_id)``. Topics meet their issue, and equal items each other, in partitions
+    of about ``ITEM_ROWS`` rows: their number follows the rows, which are counted first."""
+    size = issues.count() + topics.count()
+    parts = max(topics.sparkSession.sparkContext.defaultParallelism, -(-size // ITEM_ROWS))
+    open_issues = issues.select("issue_id").repartition(parts, "issue_id").distinct().join(
         done.select(F.col("id").alias("issue_id")), "issue_id", "left_anti")
-    rows = topics.join(open_issues, "issue_id", "left_semi").select("issue_id", F.col("topic_id").alias("id"))
+    rows = topics.repartition(parts, "issue_id").join(open_issues, "issue_id", "left_semi").select("issue_id", F.col("topic_id").alias("id"))
     rows = rows.union(open_issues.select("issue_id", F.col("issue_id").alias("id")))
-    return rows.distinct().join(done.select("id"), "id", "left_anti").select("issue_id", "id")
+    rows = rows.repartition(parts, "issue_id", "id").distinct()
+    return rows.join(done.select("id"), "id", "left_anti").select("issue_id", "id")
 
 
 def drain_order(tasks: DataFrame, seed: str) -> DataFrame:

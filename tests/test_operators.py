@@ -275,3 +275,17 @@ def test_a_term_of_all_documents_meets_its_word_in_many_tasks(spark, monkeypatch
     assert sum(each) == 8001 and max(each) < 400
     got = SE.match_documents(posts, SE.vocabulary(posts), "the")
     assert got.where("words = 1 AND exact = 1 AND best_field = 4").count() == 4001 == got.count()
+
+
+def test_issues_meet_their_topics_in_bounded_partitions(spark, monkeypatch):
+    monkeypatch.setattr(FR, "ITEM_ROWS", 100)
+    issues = spark.createDataFrame([(f"i{k}",) for k in range(500)] + [("i1",), (None,)], "issue_id string")
+    topics = spark.createDataFrame([(f"i{k % 600}", f"t{k % 900}") for k in range(4000)] + [("i1", None), (None, "t1")], "issue_id string, topic_id string")
+    done = spark.createDataFrame([("i3",), ("t5",), ("t5",)], "id string")
+    out = FR.expand_issues(issues, topics, done)
+    plan, parts = out._jdf.queryExecution().executedPlan().toString(), (502 + 4002) // 100 + 1
+    assert plan.count(f", {parts}), ") >= 5
+    want = {(f"i{k % 600}", f"t{k % 900}") for k in range(4000) if k % 600 < 500 and k % 600 != 3 and k % 900 != 5}
+    want |= {(f"i{k}", f"i{k}") for k in range(500) if k != 3} | {("i1", None), (None, None)}
+    rows = [tuple(r) for r in out.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
