@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from corpusflow.llm.common import append, batch_bytes, components, mix, release, stored, without, word_hashes
@@ -227,17 +227,36 @@ def join_sets(sets: list[np.ndarray], block: np.ndarray, other: int | None, num:
 _LINKS = StructType([StructField("u", BinaryType()), StructField("v", BinaryType())])
 
 
-def _join_cell(num: int, den: int):
+def _join_cell(words: int, num: int, den: int):
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         a, b = key[1].as_py(), key[2].as_py()
         fp = table.column("_fp").to_pylist()
-        sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("_set").to_pylist()]
+        sets = [shingles(x, words) for batch in table.to_batches() for x in batch_bytes(batch, "_text")]
         block = table.column("_block").to_numpy()
         links = join_sets(sets, block, b if a != b else None, num, den)
         return pa.table({"u": pa.array([fp[i] for i, _ in links], pa.binary()), "v": pa.array([fp[j] for _, j in links], pa.binary())})
     return run
 
 
+BANDS = 1 << 32                   # numbers of blocks that a band may have
+
+
+def size_band(size: str, num: int = NUM, den: int = DEN):
+    """Band of a set by its size: linked sets, of which the smaller has at least num / den of the larger's elements, are in
+    one band or in two neighbours (the width is a little over that ratio, for rounding)."""
+    return F.floor(F.log(F.col(size).cast("double")) / max(float(np.log(den / num)) * (1 + 1e-9), 1e-12))
+
+
+def with_neighbours(band: DataFrame) -> DataFrame:
+    """(root, _band, _blocks) with the blocks that a block of the band is compared with: those of its own and of the
+    neighbour bands. A class has as many bands as its sizes span, not as it has members."""
+    row = Window.partitionBy("root").orderBy("_band")
+    near = [F.when(f("_band").over(row) == F.col("_band") + d, f("_blocks").over(row)).otherwise(0) for f, d in ((F.lag, -1), (F.lead, 1))]
+    out = band.select("*", near[0].alias("_below"), near[1].alias("_above"))
+    part = lambda n, d: f"IF({n} > 0, transform(sequence(0L, {n} - 1), x -> (_band + {d}) * {BANDS}L + x), array())"
+    return out.withColumn("_cells", F.expr(f"concat({part('_below', -1)}, {part('_blocks', 0)}, {part('_above', 1)})")).drop("_below", "_above")
+
+
 def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = NGRAM, num: int = NUM, den: int = DEN) -> DataFrame:
     """(doc_id, n_shingles, component_id, set_fp, class_fp), a row a document: the size of its set, the smallest doc_id
     reachable over links, and fingerprints of its set and of its class (null for an empty set).
@@ -253,7 +272,7 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words:
     2. Equal sets become one row. Sets that share a key are candidates: each is tied to the smallest of its key, and
        the connected classes of these ties hold every linked pair. A key is one sum and one join, however many share it.
     3. Only sets in a candidate class of two or more are fetched, each once, and compared within its class: blocks of
-       about ``BLOCK_SHINGLES`` elements, each block and each pair of blocks of a large class in a task of its own.
+       about ``BLOCK_SHINGLES`` elements and of sizes that can link, each block and each pair of such blocks in a task.
        A cell builds the R-tree, probes it and verifies.
     4. The connected classes of the found links are the result."""
     d = F.col(f"`{doc_id}`")
@@ -270,29 +289,30 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words:
     ties = pairs.join(hub, "_key").where("_r <> u").select("u", F.col("_r").alias("v"))
     cand = components(ties, "ngram-candidates").withColumnRenamed("node", "_r")
     release(spark)
-    # Blocks of a class by its elements; a class of one block is one cell.
+    # A class of one block is one cell. A larger one is cut into bands of sizes, so wide that linked sets are at most one
+    # band apart, and each band into blocks.
     cand = cand.join(reps, "_r")
-    big = cand.groupBy("root").agg(F.sum("_n").alias("_all"), F.count("*").alias("_members")).withColumn("_blocks", F.ceil(F.col("_all") / BLOCK_SHINGLES).cast("int"))
-    cand = stored(cand.join(big.where("_members > 1"), "root").withColumn("_block", F.pmod(F.xxhash64("_fp"), F.col("_blocks")).cast("int"))
-                  .select(F.col("_fp").alias("node"), "root", "_min", "_block", "_blocks", "_repeated"), "ngram-members")
+    big = cand.groupBy("root").agg(F.sum("_n").alias("_all"), F.count("*").alias("_members")).where("_members > 1").drop("_members")
+    cand = cand.join(big, "root").withColumn("_band", F.when(F.col("_all") > BLOCK_SHINGLES, size_band("_n", num, den)).otherwise(0))
+    band = cand.groupBy("root", "_band").agg(F.ceil(F.sum("_n") / BLOCK_SHINGLES).alias("_blocks"))
+    cand = cand.join(with_neighbours(band), ["root", "_band"]).withColumn("_block", F.col("_band") * BANDS + F.pmod(F.xxhash64("_fp"), F.col("_blocks")))
+    cand = stored(cand.select(F.col("_fp").alias("node"), "root", "_min", "_block", "_cells", "_repeated"), "ngram-members")
     # The texts of the members, found by id and told apart by fingerprint.
     texts = narrow.join(cand.select("_min").distinct(), narrow["_id"].eqNullSafe(cand["_min"]), "left_semi")
 
-    def sets(batch: pa.RecordBatch):
-        fp, hs = [], []
-        for b in batch_bytes(batch, "_text"):
-            h = shingles(b, words)
-            fp.append(fingerprint(h) if len(h) else None), hs.append(h.tobytes())
-        return [pa.array(fp, pa.binary()), pa.array(hs, pa.binary())]
+    def fps(batch: pa.RecordBatch):
+        hs = [shingles(b, words) for b in batch_bytes(batch, "_text")]
+        return [pa.array([fingerprint(h) if len(h) else None for h in hs], pa.binary())]
 
-    found = without(append(texts, [StructField("_fp", BinaryType()), StructField("_set", BinaryType())], sets), ["_text"])
+    # Texts move, not sets: a text takes about a third of the bytes of its hashes, and a cell makes them again.
+    found = append(texts, [StructField("_fp", BinaryType())], fps)
     members = (found.join(cand, (found["_fp"] == cand["node"]) & found["_id"].eqNullSafe(cand["_min"]))
-               .select("root", "_fp", "_set", "_block", "_blocks", "_repeated"))
-    # Only of a row that occurs twice a set comes twice.
+               .select("root", "_fp", "_text", "_block", "_cells", "_repeated"))
+    # Only of a row that occurs twice a text comes twice.
     members = members.where("NOT _repeated").unionByName(members.where("_repeated").dropDuplicates(["root", "_fp"]))
-    cells = (members.withColumn("_o", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-             .select("root", F.least("_block", "_o").alias("_a"), F.greatest("_block", "_o").alias("_b"), "_fp", "_set", "_block"))
-    links = cells.groupBy("root", "_a", "_b").applyInArrow(_join_cell(num, den), _LINKS)
+    cells = (members.withColumn("_o", F.explode("_cells"))
+             .select("root", F.least("_block", "_o").alias("_a"), F.greatest("_block", "_o").alias("_b"), "_fp", "_text", "_block"))
+    links = cells.groupBy("root", "_a", "_b").applyInArrow(_join_cell(words, num, den), _LINKS)
     linked = components(links, "ngram-links")
     release(spark)
     lowest = linked.join(reps.select(F.col("_fp").alias("node"), "_min"), "node").groupBy("root").agg(F.min("_min").alias("_low"))

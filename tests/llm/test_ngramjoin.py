@@ -200,3 +200,32 @@ def test_five_words_and_four_fifths_as_in_the_pipeline(spark):
     assert sorted((r["doc_id"], r["component_id"]) for r in N.classes(df, words=5, num=80, den=100).collect()) == want
     assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, df, "").collect()) == sorted({c for _, c in want})
     assert (901, 900) in want and (901, 901) in [(r["doc_id"], r["component_id"]) for r in N.classes(df).collect()]
+
+
+def test_linked_sizes_are_in_one_band_or_two_neighbours(spark):
+    for num, den in ((90, 100), (80, 100), (1, 2), (1, 1)):
+        pairs = [(-(-n * num // den), n) for n in range(1, 3000)]
+        rows = spark.createDataFrame(pairs, "a long, b long").select((N.size_band("b", num, den) - N.size_band("a", num, den)).alias("d"))
+        assert rows.where("d NOT BETWEEN 0 AND 1").count() == 0
+
+
+def test_a_large_class_goes_in_blocks_of_near_sizes(spark, monkeypatch):
+    """A chain of growing texts, each linked with the next: the links stay, and a text goes to the blocks of sizes near its
+    own only."""
+    words = [f"w{i}" for i in range(2000)]
+    sizes = [80]
+    while sizes[-1] < 900:
+        sizes.append(sizes[-1] * 105 // 100)
+    docs = [(100 - k, " ".join(words[:n])) for k, n in enumerate(sizes)] + [(500 + k, f"other{k} " + " ".join(f"v{k}x{i}" for i in range(50))) for k in range(5)]
+    monkeypatch.setattr(N, "BLOCK_SHINGLES", 500)
+    cells, real = [], N.with_neighbours
+
+    def look(band):
+        out = real(band)
+        cells.extend(out.select("_blocks", "_cells").collect())
+        return out
+    monkeypatch.setattr(N, "with_neighbours", look)
+    got = {r["doc_id"]: r["component_id"] for r in N.classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {d: 101 - len(sizes) if d <= 100 else d for d, _ in docs}
+    blocks = sum(r["_blocks"] for r in cells)
+    assert len(cells) > 10 and max(len(r["_cells"]) for r in cells) < blocks / 2
