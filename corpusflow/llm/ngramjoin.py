@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
@@ -17,6 +19,11 @@ BUCKETS, BUCKET_BLOCK = 1 << 23, 1 << 12      # counters of the frequency table,
 TASKS = 64                        # tables of tasks that are added up first
 STEPS = 12                        # steps of a weight in a doubling of the frequency
 SEEN = 1 << 16                    # sets a task remembers
+PART_FROM, SPARE = 6, 8           # elements of a part from which on parts make keys; one spare part for so many
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_TOPS = [1]                       # largest size of each level, a quarter more than that of the one before
+while _TOPS[-1] < 1 << 62:
+    _TOPS.append(max(_TOPS[-1] + 1, _TOPS[-1] * 5 // 4))
 
 
 def shingles(text, n: int = NGRAM) -> np.ndarray:
@@ -42,7 +49,44 @@ def _bucket(h: np.ndarray) -> np.ndarray:
 
 
 def keys(h: np.ndarray, num: int = NUM, den: int = DEN, weight: np.ndarray | None = None) -> np.ndarray:
-    """Keys of a set, one of which every linked pair of sets shares.
+    """Keys of a set, one of which every linked pair of sets shares: of parts of the set (``part_keys``) where a part
+    holds ``PART_FROM`` elements or more, else of single elements (``element_keys``)."""
+    if not len(h):
+        return np.zeros(0, dtype=np.int64)
+    return (part_keys if num >= PART_FROM * (den - num) else element_keys)(h, num, den, weight)
+
+
+def part_keys(h: np.ndarray, num: int, den: int, weight: np.ndarray | None) -> np.ndarray:
+    """Keys of a set from parts of it: a part is one key with all its elements, so texts that have a passage in common
+    share none, unless it fills whole parts.
+
+    A linked pair whose smaller set is at most ``_TOPS[level]`` large differs in at most k elements (``changed``). With the
+    elements dealt by hash into k + 1 + spare parts, spare + 1 parts at least are equal. In one order of parts by
+    their contents, the same for all sets, the first of these is among the first k + 1 parts of either set: the ``spare``
+    last ones, which are empty, small or hold what many texts share, need no key. A set has keys for each level that the
+    smaller set of its pairs can have, mostly one or two."""
+    n, out = len(h), []
+    w = np.zeros(n, dtype=np.uint8) if weight is None else weight[_bucket(h)]
+    own = mix(h)
+    for level in range(bisect_left(_TOPS, -(-n * num // den)), bisect_left(_TOPS, n) + 1):
+        k = changed(_TOPS[level], num, den)
+        m, salt = k + 1 + k // SPARE, mix(np.array([level + 29], dtype=np.uint64))
+        part = (mix(h ^ salt) % np.uint64(m)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        at = np.flatnonzero(np.diff(part[order], prepend=-1))
+        ids, count = part[order[at]], np.diff(at, append=n)
+        content = np.add.reduceat(own[order], at, dtype=np.uint64)
+        best = np.lexsort((ids, content, -count, np.minimum.reduceat(w[order], at)))[:k + 1]
+        ids, content = ids[best], content[best]
+        if len(ids) <= k:                                     # empty parts come last
+            empty = np.setdiff1d(np.arange(m), ids)[:k + 1 - len(ids)]
+            ids, content = np.append(ids, empty), np.append(content, np.zeros(len(empty), dtype=np.uint64))
+        out.append(mix(content ^ mix(ids.astype(np.uint64) * _ODD + salt)))
+    return np.unique(np.concatenate(out)).view(np.int64)
+
+
+def element_keys(h: np.ndarray, num: int, den: int, weight: np.ndarray | None) -> np.ndarray:
+    """Keys of a set from single elements.
 
     A linked pair of sets has at least ceil(size * num / den) elements in common, whichever size is meant. So among the
     first size - ceil(size * num / den) + 1 elements of each set, in an order that is the same for all sets, one is in both
@@ -50,8 +94,6 @@ def keys(h: np.ndarray, num: int = NUM, den: int = DEN, weight: np.ndarray | Non
     and the one by rising frequency leaves what many texts share to the end, where it is no key of a text that has
     enough of its own. The second part of a key is a size level (powers of four) that the pair's smaller set can have."""
     n = len(h)
-    if not n:
-        return np.zeros(0, dtype=np.int64)
     common = -(-n * num // den)
     first = h if weight is None else h[np.lexsort((h, weight[_bucket(h)]))]
     first = mix(first[:n - common + 1])

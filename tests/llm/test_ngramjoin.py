@@ -121,6 +121,35 @@ def test_any_order_of_the_elements_keeps_links_and_unrelated_sets_share_no_key(n
     assert shared < pairs / 100
 
 
+def test_texts_of_common_passages_share_no_key():
+    """Each text is made of passages that tens of others have too, each with other ones: none are linked, few share a key."""
+    rng = np.random.default_rng(31)
+    pool = [rng.integers(0, 2**63, 40, dtype=np.uint64) for _ in range(60)]
+    sets = [np.unique(np.concatenate([pool[i] for i in rng.choice(60, size=int(n), replace=False)])) for n in rng.integers(3, 9, 120)]
+    weight = np.full(N.BUCKETS, 50, dtype=np.uint8)
+    ks = [N.keys(h, 90, 100, weight) for h in sets]
+    shared = sum(bool(len(np.intersect1d(ks[i], ks[j]))) for i in range(120) for j in range(i))
+    assert shared < 72                                       # of 7,140 pairs
+
+
+def test_linked_sets_share_a_part():
+    """Any sizes, weights that tell elements apart or do not, and thresholds on both sides of the choice of keys."""
+    rng = np.random.default_rng(32)
+    draw = lambda n: np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+    weights = [None, rng.integers(0, 9, N.BUCKETS).astype(np.uint8)]
+    linked = 0
+    for i in range(3000):
+        n, num = int(rng.choice([1, 8, 9, 10, 18, 40, 73, 200, 900])), int(rng.choice([86, 90, 95]))
+        a = draw(n)
+        cut = int(rng.integers(0, n // 9 + 1))
+        b = np.unique(np.concatenate([a[cut:], draw(int(rng.integers(0, n // 9 - cut + 1)))]))
+        both, union = len(np.intersect1d(a, b)), len(np.union1d(a, b))
+        if 100 * both >= num * union:
+            linked += 1
+            assert len(np.intersect1d(N.keys(a, num, 100, weights[i % 2]), N.keys(b, num, 100, weights[i % 2]))), (num, len(a), len(b))
+    assert linked > 1000
+
+
 def test_weights_follow_how_often_elements_occur(spark, monkeypatch):
     """Counted in several tasks, added up over salts; null and empty texts count nothing."""
     line = "this very common line stands in all"
