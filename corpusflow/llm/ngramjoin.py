@@ -7,9 +7,9 @@ from bisect import bisect_left
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
-from corpusflow.llm.common import append, batch_bytes, components, mix, release, stored, without, word_hashes
+from corpusflow.llm.common import append, batch_bytes, components, discard, mix, release, stored, without, word_hashes
 
 NGRAM, NUM, DEN = 3, 90, 100      # words of a shingle; links from NUM * union <= DEN * intersection on
 DIMS = 64                         # groups of a count vector
@@ -20,6 +20,7 @@ TASKS = 64                        # tables of tasks that are added up first
 STEPS = 12                        # steps of a weight in a doubling of the frequency
 SEEN = 1 << 16                    # sets a task remembers
 PART_FROM, SPARE = 6, 8           # elements of a part from which on parts make keys; one spare part for so many
+CELL_SETS, CELL_BYTES = 2048, 1 << 22         # sketches of a block of the sets that share a key, and their bytes
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _TOPS = [1]                       # largest size of each level, a quarter more than that of the one before
 while _TOPS[-1] < 1 << 62:
@@ -167,14 +168,42 @@ def fingerprint(h: np.ndarray) -> bytes:
     return int(a).to_bytes(8, "big") + int(b).to_bytes(8, "big")
 
 
-_SIG = [StructField("n_shingles", LongType()), StructField("_fp", BinaryType()), StructField("_r", LongType()), StructField("_keys", ArrayType(LongType()))]
+def sketch(h: np.ndarray) -> bytes:
+    """Parities of the numbers of elements in groups by hash, a power of two of them from three quarters of the set's size
+    on: two sets differ in at least as many elements as their parities do. Halves laid on each other (``folded``) are
+    the sketch of half as many groups."""
+    groups = 64
+    while 4 * groups < 3 * len(h):
+        groups *= 2
+    odd = np.bincount((h & np.uint64(groups - 1)).astype(np.int64), minlength=groups) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(sketches: np.ndarray, width: int) -> np.ndarray:
+    """Rows of sketches (64 groups a number) as sketches of ``width`` numbers."""
+    while sketches.shape[1] > width:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
+def may_link(a: np.ndarray, b: np.ndarray, size_a, size_b, num: int = NUM, den: int = DEN) -> np.ndarray:
+    """Which rows of two tables of sketches (one of which can have a single row) can be of linked sets, which differ in
+    (den - num) / (den + num) of their sizes' sum at most."""
+    width = min(a.shape[1], b.shape[1])
+    apart = np.bitwise_count(folded(a, width) ^ folded(b, width)).sum(axis=1, dtype=np.int64)
+    return (apart * (den + num) <= (size_a + size_b) * (den - num)) & (size_a * den >= size_b * num) & (size_b * den >= size_a * num)
+
+
+_SIG = [StructField("n_shingles", LongType()), StructField("_fp", BinaryType()), StructField("_r", LongType()), StructField("_keys", ArrayType(LongType())),
+        StructField("_sketch", BinaryType())]
 
 
 def _signatures(text: str, words: int, num: int, den: int, weight: np.ndarray):
     seen: set[bytes] = set()
 
     def run(batch: pa.RecordBatch):
-        n, fp, short, ks = [], [], [], []
+        n, fp, short, ks, sk = [], [], [], [], []
         for b in batch_bytes(batch, text):
             h = shingles(b, words)
             f = fingerprint(h) if len(h) else None
@@ -182,14 +211,134 @@ def _signatures(text: str, words: int, num: int, den: int, weight: np.ndarray):
             again = f is None or f in seen
             n.append(len(h)), fp.append(f), short.append(int.from_bytes(f[:8], "big", signed=True) if f else None)
             ks.append(np.zeros(0, dtype=np.int64) if again else keys(h, num, den, weight))
+            sk.append(None if again else sketch(h))
             if not again:
                 if len(seen) >= SEEN:
                     seen.clear()
                 seen.add(f)
-        return [pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(short, pa.int64()), pa.array(ks, pa.list_(pa.int64()))]
+        return [pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(short, pa.int64()), pa.array(ks, pa.list_(pa.int64())), pa.array(sk, pa.binary())]
+    return run
+
+
+_NEAR = StructType([StructField("u", LongType()), StructField("v", LongType()), StructField("near", BooleanType())])
+_TIES = StructType(_NEAR.fields[:2])
+
+
+def _widths(sketches: list[bytes]) -> dict[int, np.ndarray]:
+    """Places of the sketches of each width."""
+    width = np.array([len(x) // 8 for x in sketches])
+    return {int(w): np.flatnonzero(width == w) for w in np.unique(width)}
+
+
+def _rows(sketches: list[bytes], at: np.ndarray) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches[i] for i in at.tolist()), "<u8").reshape(len(at), -1)
+
+
+def _near_batches(num: int, den: int):
+    def run(batches):
+        for batch in batches:
+            a, b = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("a", "b"))
+            n, m = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("n", "m"))
+            near = np.zeros(len(a), dtype=bool)
+            others = _widths(b)
+            for x in _widths(a).values():
+                for y in others.values():
+                    at = np.intersect1d(x, y, assume_unique=True)
+                    for part in np.array_split(at, 1 + len(at) // CELL_SETS):
+                        if len(part):
+                            near[part] = may_link(_rows(a, part), _rows(b, part), n[part], m[part], num, den)
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("u")), batch.column(batch.schema.get_field_index("v")), pa.array(near)], names=_NEAR.names)
+    return run
+
+
+def ties_in_cell(rows: list[tuple], num: int = NUM, den: int = DEN) -> list[tuple[int, int]]:
+    """Ties between the sets of a cell, rows (block, r, loose, n, sketch), that make the same connected classes as all pairs
+    whose sketches can be of linked sets. Sets that are not loose are tied already; in a cell of two blocks only pairs
+    across them are looked at."""
+    block, ids, loose, sizes = (np.array([x[c] for x in rows]) for c in range(4))
+    cross, sketches = len(np.unique(block)) > 1, [x[4] for x in rows]
+    tables = {w: (at, _rows(sketches, at)) for w, at in _widths(sketches).items()}
+    root = np.where(loose, np.arange(len(rows)), -1)
+    cache: dict[tuple[int, int], np.ndarray] = {}
+    out = []
+    for i in np.flatnonzero(loose).tolist():
+        own = np.frombuffer(sketches[i], "<u8")[None, :]
+        for w, (at, table) in tables.items():
+            ask = (root[at] != root[i]) & (~loose[at] | (at > i)) & (sizes[at] * den >= sizes[i] * num) & (sizes[i] * den >= sizes[at] * num)
+            if cross:
+                ask &= block[at] != block[i]
+            if not ask.any():
+                continue
+            width = min(w, own.shape[1])
+            if (w, width) not in cache:
+                cache[w, width] = folded(table, width)
+            at = at[ask]
+            for j in at[may_link(cache[w, width][ask], own, sizes[at], sizes[i], num, den)].tolist():
+                if root[j] != root[i]:
+                    out.append((int(ids[i]), int(ids[j])))
+                    root[root == root[j]] = root[i]
+    return out
+
+
+def _tie_batches(num: int, den: int):
+    """Cells, one after the other, to ties."""
+    def batch_of(out):
+        return pa.RecordBatch.from_arrays([pa.array([x[c] for x in out], pa.int64()) for c in (0, 1)], names=_TIES.names)
+
+    def run(batches):
+        cell, rows = None, []
+        for batch in batches:
+            out = []
+            for k, a, b, *x in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("_key", "_a", "_b", "_block", "_r", "loose", "n_shingles", "_sketch"))):
+                if (k, a, b) != cell:
+                    out += ties_in_cell(rows, num, den) if rows else []
+                    cell, rows = (k, a, b), []
+                rows.append(tuple(x))
+            yield batch_of(out)
+        if rows:
+            yield batch_of(ties_in_cell(rows, num, den))
     return run
 
 
+def candidate_ties(sig: DataFrame, num: int, den: int) -> DataFrame:
+    """(u, v) of sets that share a key and whose sketches can be of linked sets, enough of them that every linked pair is
+    connected by them.
+
+    The sets of a key are compared with the smallest of it. What is loose, as its sketch is too far from the smallest's, is
+    compared with the key's others, in cells of two blocks of about ``CELL_SETS`` sets; of keys with the same sets one is
+    looked at. This grows with the loose ones times the sets of a key, of sketches of about an eighth of a byte an element."""
+    spark = sig.sparkSession
+    pairs = sig.select("_r", F.explode("_keys").alias("_key"))
+    hub = pairs.groupBy("_key").agg(F.min("_r").alias("u"), F.max("_r").alias("_last")).where("u <> _last")
+    met = stored(pairs.join(hub, "_key").where("_r <> u"), "ngram-met")
+    release(spark)
+    sets = met.select("_r").unionByName(met.select(F.col("u").alias("_r"))).distinct()
+    sets = stored(sig.where("_sketch IS NOT NULL").select("_r", "n_shingles", "_sketch").join(sets, "_r", "left_semi").distinct(), "ngram-sketches")
+    side = lambda r, n, s: sets.select(F.col("_r").alias(r), F.col("n_shingles").alias(n), F.col("_sketch").alias(s))
+    asked = met.select("u", F.col("_r").alias("v")).distinct().join(side("u", "n", "a"), "u").join(side("v", "m", "b"), "v")
+    asked = stored(asked.mapInArrow(_near_batches(num, den), _NEAR).groupBy("u", "v").agg(F.max("near").alias("near")), "ngram-asked")
+    # A key of two sets has nothing left to compare: of more, some are neither the smallest nor the largest.
+    between = met.where("_r <> _last")
+    rest = between.select("_key", "u", "_r").unionByName(between.select("_key", "u", F.col("_last").alias("_r"))).distinct()
+    far = asked.where("NOT near").select("u", F.col("v").alias("_r"), F.lit(True).alias("loose"))
+    rest = stored(rest.join(far, ["u", "_r"], "left").select("_key", "_r", F.coalesce("loose", F.lit(False)).alias("loose")), "ngram-rest")
+    discard(met)
+    same = rest.groupBy("_key").agg(F.bit_xor(F.xxhash64("_r", "loose")).alias("x"), F.bit_xor(F.xxhash64("loose", "_r")).alias("y"), F.count("*").alias("n"), F.count_if("loose").alias("l"))
+    once = same.where("n > 1 AND l > 0").groupBy("x", "y", "n", "l").agg(F.min("_key").alias("_key")).select("_key")
+    rows = stored(rest.join(once, "_key", "left_semi").join(sets, "_r"), "ngram-cells")
+    blocks = rows.groupBy("_key").agg(F.ceil(F.greatest(F.count("*") / CELL_SETS, F.sum(F.octet_length("_sketch")) / CELL_BYTES)).alias("_blocks"))
+    cells = (rows.join(blocks, "_key").withColumn("_block", F.pmod(F.xxhash64("_r"), F.col("_blocks")))
+             .withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+             .withColumn("_a", F.least("_block", "_o")).withColumn("_b", F.greatest("_block", "_o")).drop("_o", "_blocks"))
+    # So many tasks, though the rows are few: their work grows with the square of a cell.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = cells.repartition(tasks, "_key", "_a", "_b").sortWithinPartitions("_key", "_a", "_b").mapInArrow(_tie_batches(num, den), _TIES)
+    ties = stored(asked.where("near").select("u", "v").unionByName(found), "ngram-ties")
+    for table in (rest, rows, asked, sets):
+        discard(table)
+    return ties
+
+
 class RTree:
     """Points in boxes: leaves of at most ``LEAF`` points, packed by sort-tile-recursive order, and levels of boxes of
     boxes. A box holds the largest count per coordinate and the smallest and largest set size below."""
@@ -311,8 +460,9 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words:
 
     1. A first pass counts how often elements occur (``frequency_weights``). A second one gives the size, a fingerprint and
        the keys of each text's set (see ``keys``); texts are not moved.
-    2. Equal sets become one row. Sets that share a key are candidates: each is tied to the smallest of its key, and
-       the connected classes of these ties hold every linked pair. A key is one sum and one join, however many share it.
+    2. Equal sets become one row. Sets that share a key are candidates if their sketches can be of linked sets
+       (``candidate_ties``): the connected classes of these ties hold every linked pair, and texts that have no more than a
+       passage in common are not tied by it. A key is one sum and one join, however many share it.
     3. Only sets in a candidate class of two or more are fetched, each once, and compared within its class: blocks of
        about ``BLOCK_SHINGLES`` elements and of sizes that can link, each block and each pair of such blocks in a task.
        A cell builds the R-tree, probes it and verifies.
@@ -321,14 +471,15 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words:
     narrow = docs.select(d.alias("_id"), F.col(f"`{text}`").alias("_text"))
     spark = docs.sparkSession
     weight = frequency_weights(narrow.select("_text"), "_text", words)
+    release(spark)
     sig = stored(without(append(narrow, _SIG, _signatures("_text", words, num, den, weight)), ["_text"]), "ngram-signatures")
     same = sig.where("n_shingles > 0").groupBy("_fp", "_id").agg(F.count("*").alias("_c"), F.max("n_shingles").alias("_n"), F.max("_r").alias("_r"))
     reps = stored(same.groupBy("_fp").agg(F.min("_id").alias("_min"), F.max("_n").alias("_n"), F.max("_r").alias("_r"), (F.max("_c") > 1).alias("_repeated")), "ngram-sets")
     release(spark)
     # Candidates are tied by half of the fingerprint: two sets that share it are at worst compared in vain.
-    pairs = sig.select("_r", F.explode("_keys").alias("_key"))
-    hub = pairs.groupBy("_key").agg(F.min("_r").alias("u"), F.max("_r").alias("_last")).where("u <> _last").drop("_last")
-    ties = pairs.join(hub, "_key").where("_r <> u").select("u", F.col("_r").alias("v"))
+    ties = candidate_ties(sig, num, den)
+    keyed, sig = sig, stored(sig.select("_id", "n_shingles", "_fp"), "ngram-rows")
+    discard(keyed)                                            # the keys are many times as large as the rest
     cand = components(ties, "ngram-candidates").withColumnRenamed("node", "_r")
     release(spark)
     # A class of one block is one cell. A larger one is cut into bands of sizes, so wide that linked sets are at most one
@@ -366,6 +517,33 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words:
                       F.col("_fp").alias("set_fp"), "class_fp")
 
 
+_PLACE = [StructField("_fp", BinaryType()), StructField("_salt", LongType())]
+
+
+def _first_rows(text: str, doc_id: str, words: int):
+    """Rows with the fingerprints of their sets, without those whose id and set this task has passed on; rows with an empty
+    set all stay, numbered."""
+    def run(batches):
+        seen, empty = set(), 0
+        for batch in batches:
+            fp, salt, stay = [], [], []
+            for i, (b, d) in enumerate(zip(batch_bytes(batch, text), batch.column(batch.schema.get_field_index(doc_id)).to_pylist())):
+                h = shingles(b, words)
+                f = fingerprint(h) if len(h) else None
+                if f is None:
+                    empty += 1
+                elif (f, repr(d)) in seen:
+                    continue
+                else:
+                    if len(seen) >= SEEN:
+                        seen.clear()
+                    seen.add((f, repr(d)))
+                fp.append(f), salt.append(0 if f else empty % (1 << 20)), stay.append(i)
+            rows = batch if len(stay) == batch.num_rows else batch.take(pa.array(stay, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(fp, pa.binary()), pa.array(salt, pa.int64())], names=[*batch.schema.names, *(f.name for f in _PLACE)])
+    return run
+
+
 def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = NGRAM, num: int = NUM, den: int = DEN) -> DataFrame:
     """The rows of ``docs`` without near copies: of each class the row with the smallest id (null last), of equal ids
     that with the smallest fingerprint, of rows equal in both any one. Documents with an empty set all stay. The
@@ -376,13 +554,12 @@ def representatives(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     best = rows.groupBy("class_fp").agg(pick).select("p.i", "p.f")
     keep = stored(best.join(rows, (best["f"] == rows["set_fp"]) & best["i"].eqNullSafe(rows["doc_id"])).select(F.col("i").alias("_ki"), F.col("f").alias("_kf"), "_kn"), "ngram-kept")
 
-    def fps(batch: pa.RecordBatch):
-        hs = [shingles(b, words) for b in batch_bytes(batch, text)]
-        return [pa.array([fingerprint(h) if len(h) else None for h in hs], pa.binary())]
-
-    marked = append(docs, [StructField("_fp", BinaryType())], fps)
-    out = marked.join(keep, (marked["_fp"] == F.col("_kf")) & marked[doc_id].eqNullSafe(F.col("_ki")), "left")
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    # Only a repeated row has to be found among its equals.
-    once = out.where("_fp IS NULL OR _kn = 1").select(names)
-    return once.unionByName(out.where("_kn > 1").dropDuplicates(["_kf", "_ki"]).select(names))
+    # The rows move once, to their class's choice, so of equal ones the first is picked there: few, as a task passes a row's
+    # equals on once only. Rows with an empty set go to many places.
+    marked = docs.mapInArrow(_first_rows(text, doc_id, words), StructType([*docs.schema.fields, *_PLACE]))
+    marked = marked.withColumn("_k", F.struct(F.col("_fp").alias("f"), F.col(f"`{doc_id}`").alias("i"), F.col("_salt").alias("s")))
+    keep = keep.select(F.struct(F.col("_kf").alias("f"), F.col("_ki").alias("i"), F.lit(0).cast("long").alias("s")).alias("_kk"), "_kn")
+    release(docs.sparkSession)
+    out = marked.join(keep, F.col("_k") == F.col("_kk"), "left").where("_fp IS NULL OR _kn IS NOT NULL")
+    out = out.withColumn("_row", F.row_number().over(Window.partitionBy("_k").orderBy("_k"))).where("_fp IS NULL OR _row = 1")
+    return out.select([F.col(f"`{c}`") for c in docs.columns])

@@ -258,3 +258,89 @@ def test_a_large_class_goes_in_blocks_of_near_sizes(spark, monkeypatch):
     assert got == {d: 101 - len(sizes) if d <= 100 else d for d, _ in docs}
     blocks = sum(r["_blocks"] for r in cells)
     assert len(cells) > 10 and max(len(r["_cells"]) for r in cells) < blocks / 2
+
+
+def test_sketches_of_linked_sets_can_link():
+    """No linked pair is told apart by its sketches, also across a doubling of their width; unrelated sets are."""
+    rng = np.random.default_rng(12)
+    near = far = 0
+    for num, den in ((90, 100), (80, 100), (1, 2)):
+        for n in (1, 3, 40, 84, 86, 90, 170, 175, 700, 1360, 1370, 5000):
+            for share in (0.0, 0.05, 0.2, 0.4, 0.9):
+                a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+                grow = rng.integers(0, 2**63, int(n * share), dtype=np.uint64)
+                b = np.unique(np.concatenate([a[int(len(a) * share / 4):], grow]))
+                x, y = (np.frombuffer(N.sketch(h), "<u8")[None, :] for h in (a, b))
+                both = len(np.intersect1d(a, b))
+                may = bool(N.may_link(x, y, len(a), len(b), num, den)[0])
+                if both * den >= num * (len(a) + len(b) - both):
+                    assert may, (num, n, share)
+                    near += 1
+                c = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+                z = np.frombuffer(N.sketch(c), "<u8")[None, :]
+                far += n >= 84 and num > 1 and not N.may_link(x, z, len(a), len(c), num, den)[0]
+    assert near > 50 and far >= 85
+
+
+def test_ties_of_a_cell_connect_what_brute_force_does():
+    rng = np.random.default_rng(4)
+    bases = [rng.integers(0, 2**63, n, dtype=np.uint64) for n in (30, 90, 170, 180, 600)]
+    sets = [np.unique(np.where(rng.random(len(b)) < 0.02, rng.integers(0, 2**63, len(b), dtype=np.uint64), b)) for b in bases for _ in range(6)]
+    for blocks in (1, 2):
+        rows = [(i % blocks, i, i % 3 > 0, len(h), N.sketch(h)) for i, h in enumerate(sets)]
+        root = list(range(len(rows)))
+        for i, j in [*N.ties_in_cell(rows, 80, 100), *((i, 0) for i in range(0, len(rows), 3))]:
+            root = [root[i] if x == root[j] else x for x in root]
+        for i, a in enumerate(rows):
+            for j, b in enumerate(rows[:i]):
+                if (a[2] or b[2]) and (blocks == 1 or a[0] != b[0]) and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j])):
+                    assert root[i] == root[j]
+
+
+def test_a_passage_of_many_texts_makes_no_candidates(spark, monkeypatch):
+    """Texts that share passages are not fetched for it, but those of them that are near copies meet, whichever text is the
+    smallest of their keys; in blocks, too."""
+    rnd = random.Random(21)
+    word = lambda: rnd.choice("abcdefghij") + str(rnd.randrange(10**6))
+    passage = [word() for _ in range(60)]
+    docs = [(k, " ".join(passage + [word() for _ in range(90)])) for k in range(60)]
+    copies = []
+    for k in range(0, 60, 6):                                  # near copies of some, apart from the others
+        w = docs[k][1].split()
+        w[100] = word()
+        copies.append((100 + k, " ".join(w)))
+    # All keys are of the passage, as if each text's own words were as frequent.
+    real = N.element_keys
+
+    def of_passage(h, num, den, weight):
+        return real(h, num, den, weight) if not len(np.intersect1d(h, own)) else np.intersect1d(h, own)[:5].view(np.int64)
+
+    own = N.shingles(" ".join(passage).encode(), 5)
+    seen = {}
+
+    def look(df, name, stored=N.stored):
+        out = stored(df, name)
+        if name in ("ngram-members", "ngram-ties"):
+            seen[name] = out.count()
+        return out
+
+    for sets in (7,):
+        monkeypatch.setattr(N, "CELL_SETS", sets)
+        monkeypatch.setattr(N, "stored", look)
+        monkeypatch.setattr(N, "element_keys", of_passage)
+        monkeypatch.setattr(N, "keys", lambda h, num, den, weight=None: of_passage(h, num, den, weight))
+        got = {r["doc_id"]: r["component_id"] for r in N.classes(spark.createDataFrame(docs + copies, "doc_id long, text string"), words=5, num=80, den=100).collect()}
+        assert got == {d: d % 100 for d, _ in docs + copies}
+        assert seen["ngram-members"] == 2 * len(copies)
+
+
+def test_rows_move_once_and_of_equal_ones_one_stays(spark):
+    """Repeated rows, on several tasks, empty sets, null ids; the table is read and moved once for the choice."""
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    docs = [(1, a, "x")] * 9 + [(2, a, "y"), (None, a, "z"), (None, b, "p"), (None, b, "p"), (4, "", "e"), (4, "", "e"), (4, None, "n"), (None, " ", "m"), (None, None, "m"), (5, b + " end", "q")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, note string").repartition(4)
+    out = N.representatives(df)
+    want = [(1, a, "x"), (None, b, "p"), (4, "", "e"), (4, "", "e"), (4, None, "n"), (None, " ", "m"), (None, None, "m"), (5, b + " end", "q")]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(want, key=repr)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and out.columns == df.columns
